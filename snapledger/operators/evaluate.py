@@ -59,30 +59,43 @@ def histogram2d(
     Every bin is closed below and open above, the last one closed on both sides. A constant
     column is widened by half a unit on either side. Rows with a null in either column are left out.
     """
+    axes = {"x": bins[0], "y": bins[1]}
     pairs = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
-    spread = pairs.agg(*[f(c).alias(f"{n}_{c}") for c in ("x", "y") for n, f in (("lo", F.min), ("hi", F.max))])
-    # The limits are one subquery row each, found in a single pass and shared by all uses.
-    located = pairs.select(
-        *[c for axis, n in (("x", bins[0]), ("y", bins[1])) for c in _located(spread, axis, n)]
+    # The limits are one row, found in a single pass and used as scalar subqueries.
+    limits = pairs.agg(*[f(c).alias(f"{n}_{c}") for c in axes for n, f in (("lo", F.min), ("hi", F.max))])
+    grid = limits.select(*[c for axis, n in axes.items() for c in _grid(axis, n)])
+    start = {axis: grid.select(f"start_{axis}").scalar() for axis in axes}
+    step = {axis: grid.select(f"step_{axis}").scalar() for axis in axes}
+
+    guesses = {
+        f"guess_{axis}": F.least(F.floor((F.col(axis) - start[axis]) / step[axis]), F.lit(n - 1)).cast("int")
+        for axis, n in axes.items()
+    }
+    located = pairs.withColumns(guesses).select(
+        *[_corrected(axis, n, start[axis], step[axis]).alias(f"bin_{axis}") for axis, n in axes.items()]
     )
-    counted = located.groupBy("bin_x", "bin_y").agg(
-        F.min("from_x").alias("from_x"), F.min("from_y").alias("from_y"), F.count(F.lit(1)).alias("n")
+    counted = located.groupBy("bin_x", "bin_y").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(
+        "bin_x",
+        "bin_y",
+        *[(start[axis] + F.col(f"bin_{axis}") * step[axis]).alias(f"from_{axis}") for axis in axes],
+        "n",
     )
-    return counted.select("bin_x", "bin_y", "from_x", "from_y", "n")
 
 
-def _located(spread: DataFrame, axis: str, bins: int) -> tuple[Column, Column]:
-    low, high = spread.select(f"lo_{axis}").scalar(), spread.select(f"hi_{axis}").scalar()
+def _grid(axis: str, bins: int) -> tuple[Column, Column]:
+    low, high = F.col(f"lo_{axis}"), F.col(f"hi_{axis}")
     widen = F.when(low == high, F.lit(0.5)).otherwise(F.lit(0.0))
-    start = low - widen
-    step = (high + widen - start) / F.lit(float(bins))
-    value = F.col(axis)
-    guess = F.least(F.floor((value - start) / step), F.lit(bins - 1)).cast("int")
-    # The division can land one bin off at an edge; the edge itself decides.
+    step = (high + widen - (low - widen)) / F.lit(float(bins))
+    return (low - widen).alias(f"start_{axis}"), step.alias(f"step_{axis}")
+
+
+def _corrected(axis: str, bins: int, start: Column, step: Column) -> Column:
+    """The division can land one bin off at an edge; the edge itself decides."""
+    value, guess = F.col(axis), F.col(f"guess_{axis}")
     down = (value < start + guess * step).cast("int")
     up = ((guess < bins - 1) & (value >= start + (guess + 1) * step)).cast("int")
-    index = guess - down + up
-    return index.alias(f"bin_{axis}"), (start + index * step).alias(f"from_{axis}")
+    return guess - down + up
 
 
 def best_candidate(scores: DataFrame, score: str, larger_is_better: bool = False) -> DataFrame:

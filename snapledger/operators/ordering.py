@@ -22,6 +22,18 @@ def with_position(
     ordering are told apart by their content and at last by a salt, so that a value shared by many
     rows is cut into several parts; ``ties=False`` saves both where the ordering has no ties.
     """
+    stored = materialize(_ranked_parts(df, order_by, ties), "positions")
+    # One row per part, at most spark.sql.shuffle.partitions of them: the window and the
+    # broadcast are over that many rows only.
+    sizes = stored.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")
+    starts = sizes.select("_part", before.alias("_start"))
+    return stored.join(F.broadcast(starts), "_part").select(
+        *df.columns, (F.col("_start") + F.col("_rank")).alias(name)
+    )
+
+
+def _ranked_parts(df: DataFrame, order_by: Sequence[str | Column], ties: bool) -> DataFrame:
     ordered = list(order_by)
     sortable = df
     if ties:
@@ -29,20 +41,11 @@ def with_position(
             {"_content": F.xxhash64(*df.columns), "_salt": F.monotonically_increasing_id()}
         )
         ordered += ["_content", "_salt"]
-    parts = sortable.orderBy(*ordered).select(
+    return sortable.orderBy(*ordered).select(
         *df.columns,
         F.spark_partition_id().alias("_part"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias("_rank"),
     )
-    stored = materialize(parts, "positions")
-    # One row per part, at most spark.sql.shuffle.partitions of them: the window and the
-    # broadcast are over that many rows only.
-    sizes = stored.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
-    before = F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")
-    starts = sizes.select("_part", before.alias("_start"))
-    return stored.join(F.broadcast(starts), "_part").select(
-        *df.columns, (F.col("_start") + F.col("_rank")).alias(name)
-    )
 
 
 def row_range(

@@ -62,21 +62,16 @@ def fold_join(tables: Sequence[DataFrame], key: str) -> DataFrame:
 
 
 def reconcile(
-    requested: DataFrame,
-    snapshot: DataFrame,
-    dimension: DataFrame,
-    fallback: DataFrame,
-    key: str,
-    origin: str | None = None,
+    newer: DataFrame, snapshot: DataFrame, dimension: DataFrame, key: str, origin: str | None = None
 ) -> DataFrame:
-    """Snapshot rows of the requested keys with their dimension, then the fallback rows of those
-    the snapshot lacks. The columns are those of the snapshot joined with the dimension.
+    """One row per entity of the newer table: its snapshot row with its dimension, or its newer
+    row where the snapshot has none. The columns are those of the snapshot joined with the dimension.
 
     ``snapshot`` has one row per key. With ``origin`` a column of that name tells
     ``window`` rows from ``fallback`` rows.
     """
-    found = with_optional(present_in(snapshot, requested, key), dimension, key)
-    extra = fallback_rows(present_in(fallback, requested, key), snapshot, key)
+    found = with_optional(present_in(snapshot, newer, key), dimension, key)
+    extra = fallback_rows(newer, snapshot, key)
     if origin:
         found = found.withColumn(origin, F.lit("window"))
         extra = extra.withColumn(origin, F.lit("fallback"))

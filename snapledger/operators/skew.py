@@ -16,7 +16,7 @@ _HOW = ("inner", "left", "left_semi", "left_anti")
 def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
     """Keys with at least ``share`` of all rows: never more than ``1 / share`` keys."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    total = df.agg(F.count(F.lit(1)).alias("_total")).scalar()
+    total = counts.agg(F.sum("_rows").alias("_total")).scalar()
     return counts.filter((F.col("_rows") >= total * F.lit(share)) & F.col(key).isNotNull()).select(key)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.operators.shaping import in_window
@@ -19,13 +19,16 @@ def latest_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFram
     is one shuffle instead of the two or three of a grouped maximum joined back. Ties in the
     ordering are decided by the other columns, hence the same on every run.
     """
-    order_by = list(order_by)
+    return _largest(df, key, order_by).select(*_unpacked(df, key))
+
+
+def _largest(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
     others = [c for c in df.columns if c != key and c not in order_by]
-    return (
-        df.groupBy(key)
-        .agg(F.max(F.struct(*order_by, *others)).alias("_latest"))
-        .select(*[F.col(key) if c == key else F.col(f"_latest.{c}") for c in df.columns])
-    )
+    return df.groupBy(key).agg(F.max(F.struct(*order_by, *others)).alias("_latest"))
+
+
+def _unpacked(df: DataFrame, key: str) -> list[Column]:
+    return [F.col(key) if c == key else F.col(f"_latest.{c}").alias(c) for c in df.columns]
 
 
 def latest_in_window(
@@ -37,3 +40,25 @@ def latest_in_window(
     last: dt.date | None = None,
 ) -> DataFrame:
     return latest_per_key(in_window(df, stamp, first, last), key, order_by)
+
+
+def latest_with_fallback(
+    df: DataFrame,
+    key: str,
+    order_by: Sequence[str],
+    stamp: str,
+    first: dt.date,
+    last: dt.date,
+    origin: str = "origin",
+) -> DataFrame:
+    """The latest version in the window or, for keys without one, of the whole history.
+
+    Being in the window is the first ordering column, so one pass and one shuffle give both; the
+    column ``origin`` tells ``window`` rows from ``fallback`` rows. Where the fallback rows come
+    from another table, see ``reconcile.reconcile``.
+    """
+    inside = F.coalesce(F.to_date(F.col(stamp)).between(F.lit(first), F.lit(last)), F.lit(False))
+    flagged = df.withColumn("_inside", inside)
+    source = F.when(F.col("_latest._inside"), F.lit("window")).otherwise(F.lit("fallback"))
+    picked = _largest(flagged, key, ["_inside", *order_by])
+    return picked.select(*_unpacked(df, key), source.alias(origin))

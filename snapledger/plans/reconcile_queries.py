@@ -62,14 +62,11 @@ def snapshot_latest_in_window(spark: SparkSession, folder: str) -> DataFrame:
 )
 def snapshot_with_fallback(spark: SparkSession, folder: str) -> DataFrame:
     """Latest order of each customer in the window, or of all time where the window has none."""
-    customers = _solvent(spark, folder).select(KEY, "c_name", "c_mktsegment", "c_acctbal")
-    found = _snapshot(spark, folder)
-    newest = _newest(spark, folder)
-    both = shaping.union_aligned(
-        found.withColumn("origin", F.lit("window")),
-        reconcile.fallback_rows(newest, found, KEY).withColumn("origin", F.lit("fallback")),
+    picked = snapshot.latest_with_fallback(
+        _orders(spark, folder), KEY, ["o_orderkey"], "o_orderdate", FIRST, LAST
     )
-    return reconcile.with_optional(both, customers, KEY)
+    customers = _solvent(spark, folder).select(KEY, "c_name", "c_mktsegment", "c_acctbal")
+    return reconcile.with_optional(picked, customers, KEY)
 
 
 @query(
@@ -130,6 +127,25 @@ def reconcile_fallback_rows(spark: SparkSession, folder: str) -> DataFrame:
     return reconcile.fallback_rows(_newest(spark, folder), _snapshot(spark, folder), KEY)
 
 
+@query(
+    f"""
+    WITH s AS ({_SNAPSHOT}), n AS ({_NEWEST}),
+    m AS (SELECT s.o_custkey, s.o_orderkey, s.o_totalprice, d.c_name, 'window' AS origin
+          FROM s LEFT JOIN customer d ON s.o_custkey = d.c_custkey AND d.c_acctbal > 0),
+    f AS (SELECT n.o_custkey, n.o_orderkey, n.o_totalprice, c.c_name, 'fallback' AS origin
+          FROM n JOIN customer c ON n.o_custkey = c.c_custkey WHERE n.o_custkey NOT IN (SELECT o_custkey FROM s))
+    SELECT * FROM m UNION ALL SELECT * FROM f
+    """
+)
+def reconcile_two_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Snapshot with its dimension, and rows of a newer table where the snapshot has none."""
+    found = _snapshot(spark, folder).select(KEY, "o_orderkey", "o_totalprice")
+    names = _customers(spark, folder).select(KEY, "c_name")
+    newer = _newest(spark, folder).select(KEY, "o_orderkey", "o_totalprice").join(names, KEY)
+    dimension = _solvent(spark, folder).select(KEY, "c_name")
+    return reconcile.reconcile(newer, found, dimension, KEY, origin="origin")
+
+
 @query(
     """
     SELECT o_orderkey, o_custkey FROM orders

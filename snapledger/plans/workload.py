@@ -93,7 +93,7 @@ def _common_types(df: DataFrame) -> DataFrame:
 
 def yearly_snapshot(tables: SnapshotTables, key: str) -> DataFrame:
     """One row per entity of the newer file: its old version, or its newer row where it has none."""
-    return reconcile.reconcile(tables.newer, tables.snapshot, tables.dimension, tables.newer, key)
+    return reconcile.reconcile(tables.newer, tables.snapshot, tables.dimension, key)
 
 
 def snapshot_audit(tables: SnapshotTables, key: str) -> DataFrame:
