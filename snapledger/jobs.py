@@ -7,6 +7,7 @@ import datetime as dt
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from snapledger import presets, sinks
 from snapledger.functions import clean
@@ -98,11 +99,11 @@ def _useful(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _attributes(spark: SparkSession, args: argparse.Namespace) -> None:
-    older = workload.cleaned_year(delimited.read_text_columns(spark, args.older))
+    older = workload.cleaned_year(delimited.read_text_columns(spark, args.older), args.key)
     newer = delimited.read_text_columns(spark, args.newer)
-    newer = workload.cleaned_year(newer.withColumnRenamed(args.newer_key or args.key, args.key))
+    newer = workload.cleaned_year(newer.withColumnRenamed(args.newer_key or args.key, args.key), args.key)
     targets = delimited.read_text_columns(spark, args.targets).withColumnRenamed(args.targets_key, args.key)
-    targets = shaping.cast_all(targets.select(args.key, *presets.TARGETS))
+    targets = workload.whole_numbers(targets.select(args.key, *presets.TARGETS), args.key)
     table = workload.two_year_table(older, newer, targets, args.key)
     sinks.write_csv_with_position(table, f"{args.out}/features", [args.key])
     found = workload.predict_attributes(table, args.key, seed=args.seed, parallelism=args.parallelism)
@@ -114,8 +115,10 @@ def _overall(spark: SparkSession, args: argparse.Namespace) -> None:
     predictions = delimited.read_text_columns(spark, args.predictions).select(*columns)
     actual = delimited.read_text_columns(spark, args.actual)
     found = workload.predict_overall(
-        shaping.cast_all(predictions, cast=clean.round_half_even),
-        shaping.cast_all(actual.select(args.key, presets.OVERALL, "age", *presets.TARGETS)),
+        shaping.cast_all(predictions, [args.key], clean.round_half_even).withColumn(
+            args.key, F.col(args.key).try_cast("bigint")
+        ),
+        workload.whole_numbers(actual.select(args.key, presets.OVERALL, "age", *presets.TARGETS), args.key),
         args.key,
         seed=args.seed,
         parallelism=args.parallelism,

@@ -78,17 +78,27 @@ def snapshot_tables(
     )
     latest = snapshot.latest_in_window(versions, key, ["id"], "date", first, last).drop("id", "date")
     return SnapshotTables(
-        _common_types(shaping.rename_by_table(latest, presets.COLUMN_TRANSLATION)),
-        _common_types(shaping.rename_by_table(people, presets.COLUMN_TRANSLATION)),
-        _common_types(newer),
+        _common_types(shaping.rename_by_table(latest, presets.COLUMN_TRANSLATION), key),
+        _common_types(shaping.rename_by_table(people, presets.COLUMN_TRANSLATION), key),
+        _common_types(newer, key),
     )
 
 
-def _common_types(df: DataFrame) -> DataFrame:
-    """Units and types that all sides share: ints but for names and work rates."""
+def whole_numbers(df: DataFrame, key: str, exclude: Sequence[str] = ()) -> DataFrame:
+    """The key as a 64-bit and all other columns but the excluded ones as 32-bit ints."""
+    ints = shaping.cast_all(df, exclude=[key, *exclude], cast=lambda c: c.try_cast("double").try_cast("int"))
+    return ints.withColumn(key, F.col(key).try_cast("bigint"))
+
+
+def _common_types(df: DataFrame, key: str) -> DataFrame:
+    """Units and types that all sides share: ints but for names and work rates.
+
+    Texts may carry a unit; numbers are in centimetres and pounds already.
+    """
     units = {"Height": clean.leading_number, "Weight": clean.weight_in_pounds}
-    df = df.withColumns({c: f(F.col(c).cast("string")) for c, f in units.items() if c in df.columns})
-    return shaping.cast_all(df, exclude=TEXT_COLUMNS, cast=lambda c: c.cast("string").try_cast("double").try_cast("int"))
+    texts = {name for name, kind in df.dtypes if kind == "string"}
+    df = df.withColumns({c: f(F.col(c)) for c, f in units.items() if c in texts})
+    return whole_numbers(df, key, TEXT_COLUMNS)
 
 
 def yearly_snapshot(tables: SnapshotTables, key: str) -> DataFrame:
@@ -100,9 +110,9 @@ def snapshot_audit(tables: SnapshotTables, key: str) -> DataFrame:
     return reconcile.coverage_audit(tables.newer, tables.snapshot, tables.dimension, key)
 
 
-def cleaned_year(raw: DataFrame) -> DataFrame:
+def cleaned_year(raw: DataFrame, key: str) -> DataFrame:
     """Text columns of a yearly file as numbers and two work-rate categories."""
-    numbers = _common_types(raw.drop("Name"))
+    numbers = _common_types(raw.drop("Name"), key)
     rates = F.col("Work_Rate")
     return numbers.withColumns(
         {
