@@ -22,6 +22,9 @@ from snapledger.session import ensure_checkpoint_dir, materialize
 FEATURES = "feature_cols"
 SCORE_SCHEMA = "label string, candidate string, metric string, score double, selected boolean"
 _FAMILIES = {"forest": RandomForestRegressor, "boosted": GBTRegressor}
+# Keep the node of each row instead of shipping the trees for every level, and put as many nodes
+# as fit into one pass over the data.
+_PASSES = {"cacheNodeIds": True, "maxMemoryInMB": 1024}
 
 
 def predicted(label: str) -> str:
@@ -43,7 +46,7 @@ class Candidate:
             predictionCol=predicted(label),
             seed=seed,
             checkpointInterval=10,
-            **self.params,
+            **(_PASSES | dict(self.params)),
         )
 
     @property
@@ -53,11 +56,8 @@ class Candidate:
 
 
 def forests(depths: Sequence[int], trees: Sequence[int], bins: int = presets.FOREST_BINS) -> list[Candidate]:
-    """Node ids of deep trees are cached, so that the trees are not shipped for every level."""
     return [
-        Candidate("forest", {"maxDepth": d, "numTrees": n, "maxBins": bins, "cacheNodeIds": d > 10})
-        for d in depths
-        for n in trees
+        Candidate("forest", {"maxDepth": d, "numTrees": n, "maxBins": bins}) for d in depths for n in trees
     ]
 
 
@@ -173,7 +173,7 @@ def search_targets(
     labels: Sequence[str],
     candidates: Sequence[Candidate],
     seed: int,
-    targets_at_once: int = 2,
+    targets_at_once: int = 3,
     **options,
 ) -> dict[str, Search]:
     """One search per label on the same stored features, a few labels at a time."""

@@ -35,13 +35,13 @@ def present_in(df: DataFrame, keys: DataFrame, key: str, other_key: str | None =
 
 
 def missing_in(df: DataFrame, keys: DataFrame, key: str, other_key: str | None = None) -> DataFrame:
-    """Rows whose key does not occur in ``keys``."""
+    """Rows whose key does not occur in ``keys``; for tables without very frequent keys."""
     return df.join(distinct_keys(keys, other_key or key, key), key, "left_anti")
 
 
 def fallback_rows(newer: DataFrame, older: DataFrame, key: str) -> DataFrame:
     """Full rows of the newer table for the entities that the older one lacks."""
-    return missing_in(newer, older, key).filter(F.col(key).isNotNull())
+    return missing_in(newer.filter(F.col(key).isNotNull()), older, key)
 
 
 def missing_dimension(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:

@@ -27,12 +27,17 @@ def hot_split_join(
 
     Rows with a hot key are not shuffled at all; all the others are joined as Spark sees fit.
     Both broadcasts, the hot keys and their rows of ``other``, have at most ``1 / share`` rows
-    whatever the data. Nothing is salted, so a repeated task yields the same rows.
+    whatever the data. Rows without a key match nothing and stay out of the shuffle, too. Nothing is
+    salted, so a repeated task yields the same rows.
     """
     if how not in _HOW:
         raise ValueError(f"how must be one of {_HOW}")
     hot = F.broadcast(hot_keys(facts, key, share))
     hot_other = other.join(hot, key, "left_semi")
     hot_part = facts.join(hot, key, "left_semi").join(F.broadcast(hot_other), key, how)
-    rest = facts.join(hot, key, "left_anti").join(other, key, how)
-    return hot_part.unionByName(rest)
+    keyed = facts.filter(F.col(key).isNotNull())
+    joined = hot_part.unionByName(keyed.join(hot, key, "left_anti").join(other, key, how))
+    if how in ("left", "left_anti"):
+        keyless = facts.filter(F.col(key).isNull())
+        return joined.unionByName(keyless, allowMissingColumns=True)
+    return joined

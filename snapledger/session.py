@@ -14,7 +14,7 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def build_session(app_name: str, master: str | None = None, **settings: str) -> SparkSession:
-    """A session with AQE, skew-join splitting and a fixed time zone.
+    """A session with AQE, early skew-join splitting and a fixed time zone.
 
     ``settings`` uses ``__`` for dots (``spark__sql__shuffle__partitions="400"``).
     """
@@ -23,6 +23,8 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "3")
+        .config("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64MB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
     )

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from snapledger.plans import model_queries
@@ -60,6 +61,32 @@ def test_window_filter_reaches_the_scan(spark, tables):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_a_hot_key_of_two_plain_scans_is_split(spark, tmp_path):
+    hot = F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id") % 1000)
+    priced = {"o_totalprice": F.col("id") * 1.0, "o_custkey": hot.cast("bigint")}
+    orders = spark.range(0, 200_000, 1, 16).withColumns(priced).withColumnRenamed("id", "o_orderkey")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    names = {"c_name": F.lit("n"), "c_mktsegment": F.lit("s")}
+    spark.range(1000).withColumnRenamed("id", "c_custkey").withColumns(names).write.parquet(
+        f"{tmp_path}/customer.parquet"
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = QUERIES["join_inner_using"](spark, str(tmp_path))
+        assert len(df.collect()) == 200_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_narrow_reads(spark, tables):
     plan = QUERIES["agg_group_max"](spark, tables)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
