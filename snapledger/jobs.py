@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from snapledger import presets, sinks
 from snapledger.functions import clean
-from snapledger.operators import shaping
+from snapledger.operators import evaluate, modeling, shaping
 from snapledger.plans import workload
 from snapledger.session import build_session
 from snapledger.sources import delimited, relational
@@ -55,10 +55,25 @@ def _parser() -> argparse.ArgumentParser:
     overall.add_argument("--predictions", required=True)
     overall.add_argument("--actual", required=True)
 
-    for step in (roster, snap, useful, attributes, overall):
+    shift = steps.add_parser("shift", help="move of the overall score under predicted attributes")
+    shift.add_argument("--newest", required=True)
+    shift.add_argument("--predictions", required=True)
+    shift.add_argument("--predictions-key", default="id")
+    shift.add_argument("--scale", type=float, help="divide predictions by this instead of standardising")
+    shift.add_argument("--trees", type=int, default=presets.FOREST_TREES[0])
+    shift.add_argument("--depth", type=int, default=presets.FOREST_DEPTHS[0])
+
+    ages = steps.add_parser("ages", help="birthdays written MMDDYY as dates with ages")
+    ages.add_argument("--url", required=True, help="JDBC URL")
+    ages.add_argument("--driver")
+    ages.add_argument("--query", default="select * from Player")
+    ages.add_argument("--now", type=dt.date.fromisoformat, default=dt.date.today())
+    ages.add_argument("--out", required=True)
+
+    for step in (roster, snap, useful, attributes, overall, shift):
         step.add_argument("--key", required=True, help="name of the entity key")
         step.add_argument("--out", required=True)
-    for step in (attributes, overall):
+    for step in (attributes, overall, shift):
         step.add_argument("--seed", type=int, default=1)
         step.add_argument("--parallelism", type=int, default=4)
     return parser
@@ -126,6 +141,32 @@ def _overall(spark: SparkSession, args: argparse.Namespace) -> None:
     _write_predictions(found, args)
 
 
+def _shift(spark: SparkSession, args: argparse.Namespace) -> None:
+    columns = [args.predictions_key, *[f"{t}_pred" for t in presets.TARGETS]]
+    predictions = delimited.read_text_columns(spark, args.predictions).select(*columns)
+    predictions = predictions.withColumnRenamed(args.predictions_key, args.key)
+    newest = delimited.read_text_columns(spark, args.newest)
+    rates = [c for c in newest.columns if c.startswith("work_rate_")]
+    candidate = modeling.Candidate(
+        "forest", {"maxDepth": args.depth, "numTrees": args.trees, "maxBins": presets.FOREST_BINS}
+    )
+    moved = workload.overall_shift(
+        workload.whole_numbers(newest, args.key, rates),
+        workload.whole_numbers(predictions, args.key),
+        args.key,
+        candidate,
+        scale=args.scale,
+        seed=args.seed,
+    )
+    sinks.write_csv(moved, f"{args.out}/rows")
+    sinks.write_csv(evaluate.mean_abs_shift(moved, "base_pred", "shifted_pred"), f"{args.out}/mean")
+
+
+def _ages(spark: SparkSession, args: argparse.Namespace) -> None:
+    people = relational.read_query(spark, args.url, args.query, driver=args.driver)
+    sinks.write_csv(workload.ages_from_short_birthdays(people, args.now), args.out)
+
+
 def _write_predictions(found: workload.Predictions, args: argparse.Namespace) -> None:
     sinks.write_csv_with_position(found.rows, f"{args.out}/predictions", [args.key])
     sinks.write_csv(found.candidates, f"{args.out}/candidates")

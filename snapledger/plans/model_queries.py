@@ -134,20 +134,7 @@ def predict_cascade(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def score_counterfactual_shift(spark: SparkSession, folder: str) -> DataFrame:
-    """How the score of each test customer moves when predictions replace its true attributes.
-
-    The attributes are standardised with the statistics of the train fold, on both sides.
-    """
-    prepared = _prepared(spark, folder)
-    train = _train(prepared)
-    models = {t: modeling.fit(train, t, _SMALL, SEED) for t in TARGETS}
-    scored = modeling.score(models, prepared, rounded=False).drop(modeling.FEATURES)
-    standard = features.fit_standardizer(scored.filter(F.col("fold") == "train"), TARGETS)
-    scaled = standard.transform(
-        scored.withColumns({modeling.predicted(t): standard.scaled(F.col(modeling.predicted(t)), t) for t in TARGETS})
-    )
-    second, stages = modeling.prepare(scaled, [KEY, "fold", presets.OVERALL], TARGETS)
-    model = modeling.fit(_train(second), presets.OVERALL, _SMALL, SEED)
-    replacements = {t: F.col(modeling.predicted(t)) for t in TARGETS}
-    test = scaled.filter(F.col("fold") == "test")
-    return modeling.counterfactual(stages, model, test, [KEY], replacements, presets.OVERALL)
+    """How the score of each test customer moves when predictions replace its true attributes."""
+    customers = customer_table(spark, folder)
+    first = workload.predict_attributes(customers.drop(presets.OVERALL), KEY, TARGETS, [_SMALL], SEED)
+    return workload.overall_shift(_actual(customers), first.rows, KEY, _SMALL, seed=SEED)

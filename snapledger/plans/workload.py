@@ -44,6 +44,12 @@ def useful_rows(newest: DataFrame, keys: DataFrame, keys_name: str, key: str = "
     return reconcile.present_in(newest.select(*presets.USEFUL_COLUMNS), keys, key, keys_name)
 
 
+def ages_from_short_birthdays(people: DataFrame, now: dt.date) -> DataFrame:
+    """Birthdays written ``MMDDYY`` as dates, with the whole years at ``now``."""
+    birthday = clean.two_digit_birthday(F.col("birthday"), now)
+    return people.withColumn("birthday", birthday).withColumn("age", clean.age_at(F.col("birthday"), now))
+
+
 @dataclass(frozen=True)
 class SnapshotTables:
     """Parts of the yearly snapshot, all in the newer file's column names."""
@@ -205,3 +211,38 @@ def predict_overall(
         modeling.predicted(label), clean.round_half_even(F.col(modeling.predicted(label)))
     )
     return Predictions(rounded, modeling.score_table([found], actual), held_out_errors(scored, [label]))
+
+
+def overall_shift(
+    newest: DataFrame,
+    predicted_attributes: DataFrame,
+    key: str,
+    candidate: modeling.Candidate,
+    targets: Sequence[str] = tuple(presets.TARGETS),
+    label: str = presets.OVERALL,
+    categories: Sequence[str] = ("work_rate_att", "work_rate_def"),
+    scale: float | None = None,
+    seed: int = 1,
+) -> DataFrame:
+    """How the overall score of an entity moves when predictions replace its true attributes.
+
+    The model learns from the entities without predictions; numbers are standardised with their
+    statistics. Predictions are standardised likewise, or divided by ``scale``. Rows are paired by key.
+    """
+    found = [c for c in categories if c in newest.columns]
+    table = features.indicators(newest, {c: c for c in found})
+    numeric = shaping.columns_without(newest.columns, [key, label, *found])
+    inputs = shaping.columns_without(table.columns, [key, label])
+    training = reconcile.missing_in(table, predicted_attributes, key)
+    standard = features.fit_standardizer(training, numeric)
+    # A constant column has no deviation to divide by and nothing to teach.
+    inputs = [c for c in inputs if c not in numeric or standard.deviations[c]]
+    prepared, stages = modeling.prepare(standard.transform(training), [key, label], inputs)
+    model = modeling.fit(prepared, label, candidate, seed)
+
+    guesses = {t: F.col(modeling.predicted(t)).cast("double") for t in targets if t in inputs}
+    replacements = {t: g / F.lit(scale) if scale else standard.scaled(g, t) for t, g in guesses.items()}
+    scoring = predicted_attributes.select(key, *[modeling.predicted(t) for t in targets])
+    return modeling.counterfactual(
+        stages, model, standard.transform(table).join(scoring, key), [key], replacements, label
+    )

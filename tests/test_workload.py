@@ -159,6 +159,37 @@ def test_predictions(league):
     assert second.errors.first().rmse < 15
 
 
+def test_short_birthdays(spark):
+    people = spark.createDataFrame([(1, 21390), (2, 10125)], "id int, birthday int")
+    found = workload.ages_from_short_birthdays(people, dt.date(2016, 6, 1))
+    assert rows(found) == [(1, dt.date(1990, 2, 13), 26), (2, dt.date(1925, 1, 1), 91)]
+
+
+def test_overall_shift(spark, tmp_path):
+    rnd = random.Random(6)
+    newest, guesses = [], []
+    for p in range(150):
+        values = [rnd.randrange(40, 90) for _ in presets.TARGETS]
+        newest.append((p, sum(values) // 6, 180, "High", rnd.choice(["Low", "Medium"]), *values))
+        if p % 5 == 0:
+            guesses.append((p, *[v + (20 if p % 2 else 0) for v in values]))
+    columns = ["ID", "overall", "height_cm", "work_rate_att", "work_rate_def", *presets.TARGETS]
+    spark.createDataFrame(newest, columns).write.csv(f"{tmp_path}/newest", header=True)
+    names = ["id", *[f"{t}_pred" for t in presets.TARGETS]]
+    spark.createDataFrame(guesses, names).write.csv(f"{tmp_path}/guesses", header=True)
+    argv = ["shift", "--newest", f"{tmp_path}/newest", "--predictions", f"{tmp_path}/guesses", "--key", "ID"]
+    jobs.run(spark, [*argv, "--trees", "5", "--depth", "4", "--out", f"{tmp_path}/out"])
+    moved = delimited.read_inferred(spark, f"{tmp_path}/out/rows")
+    assert moved.count() == 30
+    # True values as predictions move nothing, values 20 higher raise the score.
+    assert moved.filter("ID % 2 = 0").agg(F.max("abs_shift")).first()[0] == 0.0
+    assert moved.filter("ID % 2 = 1").agg(F.min(F.col("shifted_pred") - F.col("base_pred"))).first()[0] > 0
+    mean = delimited.read_inferred(spark, f"{tmp_path}/out/mean").first()[0]
+    assert mean == pytest.approx(moved.agg(F.avg("abs_shift")).first()[0])
+    jobs.run(spark, [*argv, "--trees", "2", "--depth", "2", "--scale", "120", "--out", f"{tmp_path}/scaled"])
+    assert delimited.read_inferred(spark, f"{tmp_path}/scaled/rows").count() == 30
+
+
 def test_prediction_jobs(spark, league, tmp_path, monkeypatch):
     monkeypatch.setattr(modeling, "full_grid", lambda: CANDIDATES[:1])
     for name, df in league.items():
