@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapledger import presets
@@ -20,7 +20,7 @@ from snapledger.plans import workload
 from snapledger.plans.registry import query, table
 
 KEY, SEED = "o_custkey", 11
-TARGETS = presets.TARGETS
+TARGETS, LEVELS = presets.TARGETS, presets.LEVELS
 _DAYS = {"old": dt.date(1997, 12, 31), "new": dt.date(1999, 12, 31), "last": None}
 _SMALL = modeling.Candidate("forest", {"maxDepth": 5, "numTrees": 20, "maxBins": 15})
 
@@ -29,13 +29,17 @@ def customer_table(spark: SparkSession, folder: str) -> DataFrame:
     """One row per customer with both earlier states, the targets, the score and the fold."""
     orders = table(spark, folder, "orders")
     price, day = F.col("o_totalprice"), F.to_date("o_orderdate")
+    # The level of the latest order: its position in the domain rides along in the version number,
+    # so that all aggregates are plain numbers and hash aggregation applies.
+    word = clean.level(clean.part(F.col("o_orderpriority"), "-", 1))
+    rate = F.array_position(F.array(*map(F.lit, LEVELS)), word) - 1
 
     def state(name: str, last: dt.date | None) -> list:
         known = day.isNotNull() if last is None else day <= F.lit(last)
         # Sums of cents are exact, so the values do not depend on the order of the rows.
         cents = F.when(known, F.round(price * 100).cast("long"))
 
-        def share(condition) -> F.Column:
+        def share(condition) -> Column:
             return F.coalesce(F.sum(F.when(known & condition, 1)), F.lit(0))
 
         return [
@@ -45,9 +49,7 @@ def customer_table(spark: SparkSession, folder: str) -> DataFrame:
             share(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).alias(f"{name}_urgent"),
             share(F.col("o_orderstatus") == "F").alias(f"{name}_done"),
             share(price > 250_000).alias(f"{name}_big"),
-            F.max(F.when(known, F.struct("o_orderkey", clean.part(F.col("o_orderpriority"), "-", 1).alias("word"))))
-            .getField("word")
-            .alias(f"{name}_Att_WR"),
+            F.max(F.when(known, F.col("o_orderkey") * len(LEVELS) + rate)).alias(f"{name}_Att_WR"),
         ]
 
     states = orders.groupBy(KEY).agg(*[c for n, d in _DAYS.items() for c in state(n, d)])
@@ -59,12 +61,17 @@ def customer_table(spark: SparkSession, folder: str) -> DataFrame:
         states.withColumns(
             targets
             | {presets.OVERALL: overall}
-            | {f"{n}_Att_WR": clean.level(F.col(f"{n}_Att_WR")) for n in ("old", "new")}
+            | {f"{n}_Att_WR": _level_name(F.col(f"{n}_Att_WR")) for n in ("old", "new")}
         ).drop(*[c for c in states.columns if c.startswith("last_")]),
         KEY,
     )
 
 
+def _level_name(packed: Column) -> Column:
+    names = F.array(*map(F.lit, LEVELS))
+    return F.coalesce(F.get(names, (packed % len(LEVELS)).cast("int")), F.lit(presets.DEFAULT_LEVEL))
+
+
 def _inputs(df: DataFrame) -> tuple[list[str], list[str]]:
     """Numeric and categorical inputs."""
     inputs = shaping.columns_without(df.columns, [KEY, "fold", presets.OVERALL, *TARGETS])

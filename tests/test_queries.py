@@ -109,3 +109,22 @@ def test_model_queries(spark, tables, name):
 def test_model_queries_repeat(spark, tables):
     first, second = (QUERIES["predict_multi_target"](spark, tables).collect() for _ in range(2))
     assert sorted(first) == sorted(second)
+
+
+def test_customer_states(spark, tables, database):
+    """The one-pass training table against SQL."""
+    expected = database.execute(
+        """
+        SELECT o_custkey, count(*), round(sum(o_totalprice), 2), max(o_totalprice),
+               CASE WHEN max_by(o_orderpriority, o_orderkey) IN ('2-HIGH', '3-MEDIUM', '5-LOW')
+                    THEN lower(split_part(max_by(o_orderpriority, o_orderkey), '-', 2)) ELSE 'medium' END
+        FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01' GROUP BY 1
+        """
+    ).fetchall()
+    states = model_queries.customer_table(spark, tables)
+    assert states.count() == database.execute("SELECT count(DISTINCT o_custkey) FROM orders").fetchall()[0][0]
+    found = {
+        r.o_custkey: (r.new_orders, round(r.new_spent, 2), r.new_largest, r.new_Att_WR) for r in states.collect()
+    }
+    for key, *values in expected:
+        assert found[key] == tuple(values)
