@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
@@ -10,14 +11,15 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapledger import presets
 from snapledger.functions.clean import round_half_even
-from snapledger.operators.features import feature_stages
-from snapledger.session import ensure_checkpoint_dir, materialize
+from snapledger.operators import evaluate
+from snapledger.operators.features import feature_stages, hash_tenth
+from snapledger.session import ensure_checkpoint_dir, materialize, persisted
 
 FEATURES = "feature_cols"
 SCORE_SCHEMA = "label string, candidate string, metric string, score double, selected boolean"
@@ -113,80 +115,124 @@ def fit(train: DataFrame, label: str, candidate: Candidate, seed: int) -> Model:
 
 @dataclass(frozen=True)
 class Search:
-    """The chosen model of one label and the validation score of every candidate."""
+    """The chosen model of one label and the validation score of every candidate.
+
+    A lone candidate is not validated and has no score.
+    """
 
     label: str
     model: Model
     candidates: Sequence[Candidate]
-    scores: Sequence[float]
+    scores: Sequence[float | None]
     metric: str
 
     @property
     def best(self) -> int:
-        larger = RegressionEvaluator(metricName=self.metric).isLargerBetter()
-        choose = max if larger else min
-        return choose(range(len(self.scores)), key=lambda i: self.scores[i])
+        return best_score(self.scores, self.metric)
 
     def rows(self) -> list[tuple]:
         return [
-            (self.label, c.name, self.metric, float(s), i == self.best)
+            (self.label, c.name, self.metric, s, i == self.best)
             for i, (c, s) in enumerate(zip(self.candidates, self.scores))
         ]
 
 
-def search(
-    train: DataFrame,
-    label: str,
-    candidates: Sequence[Candidate],
-    seed: int,
-    train_ratio: float = presets.ATTRIBUTE_TRAIN_RATIO,
-    metric: str = "rmse",
-    parallelism: int = 4,
-) -> Search:
-    """One train/validation search over all families; the winner is fitted on all of ``train``.
+def best_score(scores: Sequence[float | None], metric: str) -> int:
+    """Place of the lowest error, or of the highest value for metrics like ``r2``."""
+    if len(scores) == 1:
+        return 0
+    choose = max if metric in evaluate.LARGER_IS_BETTER else min
+    return choose(range(len(scores)), key=lambda i: scores[i])
 
-    The lowest error wins (the highest value for metrics like ``r2``). Rows outside ``train``
-    take no part in the choice, so they can measure the chosen model.
-    """
-    ensure_checkpoint_dir(train.sparkSession)
-    pipeline = Pipeline(stages=[])
-    trainer = TrainValidationSplit(
-        estimator=pipeline,
-        estimatorParamMaps=[{pipeline.stages: [c.estimator(label, seed)]} for c in candidates],
-        evaluator=RegressionEvaluator(labelCol=label, predictionCol=predicted(label), metricName=metric),
-        trainRatio=train_ratio,
-        parallelism=parallelism,
-        seed=seed,
-    )
-    fitted = trainer.fit(train)
-    return Search(label, fitted.bestModel, list(candidates), list(fitted.validationMetrics), metric)
 
+# Metrics that a boosted model reports for each of its iterations in one pass, by their loss.
+_LOSSES = {"rmse": "squared", "mse": "squared", "mae": "absolute"}
 
-def score_table(searches: Sequence[Search], df: DataFrame) -> DataFrame:
-    """One row per label and candidate."""
-    rows = [row for found in searches for row in found.rows()]
-    return df.sparkSession.createDataFrame(rows, SCORE_SCHEMA)
+
+def _groups(candidates: Sequence[Candidate], metric: str) -> list[list[int]]:
+    """Candidates that one fit can validate.
+
+    Boosting adds tree after tree, so a model of 200 iterations contains those of 10, 50, 100
+    and 150: candidates that differ in nothing else need only the longest one.
+    """
+    groups: dict = {}
+    for i, c in enumerate(candidates):
+        others = tuple(sorted((k, str(v)) for k, v in c.params.items() if k != "maxIter"))
+        shared = c.family == "boosted" and metric in _LOSSES and "maxIter" in c.params
+        groups.setdefault(others if shared else i, []).append(i)
+    return list(groups.values())
+
+
+def _validate(
+    learn: DataFrame, check: DataFrame, label: str, group: Sequence[Candidate], seed: int, metric: str
+) -> list[float]:
+    if len(group) == 1:
+        scored = fit(learn, label, group[0], seed).transform(check)
+        evaluator = RegressionEvaluator(labelCol=label, predictionCol=predicted(label), metricName=metric)
+        return [float(evaluator.evaluate(scored))]
+    longest = max(group, key=lambda c: c.params["maxIter"])
+    losses = fit(learn, label, longest, seed).evaluateEachIteration(check, _LOSSES[metric])
+    at = [losses[c.params["maxIter"] - 1] for c in group]
+    return [math.sqrt(v) for v in at] if metric == "rmse" else list(at)
 
 
 def search_targets(
     train: DataFrame,
+    key: str,
     labels: Sequence[str],
     candidates: Sequence[Candidate],
     seed: int,
-    targets_at_once: int = 3,
-    **options,
+    train_ratio: float = presets.ATTRIBUTE_TRAIN_RATIO,
+    metric: str = "rmse",
+    parallelism: int = 4,
 ) -> dict[str, Search]:
-    """One search per label on the same stored features, a few labels at a time."""
+    """A train/validation search per label; each winner is fitted on all of ``train``.
 
-    def run(label: str) -> Search:
-        return search(train, label, candidates, seed, **options)
-
-    pool = ThreadPool(min(targets_at_once, len(labels)))
+    The validation rows are ``1 - train_ratio`` of ten hash classes of the key, the same for all
+    labels and candidates, and both parts are cached once for all of them. Rows outside ``train``
+    take no part in the choice, so they can measure the chosen model. ``parallelism`` fits run at
+    a time.
+    """
+    ensure_checkpoint_dir(train.sparkSession)
+    learns = hash_tenth(key, seed) < round(train_ratio * 10)
+    scores = {label: [None] * len(candidates) for label in labels}
+    pool = ThreadPool(parallelism)
+    run = inheritable_thread_target(train.sparkSession)
     try:
-        found = pool.map(inheritable_thread_target(train.sparkSession)(run), labels)
+        if len(candidates) > 1:
+            with persisted(train.filter(learns)) as learn, persisted(train.filter(~learns)) as check:
+                # Boosting goes one tree at a time and takes longest, so it starts first.
+                groups = sorted(_groups(candidates, metric), key=lambda g: candidates[g[0]].family != "boosted")
+                tasks = [(label, group) for group in groups for label in labels]
+
+                def validate(task: tuple) -> list[float]:
+                    label, group = task
+                    return _validate(learn, check, label, [candidates[i] for i in group], seed, metric)
+
+                for (label, group), found in zip(tasks, pool.map(run(validate), tasks, chunksize=1)):
+                    for i, value in zip(group, found):
+                        scores[label][i] = value
+
+        def winner(label: str) -> Model:
+            return fit(train, label, candidates[best_score(scores[label], metric)], seed)
+
+        models = pool.map(run(winner), labels, chunksize=1)
     finally:
         pool.close()
-    return dict(zip(labels, found))
+    return {t: Search(t, model, list(candidates), scores[t], metric) for t, model in zip(labels, models)}
+
+
+def search(
+    train: DataFrame, key: str, label: str, candidates: Sequence[Candidate], seed: int, **options
+) -> Search:
+    """:func:`search_targets` for one label."""
+    return search_targets(train, key, [label], candidates, seed, **options)[label]
+
+
+def score_table(searches: Sequence[Search], df: DataFrame) -> DataFrame:
+    """One row per label and candidate."""
+    rows = [row for found in searches for row in found.rows()]
+    return df.sparkSession.createDataFrame(rows, SCORE_SCHEMA)
 
 
 def score(models: Mapping[str, Model], prepared: DataFrame, rounded: bool = True) -> DataFrame:

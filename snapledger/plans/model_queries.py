@@ -111,9 +111,9 @@ def train_gbt(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def tune_candidates(spark: SparkSession, folder: str) -> DataFrame:
     """Validation score of each candidate; ``selected`` marks the one with the lowest error."""
-    candidates = [_SMALL, *modeling.forests([10], [20]), *modeling.boosted([5])]
+    candidates = [_SMALL, *modeling.forests([10], [20]), *modeling.boosted([2, 5, 10])]
     train = _train(_prepared(spark, folder))
-    found = modeling.search(train, "sho", candidates, SEED, train_ratio=presets.OVERALL_TRAIN_RATIO)
+    found = modeling.search(train, KEY, "sho", candidates, SEED, train_ratio=presets.OVERALL_TRAIN_RATIO)
     return modeling.score_table([found], train)
 
 

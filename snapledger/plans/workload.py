@@ -158,7 +158,7 @@ def predict_attributes(
     numeric = shaping.columns_without(table.columns, [key, "fold", *targets, *categorical])
     prepared, _ = modeling.prepare(table, [key, "fold", *targets], numeric, categorical)
     train, test = (prepared.filter(F.col("fold") == f).drop("fold") for f in ("train", "test"))
-    found = modeling.search_targets(train, targets, candidates or modeling.full_grid(), seed, **options)
+    found = modeling.search_targets(train, key, targets, candidates or modeling.full_grid(), seed, **options)
     models = {t: s.model for t, s in found.items()}
     unrounded = modeling.score(models, test, rounded=False)
     pairs = [c for t in targets for c in (modeling.predicted(t), t)]
@@ -205,7 +205,7 @@ def predict_overall(
     scoring = actual.select(key, label, *extra).join(inputs, key).select(*columns)
     training = reconcile.missing_in(actual.select(*columns), inputs, key)
     prepared, stages = modeling.prepare(training, [key, label], [*extra, *targets])
-    found = modeling.search(prepared, label, candidates or modeling.full_grid(), seed, **options)
+    found = modeling.search(prepared, key, label, candidates or modeling.full_grid(), seed, **options)
     scored = found.model.transform(stages.transform(scoring)).drop(modeling.FEATURES)
     rounded = scored.withColumn(
         modeling.predicted(label), clean.round_half_even(F.col(modeling.predicted(label)))

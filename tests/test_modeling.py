@@ -65,27 +65,55 @@ def test_models_beat_the_mean(prepared, candidate):
 def test_search_takes_the_lowest_error(prepared):
     df, stored, _ = prepared
     train = fold(stored, "train")
-    found = modeling.search(train, "y", SMALL, seed=1)
+    found = modeling.search(train, "k", "y", SMALL, seed=1)
     assert found.best == min(range(3), key=lambda i: found.scores[i]) != 0
-    again = modeling.search(train, "y", SMALL, seed=1, parallelism=1)
+    again = modeling.search(train, "k", "y", SMALL, seed=1, parallelism=1)
     assert again.scores == pytest.approx(found.scores)
     table = modeling.score_table([found], df)
     best = evaluate.best_candidate(table.select("candidate", "score"), "score").first()
     assert best.candidate == table.filter("selected").first().candidate == SMALL[found.best].name
     # The winner is the one that scores.
-    chosen = found.model.stages[0]
-    assert type(chosen).__name__.startswith("GBT" if SMALL[found.best].family == "boosted" else "RandomForest")
+    expected = "GBT" if SMALL[found.best].family == "boosted" else "RandomForest"
+    assert type(found.model).__name__.startswith(expected)
+
+
+def test_groups():
+    other = modeling.Candidate("boosted", {"maxIter": 2, "maxDepth": 2})
+    candidates = [SMALL[1], *modeling.boosted([4, 1, 7]), other]
+    assert modeling._groups(candidates, "rmse") == [[0], [1, 2, 3], [4]]
+    assert modeling._groups(candidates, "r2") == [[0], [1], [2], [3], [4]]
+    assert len(modeling._groups(modeling.full_grid(), "rmse")) == 7
+
+
+@pytest.mark.parametrize("metric", ["rmse", "mae"])
+def test_one_boosted_fit_validates_its_shorter_versions(prepared, metric):
+    _, stored, _ = prepared
+    learn, check = fold(stored, "train"), fold(stored, "test")
+    group = modeling.boosted([4, 1, 7])
+    alone = [modeling._validate(learn, check, "y", [c], 1, metric)[0] for c in group]
+    assert modeling._validate(learn, check, "y", group, 1, metric) == pytest.approx(alone)
+
+
+def test_validation_rows_do_not_depend_on_partitions(prepared):
+    _, stored, _ = prepared
+    candidates = [modeling.Candidate("boosted", {"maxIter": n, "maxDepth": 2}) for n in (1, 3)]
+    scores = [
+        modeling.search(fold(stored, "train").repartition(parts, "k"), "k", "y", candidates, seed=1).scores
+        for parts in (1, 1, 5)
+    ]
+    assert scores[0] == pytest.approx(scores[1]) and scores[0] == pytest.approx(scores[2], rel=0.2)
 
 
 def test_search_takes_the_highest_r2(prepared):
     _, stored, _ = prepared
-    found = modeling.search(fold(stored, "train"), "y", SMALL[:2], seed=1, metric="r2")
+    found = modeling.search(fold(stored, "train"), "k", "y", SMALL[:2], seed=1, metric="r2")
     assert found.best == max(range(2), key=lambda i: found.scores[i]) == 1
 
 
 def test_targets_share_the_stored_table(prepared):
     _, stored, _ = prepared
-    found = modeling.search_targets(fold(stored, "train"), ["y", "z"], SMALL[1:2], seed=1)
+    found = modeling.search_targets(fold(stored, "train"), "k", ["y", "z"], SMALL[1:2], seed=1)
+    assert found["y"].scores == [None] and found["y"].best == 0
     scored = modeling.score({t: s.model for t, s in found.items()}, stored)
     assert dict(scored.dtypes)["y_pred"] == dict(scored.dtypes)["z_pred"] == "int"
     assert scored.count() == 400
