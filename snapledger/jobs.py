@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import sys
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from snapledger import presets, sinks
 from snapledger.functions import clean
 from snapledger.operators import evaluate, modeling, shaping
 from snapledger.plans import workload
-from snapledger.session import build_session
+from snapledger.session import build_session, materialize
 from snapledger.sources import delimited, relational
 
 
@@ -103,6 +104,8 @@ def _snapshot(spark: SparkSession, args: argparse.Namespace) -> None:
     tables = workload.snapshot_tables(
         history, dimension, newer, args.key, [presets.patch_player(args.key)], args.first, args.last, args.as_of
     )
+    # The history is read once; what is left of it has one row per entity.
+    tables = replace(tables, snapshot=materialize(tables.snapshot, "snapshot"))
     sinks.write_csv(workload.snapshot_audit(tables, args.key), f"{args.out}/audit")
     sinks.write_csv_with_position(workload.yearly_snapshot(tables, args.key), f"{args.out}/rows", [args.key])
 
@@ -119,7 +122,7 @@ def _attributes(spark: SparkSession, args: argparse.Namespace) -> None:
     newer = workload.cleaned_year(newer.withColumnRenamed(args.newer_key or args.key, args.key), args.key)
     targets = delimited.read_text_columns(spark, args.targets).withColumnRenamed(args.targets_key, args.key)
     targets = workload.whole_numbers(targets.select(args.key, *presets.TARGETS), args.key)
-    table = workload.two_year_table(older, newer, targets, args.key)
+    table = materialize(workload.two_year_table(older, newer, targets, args.key), "wide")
     sinks.write_csv_with_position(table, f"{args.out}/features", [args.key])
     found = workload.predict_attributes(table, args.key, seed=args.seed, parallelism=args.parallelism)
     _write_predictions(found, args)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from snapledger import presets
 from snapledger.functions import clean
 from snapledger.operators import evaluate, features, modeling, reconcile, shaping, snapshot
+from snapledger.session import materialize
 
 TEXT_COLUMNS = ("Name", "Work_Rate")
 
@@ -160,15 +161,21 @@ def predict_attributes(
     train, test = (prepared.filter(F.col("fold") == f).drop("fold") for f in ("train", "test"))
     found = modeling.search_targets(train, key, targets, candidates or modeling.full_grid(), seed, **options)
     models = {t: s.model for t, s in found.items()}
-    unrounded = modeling.score(models, test, rounded=False)
     pairs = [c for t in targets for c in (modeling.predicted(t), t)]
+    # Scoring is the costly part: its result is stored for both the rows and the errors.
+    scored = materialize(modeling.score(models, test, rounded=False).select(key, *pairs), "scored")
     return Predictions(
-        modeling.score(models, test).select(key, *pairs),
+        _rounded(scored, targets),
         modeling.score_table(list(found.values()), table),
-        held_out_errors(unrounded, targets),
+        held_out_errors(scored, targets),
     )
 
 
+def _rounded(scored: DataFrame, targets: Sequence[str]) -> DataFrame:
+    names = [modeling.predicted(t) for t in targets]
+    return scored.withColumns({n: clean.round_half_even(F.col(n)) for n in names})
+
+
 def held_out_errors(scored: DataFrame, targets: Sequence[str]) -> DataFrame:
     """``(target, rmse, mae, r2)`` of all targets in one pass over the scored rows."""
     metrics = ("rmse", "mae", "r2")
@@ -206,11 +213,10 @@ def predict_overall(
     training = reconcile.missing_in(actual.select(*columns), inputs, key)
     prepared, stages = modeling.prepare(training, [key, label], [*extra, *targets])
     found = modeling.search(prepared, key, label, candidates or modeling.full_grid(), seed, **options)
-    scored = found.model.transform(stages.transform(scoring)).drop(modeling.FEATURES)
-    rounded = scored.withColumn(
-        modeling.predicted(label), clean.round_half_even(F.col(modeling.predicted(label)))
+    scored = materialize(found.model.transform(stages.transform(scoring)).drop(modeling.FEATURES), "scored")
+    return Predictions(
+        _rounded(scored, [label]), modeling.score_table([found], actual), held_out_errors(scored, [label])
     )
-    return Predictions(rounded, modeling.score_table([found], actual), held_out_errors(scored, [label]))
 
 
 def overall_shift(
