@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapledger.operators.shaping import union_aligned
-from snapledger.operators.skew import hot_split_join
+from snapledger.operators.skew import split_filter
 from snapledger.sources.literal import literal_rows
 
 
@@ -46,7 +46,7 @@ def fallback_rows(newer: DataFrame, older: DataFrame, key: str) -> DataFrame:
 
 def missing_dimension(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Fact rows without a dimension row. Facts may repeat a key at will, so hot keys go apart."""
-    return hot_split_join(facts, distinct_keys(dimension, key), key, "left_anti")
+    return split_filter(facts, dimension, key, present=False)
 
 
 def append_rows(df: DataFrame, rows: Sequence[Mapping[str, Any]]) -> DataFrame:

@@ -1,8 +1,8 @@
-"""A join whose fact side may have very frequent keys.
+"""A semi- or anti-join whose fact side may have very frequent keys.
 
 Adaptive execution splits skewed partitions only where both join inputs come straight from
-a shuffle. When the other side is itself the result of an aggregate or a join, the few hot keys
-are handled apart: their fact rows stay where they are and meet a broadcast of the matching rows.
+a shuffle. Here the other side is reduced to distinct keys first, so the few hot keys are handled
+apart: their fact rows stay where they are and meet a broadcast of the hot keys that are present.
 """
 
 from __future__ import annotations
@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_HOW = ("inner", "left", "left_semi", "left_anti")
-
 
 def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
     """Keys with at least ``share`` of all rows: never more than ``1 / share`` keys."""
@@ -20,24 +18,20 @@ def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
     return counts.filter((F.col("_rows") >= total * F.lit(share)) & F.col(key).isNotNull()).select(key)
 
 
-def hot_split_join(
-    facts: DataFrame, other: DataFrame, key: str, how: str = "inner", share: float = 0.01
+def split_filter(
+    facts: DataFrame, keys: DataFrame, key: str, present: bool, share: float = 0.01
 ) -> DataFrame:
-    """``facts`` joined with ``other``, which has at most one row per key.
+    """The fact rows whose key is ``present`` in ``keys``, or those whose key is not.
 
     Rows with a hot key are not shuffled at all; all the others are joined as Spark sees fit.
-    Both broadcasts, the hot keys and their rows of ``other``, have at most ``1 / share`` rows
-    whatever the data. Rows without a key match nothing and stay out of the shuffle, too. Nothing is
-    salted, so a repeated task yields the same rows.
+    Both broadcasts, the hot keys and those of them that occur in ``keys``, have at most
+    ``1 / share`` rows whatever the data. Rows without a key match nothing and stay out of the
+    shuffle, too. Nothing is salted, so a repeated task yields the same rows.
     """
-    if how not in _HOW:
-        raise ValueError(f"how must be one of {_HOW}")
+    how = "left_semi" if present else "left_anti"
+    known = keys.select(key).distinct()
     hot = F.broadcast(hot_keys(facts, key, share))
-    hot_other = other.join(hot, key, "left_semi")
-    hot_part = facts.join(hot, key, "left_semi").join(F.broadcast(hot_other), key, how)
-    keyed = facts.filter(F.col(key).isNotNull())
-    joined = hot_part.unionByName(keyed.join(hot, key, "left_anti").join(other, key, how))
-    if how in ("left", "left_anti"):
-        keyless = facts.filter(F.col(key).isNull())
-        return joined.unionByName(keyless, allowMissingColumns=True)
-    return joined
+    hot_part = facts.join(hot, key, "left_semi").join(F.broadcast(known.join(hot, key, "left_semi")), key, how)
+    rest = facts.filter(F.col(key).isNotNull()).join(hot, key, "left_anti").join(known, key, how)
+    filtered = hot_part.unionByName(rest)
+    return filtered if present else filtered.unionByName(facts.filter(F.col(key).isNull()))

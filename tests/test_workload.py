@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from snapledger import jobs, presets
 from snapledger.operators import modeling
 from snapledger.plans import workload
-from snapledger.sources import delimited
+from snapledger.sources import delimited, relational
 from tests.conftest import rows
 
 KEY = "player"
@@ -74,6 +74,24 @@ def test_snapshot(tables):
     }
 
 
+def test_snapshot_and_ages_jobs(spark, tables, tmp_path, monkeypatch):
+    """The database reads are replaced; the rest of the jobs runs."""
+    history, dimension, newer = tables
+    by_name = {"Player_Attributes": history, "Player": dimension}
+    monkeypatch.setattr(relational, "read_table", lambda spark, url, table, **_: by_name[table])
+    short = spark.createDataFrame([(1, 21390)], "id int, birthday int")
+    monkeypatch.setattr(relational, "read_query", lambda spark, url, query, **_: short)
+    newer.withColumnRenamed(KEY, "api_id").write.csv(f"{tmp_path}/newer", header=True)
+    argv = ["snapshot", "--url", "jdbc:x", "--newer", f"{tmp_path}/newer", "--newer-key", "api_id"]
+    jobs.run(spark, [*argv, "--history-rows", "100", "--key", KEY, "--out", f"{tmp_path}/out"])
+    found = delimited.read_inferred(spark, f"{tmp_path}/out/rows")
+    assert sorted(r[KEY] for r in found.collect()) == [1, 2, 3, 197937]
+    audit = {r.step: r.rows for r in delimited.read_inferred(spark, f"{tmp_path}/out/audit").collect()}
+    assert audit["only_newer"] == 1 and audit["in_both"] == 3
+    jobs.run(spark, ["ages", "--url", "jdbc:x", "--now", "2016-06-01", "--out", f"{tmp_path}/ages"])
+    assert delimited.read_inferred(spark, f"{tmp_path}/ages").first().age == 26
+
+
 def test_roster(spark, tmp_path):
     (tmp_path / "players.csv").write_text(
         "Name,Club,Nationality,Rating\nA,Arsenal,X,80\nB,Elsewhere,X,70\nC,Chelsea,X,75\nbroken,Chelsea\n"
