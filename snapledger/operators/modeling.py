@@ -24,9 +24,9 @@ from snapledger.session import ensure_checkpoint_dir, materialize, persisted
 FEATURES = "feature_cols"
 SCORE_SCHEMA = "label string, candidate string, metric string, score double, selected boolean"
 _FAMILIES = {"forest": RandomForestRegressor, "boosted": GBTRegressor}
-# Keep the node of each row instead of shipping the trees for every level, and put as many nodes
-# as fit into one pass over the data.
-_PASSES = {"cacheNodeIds": True, "maxMemoryInMB": 1024}
+# Keep the node of each row instead of shipping the trees for every level, and put twice the usual
+# number of nodes into one pass over the data. The memory is per running task.
+_PASSES = {"cacheNodeIds": True, "maxMemoryInMB": 512}
 
 
 def predicted(label: str) -> str:
