@@ -5,9 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from snapledger.plans import model_queries
+from snapledger.plans import model_queries, registry
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 NAMES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels"
     " conversations"
