@@ -1,4 +1,4 @@
 """Imports every module that registers queries of this subpackage."""
 
-from snapledger.llm import line_queries  # noqa: F401
+from snapledger.llm import line_queries, quality_queries  # noqa: F401
 from snapledger.llm.registry import ORACLES, QUERIES  # noqa: F401
