@@ -1,9 +1,10 @@
-"""The registered query of near-duplicate detection."""
+"""The registered queries of near-duplicate detection and substring dedup."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from snapledger.llm.chunk_dedup import repeated_spans
 from snapledger.llm.near_dup import near_duplicates
 from snapledger.llm.registry import query, table
 
@@ -36,3 +37,10 @@ def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose sets of five-word shingles have a similarity of 0.85 or more."""
     found = near_duplicates(table(spark, folder, "documents"), shingle=5, percent=85, trees=8)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query()
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents with passages of some 50 words that other documents hold, too, and where they are."""
+    found = repeated_spans(table(spark, folder, "documents"), average=20, min_chars=170)
+    return found.select("doc_id", "n_repeated", "n_removed", "repeated", "removed")
