@@ -13,9 +13,9 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at a time; a longer document is one slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Pieces remembered by a task, twice; longer pieces than MEMO_BYTES are not remembered.
-MEMO_SIZE = 400_000
+MEMO_SIZE = 150_000
 MEMO_BYTES = 48
 
 _IS_SPACE = np.zeros(256, bool)
