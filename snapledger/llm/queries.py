@@ -1,4 +1,4 @@
 """Imports every module that registers queries of this subpackage."""
 
-from snapledger.llm import dup_queries, leak_queries, line_queries, page_queries, quality_queries, token_queries  # noqa: F401
+from snapledger.llm import dup_queries, leak_queries, line_queries, page_queries, pii_queries, quality_queries, token_queries  # noqa: F401
 from snapledger.llm.registry import ORACLES, QUERIES  # noqa: F401
