@@ -91,7 +91,7 @@ class Tokens:
         first_of = np.append(-1, kept[:-1]) + 1 if len(kept) else kept
         spans = np.maximum.reduceat(opening, first_of) if len(kept) else opening[:0]
         starts, ends, self.text = starts[kept], ends[kept], text[kept]
-        self.bounds = np.searchsorted(self.text, np.arange(len(words.bounds)))
+        self.starts, self.bounds = starts, np.searchsorted(self.text, np.arange(len(words.bounds)))
         self.plain = segment_hashes(_lowered(data), starts, ends)
         digits = np.append(0, np.cumsum(_DIGIT[data]))
         first = data[starts]

@@ -60,7 +60,7 @@ class Words:
     """The words of a slice of texts: runs of bytes that are no ASCII white space."""
 
     def __init__(self, data: np.ndarray, texts_at: np.ndarray):
-        self.data = data
+        self.data, self.texts_at = data, texts_at
         space = np.ones(len(data) + 2, bool)
         space[1:-1] = _SPACE[data]
         # A text ends where the next begins, even without a space.
