@@ -90,3 +90,43 @@ def indicator(value: Column, wanted: str) -> Column:
 
 def _literal_pattern(separator: str) -> str:
     return "".join(f"\\{c}" if c in r"\^$.|?*+()[]{}" else c for c in separator)
+
+
+def whole_number(value: Column) -> Column:
+    """A number or number text as a 64-bit integer, halves to the even neighbour; unreadable values give null.
+
+    Integers are taken as they are; everything else goes through double.
+    """
+    return F.coalesce(value.cast("string").try_cast("bigint"), F.bround(value.try_cast("double"), 0).try_cast("bigint"))
+
+
+def fixed_decimals(value: Column, digits: int = 2) -> Column:
+    """A number with a fixed count of decimals, rounded as C prints it: by its binary value, ties to even.
+
+    Java's formatter rounds the shortest notation, which differs only where that is close to a tie. There the exact
+    remainder decides: the product with a power of ten is split into a rounded product and its error.
+    """
+    x = value.cast("double")
+    size, power = F.abs(x), float(10**digits)
+    product = size * power
+    below = F.floor(product).cast("double")
+    beyond = product - below - 0.5
+    # Veltkamp's splitting and Dekker's product: size * power = product + error, exactly.
+    spread = size * 134217729.0
+    high = spread - (spread - size)
+    error = (high * power - product) + (size - high) * power
+    rest = beyond + error
+    even = F.pmod(below, F.lit(2.0)) == 0
+    units = (below + F.when((rest < 0) | ((rest == 0) & even), 0.0).otherwise(1.0)).cast("long")
+    sign = F.when(x < 0, "-").otherwise("")
+    scale = 10**digits
+    text = F.concat(sign, ((units - F.pmod(units, F.lit(scale))) / scale).cast("long").cast("string"))
+    if digits:
+        text = F.concat(text, F.lit("."), F.lpad(F.pmod(units, F.lit(scale)).cast("string"), digits, "0"))
+    near_tie = (F.abs(beyond) <= 1e-6) & (product < float(1 << 52))
+    return (
+        F.when(F.isnan(x), "nan")
+        .when(size == float("inf"), F.concat(sign, F.lit("inf")))
+        .when(near_tie, text)
+        .when(x.isNotNull(), F.format_string(f"%.{digits}f", x))
+    )

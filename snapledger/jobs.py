@@ -86,8 +86,8 @@ def run(spark: SparkSession, argv: list[str]) -> None:
 
 
 def _roster(spark: SparkSession, args: argparse.Namespace) -> None:
-    players = delimited.read_text_columns(spark, args.players)
-    names = delimited.read_text_columns(spark, args.names)
+    players = delimited.read_text_columns(spark, args.players, mode="DROPMALFORMED")
+    names = delimited.read_text_columns(spark, args.names, mode="DROPMALFORMED")
     roster = workload.club_roster(players, names, args.key)
     sinks.write_key_list(roster, args.key, args.ids_out)
     sinks.write_csv(roster, args.out)
@@ -117,10 +117,10 @@ def _useful(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _attributes(spark: SparkSession, args: argparse.Namespace) -> None:
-    older = workload.cleaned_year(delimited.read_text_columns(spark, args.older), args.key)
-    newer = delimited.read_text_columns(spark, args.newer)
+    older = workload.cleaned_year(delimited.read_text_columns(spark, args.older, mode="DROPMALFORMED"), args.key)
+    newer = delimited.read_text_columns(spark, args.newer, mode="DROPMALFORMED")
     newer = workload.cleaned_year(newer.withColumnRenamed(args.newer_key or args.key, args.key), args.key)
-    targets = delimited.read_text_columns(spark, args.targets).withColumnRenamed(args.targets_key, args.key)
+    targets = delimited.read_text_columns(spark, args.targets, mode="DROPMALFORMED").withColumnRenamed(args.targets_key, args.key)
     targets = workload.whole_numbers(targets.select(args.key, *presets.TARGETS), args.key)
     table = materialize(workload.two_year_table(older, newer, targets, args.key), "wide")
     sinks.write_csv_with_position(table, f"{args.out}/features", [args.key])
@@ -131,7 +131,7 @@ def _attributes(spark: SparkSession, args: argparse.Namespace) -> None:
 def _overall(spark: SparkSession, args: argparse.Namespace) -> None:
     columns = [args.key, *[f"{t}_pred" for t in presets.TARGETS]]
     predictions = delimited.read_text_columns(spark, args.predictions).select(*columns)
-    actual = delimited.read_text_columns(spark, args.actual)
+    actual = delimited.read_text_columns(spark, args.actual, mode="DROPMALFORMED")
     found = workload.predict_overall(
         shaping.cast_all(predictions, [args.key], clean.round_half_even).withColumn(
             args.key, F.col(args.key).try_cast("bigint")
@@ -148,14 +148,18 @@ def _shift(spark: SparkSession, args: argparse.Namespace) -> None:
     columns = [args.predictions_key, *[f"{t}_pred" for t in presets.TARGETS]]
     predictions = delimited.read_text_columns(spark, args.predictions).select(*columns)
     predictions = predictions.withColumnRenamed(args.predictions_key, args.key)
-    newest = delimited.read_text_columns(spark, args.newest)
+    # Predictions keep their fractions.
+    predictions = shaping.cast_all(predictions, [args.key], lambda c: c.try_cast("double")).withColumn(
+        args.key, F.col(args.key).try_cast("bigint")
+    )
+    newest = delimited.read_text_columns(spark, args.newest, mode="DROPMALFORMED")
     rates = [c for c in newest.columns if c.startswith("work_rate_")]
     candidate = modeling.Candidate(
         "forest", {"maxDepth": args.depth, "numTrees": args.trees, "maxBins": presets.FOREST_BINS}
     )
     moved = workload.overall_shift(
         workload.whole_numbers(newest, args.key, rates),
-        workload.whole_numbers(predictions, args.key),
+        predictions,
         args.key,
         candidate,
         scale=args.scale,

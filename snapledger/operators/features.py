@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -113,13 +114,17 @@ def wide_two_snapshots(
     return prefix_except(older, prefixes[0], [key]).join(prefix_except(newer, prefixes[1], [key]), key)
 
 
-def hash_tenth(key: str, seed: int | None = None) -> Column:
-    """A number from 0 to 9 that depends on the key alone, not on partitioning or run."""
+def _hash_part(key: str, seed: int | None) -> Column:
+    """32 bits that depend on the key and the seed alone, not on partitioning or run."""
     text = F.col(key).cast("string")
     if seed is not None:
         text = F.concat_ws("|", text, F.lit(str(seed)))
-    leading = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
-    return (leading % 10).cast("int")
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
+def hash_tenth(key: str, seed: int | None = None) -> Column:
+    """A number from 0 to 9 that depends on the key alone, not on partitioning or run."""
+    return (_hash_part(key, seed) % 10).cast("int")
 
 
 def with_fold(df: DataFrame, key: str, train_tenths: int = presets.TRAIN_TENTHS, seed: int | None = None) -> DataFrame:
@@ -129,6 +134,24 @@ def with_fold(df: DataFrame, key: str, train_tenths: int = presets.TRAIN_TENTHS,
     )
 
 
-def sample_with_replacement(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """Each row a Poisson number of times with mean ``fraction``, which may exceed 1."""
-    return df.sample(withReplacement=True, fraction=fraction, seed=seed)
+def poisson_limits(mean: float) -> list[float]:
+    """The probabilities of at most 0, 1, 2, ... as far as a 32-bit fraction can tell them from 1."""
+    limits, term, total, k = [], math.exp(-mean), 0.0, 0
+    while total + term < 1 - 2.0**-33 and (k <= mean or term > 2.0**-40):
+        total += term
+        limits.append(total)
+        k += 1
+        term *= mean / k
+    return limits
+
+
+def sample_with_replacement(df: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
+    """Each row a Poisson number of times with mean ``fraction``, which may exceed 1.
+
+    The number follows from a hash of the key and the seed through the inverse of the distribution, so the sample is
+    the same for any partitioning; rows of equal keys are taken equally often.
+    """
+    chance = _hash_part(key, seed) / F.lit(float(1 << 32))
+    times = sum((F.when(chance >= limit, 1).otherwise(0) for limit in poisson_limits(fraction)), F.lit(0))
+    repeated = df.withColumn("_times", F.sequence(F.lit(1), times)).filter(times > 0)
+    return repeated.withColumn("_times", F.explode("_times")).drop("_times")

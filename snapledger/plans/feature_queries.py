@@ -127,11 +127,22 @@ def feature_wide_two_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     return wide.join(targets, "o_custkey")
 
 
-@query()
+_SAMPLE_SQL = " + ".join(f"(u >= {limit!r})::INTEGER" for limit in features.poisson_limits(2.5))
+
+
+@query(
+    f"""
+    SELECT o_orderkey, o_totalprice FROM (
+        SELECT o_orderkey, o_totalprice, unnest(range(0, {_SAMPLE_SQL})) AS i FROM (
+            SELECT o_orderkey, o_totalprice,
+                   CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|7'), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u
+            FROM orders))
+    """
+)
 def sample_with_replacement(spark: SparkSession, folder: str) -> DataFrame:
     """Each order two and a half times on average."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
-    return features.sample_with_replacement(orders, fraction=2.5, seed=7)
+    return features.sample_with_replacement(orders, "o_orderkey", fraction=2.5, seed=7)
 
 
 def _predictions(spark: SparkSession, folder: str) -> DataFrame:

@@ -204,3 +204,31 @@ def feature_indicators(spark: SparkSession, folder: str) -> DataFrame:
     word = clean.part(F.col("o_orderpriority"), "-", 1)
     rates = table(spark, folder, "orders").select("o_orderkey", word.alias("priority"))
     return features.indicators(rates, {"priority": "rate"})
+
+
+@query(
+    """
+    SELECT l_orderkey, l_linenumber, CAST(round_even(l_extendedprice * 1000000, 0) AS BIGINT) AS large,
+           CAST(round_even(l_quantity / 4, 0) AS BIGINT) AS quarter
+    FROM lineitem
+    """
+)
+def scalar_whole_number(spark: SparkSession, folder: str) -> DataFrame:
+    """Halves go to the even neighbour, and numbers beyond 32 bits stay."""
+    return table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        clean.whole_number(F.col("l_extendedprice") * 1000000).alias("large"),
+        clean.whole_number(F.col("l_quantity") / 4).alias("quarter"),
+    )
+
+
+@query(
+    """
+    SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders
+    """
+)
+def scalar_text_timestamp_to_date(spark: SparkSession, folder: str) -> DataFrame:
+    """The date of a timestamp written as text."""
+    written = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    return table(spark, folder, "orders").select("o_orderkey", clean.timestamp_text_to_date(written).alias("day"))

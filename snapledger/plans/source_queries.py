@@ -11,14 +11,22 @@ from snapledger.plans.registry import query, table
 from snapledger.session import new_folder
 from snapledger.sources import delimited, literal
 
+
+def _append_lines(lines: DataFrame, header: str, path: str) -> None:
+    """Add files of ready lines below the given header."""
+    raw = {"header": "true", "sep": "\u0001", "quote": ""}
+    lines.select(lines.columns[0]).toDF(header).write.mode("append").options(**raw).csv(path)
+
+
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def src_csv_dropmalformed(spark: SparkSession, folder: str) -> DataFrame:
     """Every customer once as a good line, once too short and once too long: the good ones stay."""
     customer = table(spark, folder, "customer")
     path = new_folder(spark, "csv")
     sinks.write_csv(customer, path)
-    sinks.write_csv(customer.select("c_custkey", "c_name"), path, mode="append")
-    sinks.write_csv(customer.withColumn("surplus", F.lit("x")), path, mode="append")
+    header = ",".join(customer.columns)
+    _append_lines(customer.select(F.concat_ws(",", "c_custkey", "c_name")), header, path)
+    _append_lines(customer.select(F.concat_ws(",", *customer.columns, F.lit("x"))), header, path)
     return delimited.read_typed(spark, path, customer.schema, mode="DROPMALFORMED")
 
 
@@ -34,7 +42,7 @@ def src_csv_permissive(spark: SparkSession, folder: str) -> DataFrame:
     customer = table(spark, folder, "customer")
     path = new_folder(spark, "csv")
     sinks.write_csv(customer, path)
-    sinks.write_csv(customer.select("c_custkey", "c_name"), path, mode="append")
+    _append_lines(customer.select(F.concat_ws(",", "c_custkey", "c_name")), ",".join(customer.columns), path)
     return delimited.read_typed(spark, path, customer.schema, mode="PERMISSIVE")
 
 
@@ -93,6 +101,45 @@ def sink_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return delimited.read_typed(spark, path, lineitem.schema)
 
 
+_TEXTS = """
+    SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  "' || text || '", 100%0A ' || chr(13) || chr(10)
+                   ELSE text END AS text
+    FROM documents
+"""
+
+
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with nulls, empty texts, quotes, blanks at the ends and line breaks."""
+    text, rest = F.col("text"), F.col("doc_id") % 5
+    quoted = F.concat(F.lit('  "'), text, F.lit('", 100%0A \r\n'))
+    changed = F.when(rest == 0, F.lit(None)).when(rest == 1, "").when(rest == 2, quoted).otherwise(text)
+    return table(spark, folder, "documents").select("doc_id", changed.alias("text"))
+
+
+@query(_TEXTS)
+def sink_csv_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Any text comes back from files with one line per row, which stay splittable."""
+    texts, path = _texts(spark, folder), new_folder(spark, "csv")
+    sinks.write_csv(texts, path, escape_line_breaks=True)
+    return delimited.read_typed(spark, path, texts.schema, line_breaks="escaped")
+
+
+@query(_TEXTS)
+def sink_csv_quoted_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Line breaks inside quotes, as other programs write and read them."""
+    texts, path = _texts(spark, folder), new_folder(spark, "csv")
+    sinks.write_csv(texts, path)
+    return delimited.read_typed(spark, path, texts.schema, line_breaks="quoted")
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+def src_csv_header_order(spark: SparkSession, folder: str) -> DataFrame:
+    """A schema finds its columns by name, in whatever order the file has them."""
+    customer, path = table(spark, folder, "customer"), new_folder(spark, "csv")
+    sinks.write_csv(customer.select("c_mktsegment", "c_acctbal", "c_name", "c_custkey"), path)
+    return delimited.read_typed(spark, path, customer.select("c_custkey", "c_name", "c_acctbal").schema)
+
+
 @query("SELECT CAST(o_custkey AS VARCHAR) AS o_custkey FROM orders")
 def sink_key_list(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "keys")
@@ -118,14 +165,19 @@ def sink_csv_indexed(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     """
     SELECT printf('%.2f', l_quantity) || ' ' || printf('%.2f', l_extendedprice / 7) || ' '
-           || printf('%.2f', -l_tax / 3) AS value
+           || printf('%.2f', -l_tax / 3) || ' ' || printf('%.2f', l_quantity / 8) || ' '
+           || printf('%.2f', l_quantity + 0.005::DOUBLE) AS value
     FROM lineitem
     """
 )
 def sink_fixed_decimals(spark: SparkSession, folder: str) -> DataFrame:
     lineitem = table(spark, folder, "lineitem").select(
-        "l_quantity", (F.col("l_extendedprice") / 7).alias("share"), (-F.col("l_tax") / 3).alias("tax")
+        "l_quantity",
+        (F.col("l_extendedprice") / 7).alias("share"),
+        (-F.col("l_tax") / 3).alias("tax"),
+        (F.col("l_quantity") / 8).alias("eighth"),
+        (F.col("l_quantity") + 0.005).alias("tie"),
     )
     path = new_folder(spark, "decimals")
-    sinks.write_fixed_decimals(lineitem, path, ["l_quantity", "share", "tax"])
+    sinks.write_fixed_decimals(lineitem, path, ["l_quantity", "share", "tax", "eighth", "tie"])
     return spark.read.text(path)

@@ -92,9 +92,8 @@ def snapshot_tables(
 
 
 def whole_numbers(df: DataFrame, key: str, exclude: Sequence[str] = ()) -> DataFrame:
-    """The key as a 64-bit and all other columns but the excluded ones as 32-bit ints."""
-    ints = shaping.cast_all(df, exclude=[key, *exclude], cast=lambda c: c.try_cast("double").try_cast("int"))
-    return ints.withColumn(key, F.col(key).try_cast("bigint"))
+    """The key and all other columns but the excluded ones as 64-bit integers, halves to the even neighbour."""
+    return shaping.cast_all(df, exclude=exclude, cast=clean.whole_number)
 
 
 def _common_types(df: DataFrame, key: str) -> DataFrame:

@@ -6,14 +6,31 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from snapledger.functions.clean import fixed_decimals
 from snapledger.operators.ordering import with_position
+from snapledger.sources.delimited import escape_breaks
 
 
 def write_csv(
-    df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    partition_by: Sequence[str] = (),
+    escape_line_breaks: bool = False,
 ) -> None:
-    writer = df.write.mode(mode).option("header", "true")
+    """CSV with a header, quotes doubled inside quotes; null is an empty field and empty text a quoted one.
+
+    Line breaks stand inside quotes, or as codes with ``escape_line_breaks``, so that every row is one line;
+    ``read_typed`` reads both (``line_breaks="quoted"`` or ``"escaped"``).
+    """
+    if escape_line_breaks:
+        texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        df = df.withColumns({c: escape_breaks(F.col(f"`{c}`")) for c in texts})
+    writer = df.write.mode(mode).options(
+        header="true", quote='"', escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+    )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)
@@ -38,11 +55,8 @@ def write_csv_with_position(
 def fixed_decimal_lines(
     df: DataFrame, columns: Sequence[str], digits: int = 2, separator: str = " "
 ) -> DataFrame:
-    """One text line per row, numbers with a fixed count of decimals, ``nan`` for null."""
-    texts = [
-        F.coalesce(F.when(F.col(c).isNotNull(), F.format_string(f"%.{digits}f", F.col(c).cast("double"))), F.lit("nan"))
-        for c in columns
-    ]
+    """One text line per row, numbers with a fixed count of decimals as C prints them, ``nan`` for null."""
+    texts = [F.coalesce(fixed_decimals(F.col(c), digits), F.lit("nan")) for c in columns]
     return df.select(F.concat_ws(separator, *texts).alias("value"))
 
 

@@ -1,37 +1,72 @@
-"""CSV sources."""
+"""CSV sources: columns are found by the names in the header, and no line or value is lost in silence."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Quotes are doubled inside quotes, as in pandas' files. An unquoted empty field is null and a quoted one is empty text:
+#: the parser tells them apart if null has a notation that no field has.
+DIALECT = {"header": "true", "quote": '"', "escape": '"', "nullValue": "\u0000"}
 
-def _text_schema(columns: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(name, T.StringType()) for name in columns])
+#: How line breaks, and the sign itself, are written in files of one line per row.
+BREAKS = (("%", "%25"), ("\n", "%0A"), ("\r", "%0D"))
+
+
+def escape_breaks(text: Column) -> Column:
+    """Text without line breaks, from which ``unescape_breaks`` makes the text again."""
+    for sign, code in BREAKS:
+        text = F.replace(text, F.lit(sign), F.lit(code))
+    return text
+
+
+def unescape_breaks(text: Column) -> Column:
+    for sign, code in reversed(BREAKS):
+        text = F.replace(text, F.lit(code), F.lit(sign))
+    return text
 
 
 def read_text_columns(
     spark: SparkSession,
     path: str | list[str],
     columns: Sequence[str] | None = None,
-    mode: str = "DROPMALFORMED",
+    mode: str = "FAILFAST",
+    line_breaks: str = "none",
     **options: str,
 ) -> DataFrame:
-    """All columns as text, names from ``columns`` or from the header.
+    """Columns as text: those named in ``columns``, found by their names in the header, or all that have a name.
+
+    ``mode`` decides on lines of too few or too many fields: ``FAILFAST`` is an error, ``PERMISSIVE`` fills up with nulls
+    or cuts off, ``DROPMALFORMED`` leaves them out. All files must have the same header; another one is an
+    error, except in the last two modes, where a file may be damaged in any way.
 
-    With ``DROPMALFORMED`` the parser must look at whole lines whatever columns the query
-    wants; otherwise counts and narrow selects keep lines that a full read drops. So column
-    pruning inside the parser is switched off for this read (pruning after it still happens).
+    ``line_breaks`` says how values may hold them: ``none``; ``quoted``, as they are inside quotes, for which every file is
+    read by one task; ``escaped``, as ``write_csv`` writes them on request, which keeps files splittable.
     """
-    reader = spark.read.options(header="true", mode=mode, **options)
-    if mode.upper() == "DROPMALFORMED":
+    settings = {**DIALECT, "multiLine": str(line_breaks == "quoted").lower(), **options}
+    names = spark.read.options(**settings).csv(path).columns
+    wanted = [n for i, n in enumerate(names) if n.strip() and n != f"_c{i}"]
+    reader = spark.read.options(**settings).option("mode", mode)
+    if mode.upper() != "PERMISSIVE":
+        # The parser must look at whole lines whatever columns the query wants; pruning happens after it.
         reader = reader.option("columnPruning", "false")
+    if mode.upper() == "FAILFAST" and len(wanted) == len(names):
+        reader = reader.option("enforceSchema", "false")
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
     if columns is not None:
-        return reader.schema(_text_schema(columns)).csv(path)
-    return drop_unnamed(reader.csv(path))
+        known = {n.lower(): n for n in wanted}
+        missing = [c for c in columns if c.lower() not in known]
+        if missing:
+            raise ValueError(f"no column {', '.join(missing)} in the header {', '.join(names)}")
+        wanted = list(columns)
+    text = reader.schema(schema).csv(path)
+    values = [F.col(f"`{c}`") for c in wanted]
+    if line_breaks == "escaped":
+        values = [unescape_breaks(v) for v in values]
+    return text.select(*[v.alias(c) for v, c in zip(values, wanted, strict=True)])
 
 
 def drop_unnamed(df: DataFrame) -> DataFrame:
@@ -44,16 +79,17 @@ def read_typed(
     spark: SparkSession,
     path: str | list[str],
     schema: T.StructType,
-    mode: str = "DROPMALFORMED",
+    mode: str = "FAILFAST",
     drop_unreadable: bool = False,
+    line_breaks: str = "none",
     **options: str,
 ) -> DataFrame:
-    """Declared types without an inference pass.
+    """The columns of ``schema``, found by name, with their declared types and without an inference pass.
 
     Unreadable values become null, or drop their row with ``drop_unreadable``. Both hold for
     every projection, as the check uses whole rows read as text.
     """
-    text = read_text_columns(spark, path, schema.fieldNames(), mode, **options)
+    text = read_text_columns(spark, path, schema.fieldNames(), mode, line_breaks, **options)
     typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
     if drop_unreadable:
         for f in schema.fields:
@@ -64,4 +100,4 @@ def read_typed(
 
 def read_inferred(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
     """Types from the data. Costs one more pass over the files: prefer :func:`read_typed`."""
-    return drop_unnamed(spark.read.options(header="true", inferSchema="true", **options).csv(path))
+    return drop_unnamed(spark.read.options(**{**DIALECT, "inferSchema": "true", **options}).csv(path))

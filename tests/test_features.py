@@ -64,8 +64,10 @@ def test_wide_table(spark):
 
 
 def test_sample_with_replacement(spark):
-    df = spark.range(4000)
-    found = features.sample_with_replacement(df, 2.5, seed=1)
-    assert rows(found) == rows(features.sample_with_replacement(df, 2.5, seed=1))
-    assert 9_500 < found.count() < 10_500
-    assert 1 < found.groupBy("id").count().agg(F.max("count")).first()[0] < 20
+    df = spark.range(2000).withColumnRenamed("id", "k")
+    found = features.sample_with_replacement(df, "k", 2.5, seed=1)
+    assert rows(found) == rows(features.sample_with_replacement(df.repartition(5), "k", 2.5, seed=1))
+    assert rows(found) != rows(features.sample_with_replacement(df, "k", 2.5, seed=2))
+    counts = [r["count"] for r in found.groupBy("k").count().collect()]
+    assert abs(sum(counts) / 2000 - 2.5) < 0.15 and abs((2000 - len(counts)) / 2000 - 0.082) < 0.025
+    assert features.sample_with_replacement(df, "k", 0.0, seed=1).count() == 0
\ No newline at end of file

@@ -20,9 +20,9 @@ def path(tmp_path):
 
 def test_malformed_lines_go_whatever_is_selected(spark, path):
     for df in (
-        delimited.read_text_columns(spark, path),
-        delimited.read_text_columns(spark, path, ["id", "n", "v"]),
-        delimited.read_typed(spark, path, SCHEMA),
+        delimited.read_text_columns(spark, path, mode="DROPMALFORMED"),
+        delimited.read_text_columns(spark, path, ["id", "n", "v"], mode="DROPMALFORMED"),
+        delimited.read_typed(spark, path, SCHEMA, mode="DROPMALFORMED"),
     ):
         assert df.count() == 1
         assert len(df.select("n").collect()) == 1
@@ -36,6 +36,33 @@ def test_permissive_keeps_all_lines(spark, path):
     assert df.count() == len(df.select("n").collect()) == 3
 
 
+def test_a_torn_line_is_an_error_by_default(spark, path):
+    for df in (delimited.read_text_columns(spark, path), delimited.read_typed(spark, path, SCHEMA).select("id")):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            df.collect()
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("b,a,other\n1,2,x\n")
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
+    assert tuple(delimited.read_typed(spark, str(tmp_path), schema).first()) == (2, 1)
+    with pytest.raises(ValueError, match="no column c"):
+        delimited.read_text_columns(spark, str(tmp_path), ["a", "c"])
+    (tmp_path / "b.csv").write_text("a,b,other\n1,2,x\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        delimited.read_typed(spark, str(tmp_path), schema).collect()
+
+
+def test_texts_survive(spark, tmp_path):
+    values = ["a\nb", "", None, ' "q", x ', "50%0A\r\n", "\\n", "%25", ",", "''", '"']
+    df = spark.createDataFrame(list(enumerate(values)), "id int, t string")
+    sinks.write_csv(df, f"{tmp_path}/e", escape_line_breaks=True)
+    sinks.write_csv(df, f"{tmp_path}/q")
+    for name, how in (("e", "escaped"), ("q", "quoted")):
+        found = delimited.read_typed(spark, f"{tmp_path}/{name}", df.schema, line_breaks=how)
+        assert [r.t for r in found.orderBy("id").collect()] == values
+
+
 def test_unreadable_values(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,n,v\n1,a,x\n2,b,\n3,c,4\n")
     kept = delimited.read_typed(spark, str(tmp_path), SCHEMA)
@@ -108,6 +135,15 @@ def test_fixed_decimals(spark):
     assert [r.value for r in sinks.fixed_decimal_lines(df, ["a", "b"]).collect()] == ["1.00 2.35", "nan -0.50"]
 
 
+def test_fixed_decimals_round_as_c(spark):
+    values = [1.005, 0.125, 2.675, 0.375, -0.125, 1e15 / 8, 1e20, -0.001, float("nan"), float("inf"), -float("inf"), 0.0, 999.995]
+    values += [k / 8 for k in range(40)] + [k + 0.005 for k in range(200)] + [k / 1000 for k in range(0, 3000, 5)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (0, 1, 2, 3):
+        found = sinks.fixed_decimal_lines(df, ["v"], digits).collect()
+        assert [r.value for r in found] == [f"{v:.{digits}f}" for v in values]
+
+
 def test_shared_folder_is_the_session_setting(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:

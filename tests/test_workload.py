@@ -106,7 +106,7 @@ def test_roster(spark, tmp_path):
     (tmp_path / "few.csv").write_text("Name,url\nA,/player/11/a\n")
     with pytest.raises(ValueError):
         workload.club_roster(
-            delimited.read_text_columns(spark, f"{tmp_path}/players.csv"),
+            delimited.read_text_columns(spark, f"{tmp_path}/players.csv", mode="DROPMALFORMED"),
             delimited.read_text_columns(spark, f"{tmp_path}/few.csv"),
             "pid",
         )
@@ -144,6 +144,8 @@ def league(spark):
 def test_wide_keys_survive(spark):
     df = spark.createDataFrame([("8000000000", "7", "x")], "k string, a string, b string")
     assert tuple(workload.whole_numbers(df, "k").first()) == (8_000_000_000, 7, None)
+    df = spark.createDataFrame([("1", "79.6", 3e9, 2.5)], "k string, a string, b double, c double")
+    assert tuple(workload.whole_numbers(df, "k").first()) == (1, 80, 3_000_000_000, 2)
 
 
 def test_cleaned_year(league):
