@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 
 def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
-    """Keys with at least ``share`` of all rows: never more than ``1 / share`` keys."""
+    """Keys with at least ``share`` of all rows: never more than ``1 / share`` keys. One pass over the key."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows").alias("_total")).scalar()
+    total = df.agg(F.count(F.lit(1)).alias("_total")).scalar()
     return counts.filter((F.col("_rows") >= total * F.lit(share)) & F.col(key).isNotNull()).select(key)
 
 
@@ -23,15 +23,22 @@ def split_filter(
 ) -> DataFrame:
     """The fact rows whose key is ``present`` in ``keys``, or those whose key is not.
 
-    Rows with a hot key are not shuffled at all; all the others are joined as Spark sees fit.
-    Both broadcasts, the hot keys and those of them that occur in ``keys``, have at most
-    ``1 / share`` rows whatever the data. Rows without a key match nothing and stay out of the
-    shuffle, too. Nothing is salted, so a repeated task yields the same rows.
+    The keys of the facts are counted once, and those with at least ``share`` of the rows come to the
+    driver: at most ``1 / share`` values, whatever the data. With none, which is the usual case, a plain join follows. Rows
+    with a hot key are not shuffled: whether it occurs in ``keys`` is looked up once and becomes a literal list. Rows
+    without a key match nothing and stay out of the shuffle, too. Nothing is salted, so a repeated task yields the same rows.
     """
-    how = "left_semi" if present else "left_anti"
     known = keys.select(key).distinct()
-    hot = F.broadcast(hot_keys(facts, key, share))
-    hot_part = facts.join(hot, key, "left_semi").join(F.broadcast(known.join(hot, key, "left_semi")), key, how)
-    rest = facts.filter(F.col(key).isNotNull()).join(hot, key, "left_anti").join(known, key, how)
-    filtered = hot_part.unionByName(rest)
-    return filtered if present else filtered.unionByName(facts.filter(F.col(key).isNull()))
+    hot = [r[0] for r in hot_keys(facts, key, share).collect()]
+    value = F.col(key)
+    if hot:
+        found = {r[0] for r in known.filter(value.isin(hot)).collect()}
+        wanted = [k for k in hot if (k in found) == present]
+        apart = facts.filter(value.isin(wanted)) if wanted else None
+        cold = facts.filter(value.isNotNull() & ~value.isin(hot))
+    else:
+        apart, cold = None, facts.filter(value.isNotNull())
+    result = cold.join(known, key, "left_semi" if present else "left_anti")
+    if apart is not None:
+        result = result.unionByName(apart)
+    return result if present else result.unionByName(facts.filter(value.isNull()))

@@ -110,21 +110,17 @@ _MID, _LATE = dt.date(1997, 12, 31), dt.date(1999, 12, 31)
     """
 )
 def feature_wide_two_snapshots(spark: SparkSession, folder: str) -> DataFrame:
-    """The latest order of two periods side by side, with targets from a third."""
+    """The latest order of two periods side by side, with targets from a third, in one pass over the orders."""
+    stamp, columns = F.to_date("o_orderdate"), ["o_totalprice", "o_orderpriority"]
+    older, newer = stamp <= F.lit(_MID), (stamp > F.lit(_MID)) & (stamp <= F.lit(_LATE))
+    after = F.when(stamp > F.lit(_LATE), F.col("o_totalprice"))
+    sums = {"target_orders": F.count(after), "target_price": F.max(after)}
+    periods = {"old": older, "new": newer}
     orders = table(spark, folder, "orders")
-    keep = ["o_custkey", "o_totalprice", "o_orderpriority"]
-    day = dt.timedelta(days=1)
-
-    def latest(first: dt.date | None, last: dt.date) -> DataFrame:
-        return snapshot.latest_in_window(orders, "o_custkey", ["o_orderkey"], "o_orderdate", first, last).select(*keep)
-
-    wide = features.wide_two_snapshots(latest(None, _MID), latest(_MID + day, _LATE), "o_custkey")
-    targets = (
-        shaping.in_window(orders, "o_orderdate", _LATE + day)
-        .groupBy("o_custkey")
-        .agg(F.count(F.lit(1)).alias("target_orders"), F.max("o_totalprice").alias("target_price"))
-    )
-    return wide.join(targets, "o_custkey")
+    both = snapshot.latest_per_period(orders, "o_custkey", ["o_orderkey"], columns, sums, **periods)
+    known = both.filter(F.col("old").isNotNull() & F.col("new").isNotNull() & (F.col("target_orders") > 0))
+    wide = [F.col(f"{p}.{c}").alias(f"{p}_{c}") for p in periods for c in columns]
+    return known.select("o_custkey", *wide, *sums)
 
 
 _SAMPLE_SQL = " + ".join(f"(u >= {limit!r})::INTEGER" for limit in features.poisson_limits(2.5))

@@ -28,12 +28,10 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders")
 
 
-def _snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    return snapshot.latest_in_window(_orders(spark, folder), KEY, ["o_orderkey"], "o_orderdate", FIRST, LAST)
-
-
-def _newest(spark: SparkSession, folder: str) -> DataFrame:
-    return snapshot.latest_per_key(_orders(spark, folder), KEY, ["o_orderkey"])
+def _snapshot(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    return snapshot.latest_in_window(
+        _orders(spark, folder), KEY, ["o_orderkey"], "o_orderdate", FIRST, LAST, columns or None
+    )
 
 
 def _customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -91,7 +89,7 @@ def join_inner_using(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def join_left_using(spark: SparkSession, folder: str) -> DataFrame:
-    found = _snapshot(spark, folder).select(KEY, "o_orderkey", "o_totalprice")
+    found = _snapshot(spark, folder, "o_orderkey", "o_totalprice").select(KEY, "o_orderkey", "o_totalprice")
     return reconcile.with_optional(_customers(spark, folder).select(KEY, "c_name"), found, KEY)
 
 
@@ -125,7 +123,9 @@ def join_left_semi(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def reconcile_fallback_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return reconcile.fallback_rows(_newest(spark, folder), _snapshot(spark, folder), KEY)
+    """Both sides come from one table, so one pass picks the versions and tells the fallback rows."""
+    picked = snapshot.latest_with_fallback(_orders(spark, folder), KEY, ["o_orderkey"], "o_orderdate", FIRST, LAST)
+    return picked.filter(F.col("origin") == "fallback").drop("origin")
 
 
 @query(
@@ -139,10 +139,18 @@ def reconcile_fallback_rows(spark: SparkSession, folder: str) -> DataFrame:
     """
 )
 def reconcile_two_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """Snapshot with its dimension, and rows of a newer table where the snapshot has none."""
-    found = _snapshot(spark, folder).select(KEY, "o_orderkey", "o_totalprice")
+    """Snapshot with its dimension, and rows of a newer table where the snapshot has none.
+
+    The orders are read once: both tables are cut from one row per customer, which is stored.
+    """
+    inside = F.to_date("o_orderdate").between(F.lit(FIRST), F.lit(LAST))
+    columns = ["o_orderkey", "o_totalprice"]
+    periods = {"window": inside, "newest": F.lit(True)}
+    latest = snapshot.latest_per_period(_orders(spark, folder), KEY, columns[:1], columns, **periods)
+    latest = materialize(latest, "latest")
+    found = latest.filter(F.col("window").isNotNull()).select(KEY, "window.*")
     names = _customers(spark, folder).select(KEY, "c_name")
-    newer = _newest(spark, folder).select(KEY, "o_orderkey", "o_totalprice").join(names, KEY)
+    newer = latest.select(KEY, "newest.*").join(names, KEY)
     dimension = _solvent(spark, folder).select(KEY, "c_name")
     return reconcile.reconcile(newer, found, dimension, KEY, origin="origin")
 

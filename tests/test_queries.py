@@ -87,6 +87,28 @@ def test_a_hot_key_of_two_plain_scans_is_split(spark, tmp_path):
     assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize(
+    "name", ["join_left_using", "reconcile_fallback_rows", "feature_wide_two_snapshots", "reconcile_missing_dimension"]
+)
+def test_the_fact_is_read_once(spark, tables, name):
+    """And, where nothing is hot, a filter by a dimension reads rows without a key apart."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES[name](spark, tables)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    scans = [line for line in plan.splitlines() if "orders.parquet" in line and "FileScan" in line]
+    nulls_only = [line for line in scans if "IsNull(o_custkey)" in line]
+    assert len(scans) - len(nulls_only) == 1
+
+
+def test_only_wanted_columns_of_the_latest_version_are_read(spark, tables):
+    plan = QUERIES["join_left_using"](spark, tables)._jdf.queryExecution().executedPlan().toString()
+    (scan,) = [line for line in plan.splitlines() if "orders.parquet" in line and "FileScan" in line]
+    assert "o_orderpriority" not in scan and "o_orderstatus" not in scan
+
+
 def test_narrow_reads(spark, tables):
     plan = QUERIES["agg_group_max"](spark, tables)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
