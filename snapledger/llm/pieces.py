@@ -1,8 +1,9 @@
 """Encoding a column of texts piece by piece: numpy and Arrow inside a task.
 
-A text is cut before each ASCII space that follows a character which is no white space. Tokenizers
-whose pattern never crosses such a place give the same ids for the pieces as for the whole text, and
-pieces repeat: each distinct one of a slice is encoded once and its ids are copied to its places.
+A text is cut before each ASCII space that follows a character which is no white space, and before a mark
+such as a comma that follows a letter or digit. Tokenizers whose pattern never crosses such a place give the
+same ids for the pieces as for the whole text, and pieces repeat: each distinct one of a slice is encoded once and its
+ids are copied to its places.
 """
 
 from __future__ import annotations
@@ -22,6 +23,19 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 #: The ids of each piece, as little-endian unsigned 32-bit integers.
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+
+#: Marks before which a text is cut.
+MARKS = b",.;:!?"
+_IS_MARK = np.zeros(256, bool)
+_IS_MARK[list(MARKS)] = True
+
+#: White space as a space and A-Z lower-cased, for models that drop white space and lower-case by themselves.
+FOLDED = np.arange(256, dtype=np.uint8)
+FOLDED[65:91] += 32
+FOLDED[9:14] = 32
+
 Encode = Callable[[Sequence[bytes]], list[bytes]]
 
 
@@ -58,6 +72,11 @@ def _cuts(data: np.ndarray) -> np.ndarray:
     two = (data[wide - 2] == 0xC2) & (wide >= 2)
     three = (wide >= 3) & (data[wide - 3] >= 0xE1) & (data[wide - 3] <= 0xE3)
     cut[wide[two | three]] = False
+    # Letters and digits of ASCII, and the letters of Latin-1 (C3 and a byte, but for two signs).
+    mark = np.flatnonzero(_IS_MARK[data[1:]]) + 1
+    last = data[mark - 1]
+    latin = (mark >= 2) & (data[mark - 2] == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7)
+    cut[mark[_ALNUM[last] | latin]] = True
     return cut
 
 
@@ -70,10 +89,13 @@ def _slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         first = last
 
 
-def encode_slices(texts: pa.Array, memo: Memo) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def encode_slices(
+    texts: pa.Array, memo: Memo, fold: np.ndarray | None = None, unless: bytes = b""
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For slices of ``texts`` in their order: all ids, and where each text's ids begin and end.
 
-    Null and empty texts have no ids.
+    Null and empty texts have no ids. ``fold`` maps the bytes of a slice to others that have the same ids, so that
+    fewer pieces are distinct; slices that hold ``unless`` stay as they are.
     """
     texts = texts.fill_null("").cast(pa.large_string())
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -85,6 +107,9 @@ def encode_slices(texts: pa.Array, memo: Memo) -> Iterator[tuple[np.ndarray, np.
             continue
         buffer = whole.slice(begin, end - begin)
         data = np.frombuffer(buffer, np.uint8)
+        if fold is not None and unless not in memoryview(buffer).tobytes():
+            data = fold[data]
+            buffer = pa.py_buffer(data)
         cut = _cuts(data)
         texts_at = offsets[first : last + 1] - begin
         cut[texts_at[:-1][texts_at[:-1] < len(data)]] = True
