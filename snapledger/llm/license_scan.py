@@ -26,12 +26,13 @@ from snapledger.llm.license_templates import TEMPLATES, UNRELATED
 from snapledger.llm.wordhash import mix, text_slices
 
 #: Words of a window of a long paragraph, and words from one window to the next.
-WINDOW, STRIDE = 64, 32
+WINDOW, STRIDE = 32, 16
 #: Variations of each template and of each unrelated sentence to learn from; as many again calibrate.
 VARIATIONS = 6
 LEAST_PROBABILITY = 0.5
-#: Share of a template's bigrams that a paragraph must hold.
+#: Share of a template's bigrams that a window must hold, of at most as many as fit in well.
 LEAST_COVER = 0.6
+MOST_BIGRAMS = 24
 
 UNKNOWN = "unknown"
 FAMILIES = (UNKNOWN, *dict.fromkeys(family for family, _, _ in TEMPLATES))
@@ -49,7 +50,7 @@ class Paragraphs:
         new = np.ones(n, bool)
         new[1:] = (tokens.text[1:] != tokens.text[:-1]) | (lines[1:] != lines[:-1])
         starts = np.flatnonzero(new)
-        ends = np.append(starts[1:], n)
+        ends = np.append(starts[1:], n)[: len(starts)]
         size = ends - starts
         count = np.where(size <= WINDOW, 1, -(-(size - WINDOW) // STRIDE) + 1)
         step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
@@ -188,7 +189,9 @@ class LicenseModel:
             inside = slice(p.start[w], p.end[w])
             own = np.unique(p.bigrams[inside][p.paired[inside]])
             covers = [
-                (np.isin(bigrams, own).mean(), name) for family, name, bigrams in self.templates if family == best[k]
+                (min(1.0, np.isin(bigrams, own).sum() / min(len(bigrams), MOST_BIGRAMS)), name)
+                for family, name, bigrams in self.templates
+                if family == best[k]
             ]
             cover, name = max(covers)
             if cover >= LEAST_COVER:
