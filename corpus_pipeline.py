@@ -29,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that many of them share; ``n_chars`` follows the text."""
     kept = dedup_lines(docs, min_docs=MIN_DOCS).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(docs.columns)
+    return kept.select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
