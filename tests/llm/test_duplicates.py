@@ -105,7 +105,9 @@ def test_passages_resist_shifts(spark):
     for k in range(1, 6):
         (span,) = found[k].removed
         text = rows[k][1]
-        assert len(passage) - 150 < span.end - span.start and text[span.start : span.end].strip() in passage
+        # The texts may agree on a few characters beyond the passage.
+        assert len(passage) - 150 < span.end - span.start < len(passage) + 20
+        assert text[span.start + 20 : span.end - 20] in passage
     assert len(found[11].removed) == 1 and found[11].n_removed > 0.8 * len(rows[0][1])
     kept = {r.doc_id: r.text for r in dedup_substrings(df).collect()}
     assert kept[0] == rows[0][1] and kept[10] == rows[6][1]
