@@ -14,7 +14,7 @@ from snapledger import presets, sinks
 from snapledger.functions import clean
 from snapledger.operators import evaluate, modeling, shaping
 from snapledger.plans import workload
-from snapledger.session import build_session, materialize
+from snapledger.session import build_session, stored
 from snapledger.sources import delimited, relational
 
 
@@ -32,8 +32,7 @@ def _parser() -> argparse.ArgumentParser:
     snap.add_argument("--driver")
     snap.add_argument("--history-table", default="Player_Attributes")
     snap.add_argument("--dimension-table", default="Player")
-    snap.add_argument("--history-rows", type=int, help="largest history id, for parallel reads")
-    snap.add_argument("--parts", type=int, default=64)
+    snap.add_argument("--parts", type=int, default=64, help="parallel range reads of a table")
     snap.add_argument("--newer", required=True)
     snap.add_argument("--newer-key", help="name of the key in the newer file")
     snap.add_argument("--first", type=dt.date.fromisoformat, default=presets.WINDOW_START)
@@ -68,6 +67,8 @@ def _parser() -> argparse.ArgumentParser:
     ages.add_argument("--url", required=True, help="JDBC URL")
     ages.add_argument("--driver")
     ages.add_argument("--query", default="select * from Player")
+    ages.add_argument("--split-column", default="id")
+    ages.add_argument("--parts", type=int, default=16)
     ages.add_argument("--now", type=dt.date.fromisoformat, default=dt.date.today())
     ages.add_argument("--out", required=True)
 
@@ -94,20 +95,21 @@ def _roster(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _snapshot(spark: SparkSession, args: argparse.Namespace) -> None:
-    split = None
-    if args.history_rows:
-        split = relational.ReadSplit("id", "0", str(args.history_rows), args.parts)
-    history = relational.read_table(spark, args.url, args.history_table, split=split, driver=args.driver)
-    dimension = relational.read_table(spark, args.url, args.dimension_table, driver=args.driver)
+    # The database sends only the days of the window.
+    versions = relational.window_query(args.history_table, "date", args.first, args.last)
+    parts = {"column": "id", "parts": args.parts, "driver": args.driver}
+    history = relational.read_in_parts(spark, args.url, query=versions, **parts)
+    dimension = relational.read_in_parts(spark, args.url, table=args.dimension_table, **parts)
     newer = delimited.read_text_columns(spark, args.newer, mode="PERMISSIVE")
     newer = newer.withColumnRenamed(args.newer_key or args.key, args.key)
     tables = workload.snapshot_tables(
         history, dimension, newer, args.key, [presets.patch_player(args.key)], args.first, args.last, args.as_of
     )
     # The history is read once; what is left of it has one row per entity.
-    tables = replace(tables, snapshot=materialize(tables.snapshot, "snapshot"))
-    sinks.write_csv(workload.snapshot_audit(tables, args.key), f"{args.out}/audit")
-    sinks.write_csv_with_position(workload.yearly_snapshot(tables, args.key), f"{args.out}/rows", [args.key])
+    with stored(tables.snapshot, "snapshot") as latest:
+        tables = replace(tables, snapshot=latest)
+        sinks.write_csv(workload.snapshot_audit(tables, args.key), f"{args.out}/audit")
+        sinks.write_csv_with_position(workload.yearly_snapshot(tables, args.key), f"{args.out}/rows", [args.key])
 
 
 def _useful(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -122,10 +124,10 @@ def _attributes(spark: SparkSession, args: argparse.Namespace) -> None:
     newer = workload.cleaned_year(newer.withColumnRenamed(args.newer_key or args.key, args.key), args.key)
     targets = delimited.read_text_columns(spark, args.targets, mode="DROPMALFORMED").withColumnRenamed(args.targets_key, args.key)
     targets = workload.whole_numbers(targets.select(args.key, *presets.TARGETS), args.key)
-    table = materialize(workload.two_year_table(older, newer, targets, args.key), "wide")
-    sinks.write_csv_with_position(table, f"{args.out}/features", [args.key])
-    found = workload.predict_attributes(table, args.key, seed=args.seed, parallelism=args.parallelism)
-    _write_predictions(found, args)
+    with stored(workload.two_year_table(older, newer, targets, args.key), "wide") as table:
+        sinks.write_csv_with_position(table, f"{args.out}/features", [args.key])
+        found = workload.predict_attributes(table, args.key, seed=args.seed, parallelism=args.parallelism)
+        _write_predictions(found, args)
 
 
 def _overall(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -170,7 +172,9 @@ def _shift(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _ages(spark: SparkSession, args: argparse.Namespace) -> None:
-    people = relational.read_query(spark, args.url, args.query, driver=args.driver)
+    people = relational.read_in_parts(
+        spark, args.url, query=args.query, column=args.split_column, parts=args.parts, driver=args.driver
+    )
     sinks.write_csv(workload.ages_from_short_birthdays(people, args.now), args.out)
 
 

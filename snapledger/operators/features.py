@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from snapledger import presets
 from snapledger.functions import clean
+from snapledger.operators.ordering import with_position
 from snapledger.operators.shaping import prefix_except
 
 
@@ -74,6 +75,17 @@ def index_stage(
     return StringIndexer(inputCols=list(columns), outputCols=outputs, handleInvalid="keep")
 
 
+def index_by_frequency(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Add the rank of the column's value as a double: the most frequent is 0, ties are alphabetical.
+
+    For domains too large for a list on the driver: values are counted, numbered by a range sort and joined back.
+    Rows without a value get null.
+    """
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = with_position(counts, [F.desc("_n"), F.col(column)], name, ties=False)
+    return df.join(ranked.select(column, F.col(name).cast("double").alias(name)), column, "left")
+
+
 def one_hot_stage(columns: Sequence[str], suffix: str = "_he") -> OneHotEncoder:
     return OneHotEncoder(
         inputCols=[f"{c}_indexed" for c in columns],

@@ -39,7 +39,9 @@ _INDEXED = """
 @query(_INDEXED)
 def feature_string_index(spark: SparkSession, folder: str) -> DataFrame:
     part = table(spark, folder, "part").select("p_partkey", "p_brand", "p_type")
-    return features.index_stage(["p_brand", "p_type"]).fit(part).transform(part)
+    for column in ("p_brand", "p_type"):
+        part = features.index_by_frequency(part, column, f"{column}_indexed")
+    return part.select("p_partkey", "p_brand", "p_type", "p_brand_indexed", "p_type_indexed")
 
 
 # The closed domain of order priorities.

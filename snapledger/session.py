@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -40,15 +41,22 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a temporary folder of its own;
     a cluster session without it is an error, as a machine-local folder would be lost
-    with its machine.
+    with its machine. On a cluster a path that names no file system and means local disks is warned of.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    local = context.master == "local" or context.master.startswith("local[")
     if configured:
+        if not local and ":" not in configured:
+            default = context._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+            if default.startswith("file:"):
+                warnings.warn(f"spark.checkpoint.dir {configured} is on local disks unless they are shared", stacklevel=2)
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not local:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _LOCAL_FOLDERS.setdefault(context.applicationId, tempfile.mkdtemp(prefix="snapledger-"))
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="snapledger-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -74,6 +82,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stored(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder for the body of a ``with`` block; the files go when it ends."""
+    spark = df.sparkSession
+    path = new_folder(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 @contextmanager
 def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
     """Keep ``df`` for the body of a ``with`` block and release it afterwards."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,19 +60,32 @@ def read_query(spark: SparkSession, url: str, query: str, **kwargs) -> DataFrame
     return spark.read.format("jdbc").options(**jdbc_options(url, query=query, **kwargs)).load()
 
 
-def remainder_predicates(column: str, parts: int) -> list[str]:
-    """Disjoint and complete conditions for ids with gaps, where equal ranges would be uneven."""
-    first = f"MOD({column}, {parts}) = 0 OR {column} IS NULL"
-    others = [f"MOD(ABS({column}), {parts}) = {i}" for i in range(1, parts)]
-    return [first, *others]
+def bounds_query(column: str, table: str | None = None, query: str | None = None) -> str:
+    """One row with the least and the largest value of the column that a read is split by."""
+    source = table if query is None else f"({query.rstrip().rstrip(';')}) source_rows"
+    return f"SELECT MIN({column}) AS low, MAX({column}) AS high FROM {source}"
 
 
-def read_table_by_predicates(
+def window_query(table: str, column: str, first: dt.date, last: dt.date) -> str:
+    """The rows of the days ``first`` to ``last``; works for dates, timestamps and ISO texts of them."""
+    return f"SELECT * FROM {table} WHERE {column} >= '{first}' AND {column} < '{last + dt.timedelta(days=1)}'"
+
+
+def read_in_parts(
     spark: SparkSession,
     url: str,
-    table: str,
-    predicates: Sequence[str],
-    properties: Mapping[str, str] | None = None,
+    column: str,
+    parts: int,
+    table: str | None = None,
+    query: str | None = None,
+    driver: str | None = None,
 ) -> DataFrame:
-    """One task per condition."""
-    return spark.read.jdbc(url, table, predicates=list(predicates), properties=dict(properties or {}))
+    """A table or query read by ``parts`` range scans over a numeric column, between bounds asked of the database.
+
+    Rows without a value in the column come with the first part, as Spark's ranges are open at both ends.
+    """
+    low, high = read_query(spark, url, bounds_query(column, table, query), driver=driver).first()
+    split = None if low is None else ReadSplit(column, str(low), str(high), parts)
+    if query is None:
+        return read_table(spark, url, table, split=split, driver=driver)
+    return read_query(spark, url, query, split=split, driver=driver)

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -107,11 +109,29 @@ def test_jdbc_options():
             relational.jdbc_options("jdbc:x", **wrong)
 
 
-def test_remainder_predicates_are_disjoint_and_complete(spark):
-    ids = spark.createDataFrame([(v,) for v in [None, *range(-20, 21)]], "id int")
-    counts = [ids.filter(p).count() for p in relational.remainder_predicates("id", 4)]
-    assert sum(counts) == 42 and len(counts) == 4
-    assert ids.filter(" OR ".join(f"({p})" for p in relational.remainder_predicates("id", 4))).count() == 42
+def test_reads_are_split_between_the_bounds(spark, monkeypatch):
+    asked = []
+
+    def read(name):
+        def reader(spark, url, source, split=None, driver=None):
+            asked.append((name, source, split))
+            return spark.createDataFrame([(3, 900)], "low int, high int")
+
+        return reader
+
+    monkeypatch.setattr(relational, "read_query", read("query"))
+    monkeypatch.setattr(relational, "read_table", read("table"))
+    relational.read_in_parts(spark, "jdbc:x", "id", 8, table="t")
+    window = relational.window_query("t", "date", dt.date(2015, 1, 1), dt.date(2015, 12, 31))
+    assert window == "SELECT * FROM t WHERE date >= '2015-01-01' AND date < '2016-01-01'"
+    relational.read_in_parts(spark, "jdbc:x", "id", 8, query=window + ";")
+    split = relational.ReadSplit("id", "3", "900", 8)
+    assert asked == [
+        ("query", "SELECT MIN(id) AS low, MAX(id) AS high FROM t", None),
+        ("table", "t", split),
+        ("query", f"SELECT MIN(id) AS low, MAX(id) AS high FROM ({window}) source_rows", None),
+        ("query", window + ";", split),
+    ]
 
 
 def test_sinks_round_trip(spark, tmp_path):

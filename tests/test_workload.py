@@ -77,13 +77,18 @@ def test_snapshot(tables):
 def test_snapshot_and_ages_jobs(spark, tables, tmp_path, monkeypatch):
     """The database reads are replaced; the rest of the jobs runs."""
     history, dimension, newer = tables
-    by_name = {"Player_Attributes": history, "Player": dimension}
-    monkeypatch.setattr(relational, "read_table", lambda spark, url, table, **_: by_name[table])
     short = spark.createDataFrame([(1, 21390)], "id int, birthday int")
-    monkeypatch.setattr(relational, "read_query", lambda spark, url, query, **_: short)
+    asked = []
+
+    def read(spark, url, column, parts, table=None, query=None, driver=None):
+        asked.append((column, table, query))
+        return dimension if table else short if "WHERE" not in query else history
+
+    monkeypatch.setattr(relational, "read_in_parts", read)
     newer.withColumnRenamed(KEY, "api_id").write.csv(f"{tmp_path}/newer", header=True)
     argv = ["snapshot", "--url", "jdbc:x", "--newer", f"{tmp_path}/newer", "--newer-key", "api_id"]
-    jobs.run(spark, [*argv, "--history-rows", "100", "--key", KEY, "--out", f"{tmp_path}/out"])
+    jobs.run(spark, [*argv, "--key", KEY, "--out", f"{tmp_path}/out"])
+    assert asked[0][0] == "id" and asked[0][2].startswith("SELECT * FROM Player_Attributes WHERE date >= '")
     found = delimited.read_inferred(spark, f"{tmp_path}/out/rows")
     assert sorted(r[KEY] for r in found.collect()) == [1, 2, 3, 197937]
     audit = {r.step: r.rows for r in delimited.read_inferred(spark, f"{tmp_path}/out/audit").collect()}
