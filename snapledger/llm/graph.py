@@ -18,7 +18,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     ends = links.select(F.col(a).alias("node"), F.col(b).alias("other")).filter("node IS NOT NULL AND other IS NOT NULL")
     both = ends.unionByName(ends.select(F.col("other").alias("node"), F.col("node").alias("other")))
-    both = materialize(both.distinct(), "links")
+    both = materialize(both, "links")
     least = both.groupBy("node").agg(F.min("other").alias("least"))
     labels = materialize(least.select("node", F.least("node", "least").alias("comp")), "labels")
     while True:

@@ -13,7 +13,7 @@ once, and unlike pairs part quickly.
   estimated similarity, confirmed on the full sets, without pairs that are already connected. It hands on
   links of a forest, never all pairs.
 * In a larger node every class is compared with the node's hub only, which connects the bulk of a large group of
-  copies in linear work. Nodes whose classes are all connected are done; the others branch again.
+  copies in linear work. Nodes whose classes were all connected by the first step's hubs are done; the others branch again.
 * What is still large after ``STEPS`` steps agrees on nearly the whole signature: such nodes are cut into
   blocks and every block is compared with every block of its node, a pair of blocks per task. Nothing is dropped.
 
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from snapledger.llm.common import packed, row_key, unpacked
 from snapledger.llm.graph import components
 from snapledger.llm.wordhash import mix, text_slices, windows
-from snapledger.session import materialize
+from snapledger.session import materialize, stored
 
 #: Positions of a signature, and those that a path of one step agrees on.
 POSITIONS = 64
@@ -56,11 +56,15 @@ _HIGH = np.uint64(32)
 
 
 def signatures(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Minwise values (sets x POSITIONS, 32 bits) of non-empty sets of hashes given end to end."""
-    out = np.empty((len(bounds) - 1, POSITIONS), np.uint32)
+    """Minwise values (sets x POSITIONS) of non-empty sets of hashes given end to end.
+
+    The minima of 32-bit hashes are kept as 16 bits: unlike ones agree in one of 65,536 cases, which only adds candidates.
+    """
+    out = np.empty((len(bounds) - 1, POSITIONS), np.uint16)
     for k in range(POSITIONS):
         values = ((sets * _MULTIPLY[k] + _ADD[k]) >> _HIGH).astype(np.uint32)
-        out[:, k] = np.minimum.reduceat(values, bounds[:-1])
+        least = np.minimum.reduceat(values, bounds[:-1])
+        out[:, k] = (least ^ (least >> np.uint32(16))) & np.uint32(0xFFFF)
     return out
 
 
@@ -93,8 +97,8 @@ def _set_rows(texts: pa.Array, shingle: int) -> Iterator[tuple[int, np.ndarray,
     """For slices of texts: the first text's place, all distinct shingle hashes in order, and their bounds."""
     for first, last, words in text_slices(texts, lower=True):
         hashes, text, _ = windows(words.hashes(), words.bounds, shingle)
-        order = np.lexsort((hashes, text))
-        hashes, text = hashes[order], text[order]
+        for begin, end in itertools.pairwise(np.searchsorted(text, np.arange(last - first + 1)).tolist()):
+            hashes[begin:end].sort()
         new = np.ones(len(hashes), bool)
         new[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
         hashes, text = hashes[new], text[new]
@@ -143,7 +147,7 @@ def _branch(rows: DataFrame, first: int, paths: int, root: bool) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sign = np.frombuffer(b"".join(batch.column("sign").to_pylist()), np.uint32).reshape(-1, POSITIONS)
+            sign = np.frombuffer(b"".join(batch.column("sign").to_pylist()), np.uint16).reshape(-1, POSITIONS)
             if root:
                 groups = [(np.arange(len(sign)), range(first), np.zeros(len(sign), np.uint64))]
             else:
@@ -222,7 +226,7 @@ def _candidates(leaves: DataFrame, percent: int) -> DataFrame:
         classes: list[bytes] = []
         for group in _groups(batches, "node"):
             if group.num_rows > 1:
-                sign = np.frombuffer(b"".join(group.column("sign").to_pylist()), np.uint32).reshape(-1, POSITIONS)
+                sign = np.frombuffer(b"".join(group.column("sign").to_pylist()), np.uint16).reshape(-1, POSITIONS)
                 comp = np.unique(group.column("comp").to_pylist(), return_inverse=True)[1]
                 may = (_estimates(sign, sign) >= least) & (comp[:, None] != comp[None, :])
                 keep = np.flatnonzero(may.any(axis=1))
@@ -247,7 +251,7 @@ def _confirmed(members: DataFrame, percent: int) -> DataFrame:
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, "bunch"):
             names = group.column("cls").to_pylist()
-            sign = np.frombuffer(b"".join(group.column("sign").to_pylist()), np.uint32).reshape(-1, POSITIONS)
+            sign = np.frombuffer(b"".join(group.column("sign").to_pylist()), np.uint16).reshape(-1, POSITIONS)
             sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("hashes")]
             comps: dict[bytes, int] = {}
             root = [comps.setdefault(c, k) for k, c in enumerate(group.column("comp").to_pylist())]
@@ -297,7 +301,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 class _Join:
-    """One run of the join over the classes (``cls``, ``_id``, ``sign``)."""
+    """One run of the join over the classes (``cls``, ``_k1``, ``_k2``, ``sign``)."""
 
     def __init__(self, classes: DataFrame, docs: DataFrame, shingle: int, percent: int, trees: int):
         self.classes, self.docs, self.shingle, self.percent = classes, docs, shingle, percent
@@ -312,16 +316,23 @@ class _Join:
         rows = _branch(self.classes.select("sign", "cls"), self.first, self.paths, root=True)
         bunches = []
         for step in range(STEPS):
-            rows = materialize(rows, "nodes")
-            nodes = self._open_nodes(rows)
-            members = rows.join(nodes, "node")
-            bunches.append(self._candidates(members.filter(F.col("n") <= LEAF).select("node", "cls")))
-            if nodes.filter(F.col("n") > LEAF).isEmpty():
-                break
-            large = materialize(self._signed(members.filter(F.col("n") > LEAF).drop("n")), "large-nodes")
+            # The rows of a step are needed until its leaves and large nodes are stored.
+            with stored(rows, "nodes") as found:
+                nodes = self._open_nodes(found)
+                members = found.join(nodes, "node")
+                if step == 0:
+                    # Most classes meet no other: what follows needs the signatures of the rest only.
+                    self.classes = materialize(self.classes.join(members.select("cls").distinct(), "cls"), "met-classes")
+                bunches.append(self._candidates(members.filter(F.col("n") <= LEAF).select("node", "cls")))
+                if nodes.filter(F.col("n") > LEAF).isEmpty():
+                    break
+                large = materialize(self._signed(members.filter(F.col("n") > LEAF).drop("n")), "large-nodes")
             if self.sets is None:
                 self.sets = self._full_sets(bunches[0].select("cls").unionByName(large.select("cls")))
             self._add_hub_links(large)
+            if step == 0:
+                # Hubs of the first step connect most of what is similar; their components spare the rest work.
+                self.comps = components(self.links[0])
             still = self._open_nodes(self._with_comp(large))
             rows = large.join(still.select("node"), "node")
             if step == STEPS - 1:
@@ -375,21 +386,20 @@ class _Join:
         return materialize(texts.mapInArrow(recomputed, "cls binary, hashes binary").dropDuplicates(["cls"]), "sets")
 
     def _add_hub_links(self, large: DataFrame) -> None:
-        """Compare the classes of large nodes with a hub of theirs, and merge the components."""
+        """Compare the classes of large nodes with a hub of theirs."""
         hubs = materialize(self._open_hubs(large), "hubs")
         near = large.select("node", "cls", "sign").join(hubs, "node").filter("cls <> hub")
         least = _least_matches(self.percent)
 
         def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                x = np.frombuffer(b"".join(batch.column("sign").to_pylist()), np.uint32).reshape(-1, POSITIONS)
-                y = np.frombuffer(b"".join(batch.column("hub_sign").to_pylist()), np.uint32).reshape(-1, POSITIONS)
+                x = np.frombuffer(b"".join(batch.column("sign").to_pylist()), np.uint16).reshape(-1, POSITIONS)
+                y = np.frombuffer(b"".join(batch.column("hub_sign").to_pylist()), np.uint16).reshape(-1, POSITIONS)
                 kept = batch.filter(pa.array((x == y).sum(axis=1) >= least))
                 yield pa.RecordBatch.from_arrays([kept.column("cls"), kept.column("hub")], ["a", "b"])
 
         pairs = near.select("cls", "sign", "hub", "hub_sign").mapInArrow(similar, "a binary, b binary").distinct()
         self.links.append(materialize(_hub_links(pairs, self.sets, self.percent), "hub-links"))
-        self.comps = components(_union(self.links))
 
     def _open_hubs(self, large: DataFrame) -> DataFrame:
         chance = F.struct(F.xxhash64("node", "cls"), "cls", "sign")
