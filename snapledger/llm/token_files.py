@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -31,13 +32,19 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from snapledger.llm.pieces import Memo, encode_slices
+from snapledger.llm.pieces import FOLDED, Memo, encode_slices
 
 _HEAD = struct.Struct("<QI")
 _KEY = struct.Struct("<qB")
 _SUM = struct.Struct("<I")
 _END = b"\n"
 _NO_KEY = 128
+#: Pieces given to the tokenizers library at a time.
+LIBRARY_PIECES = 4096
+#: Pieces remembered, twice: the library takes long for each.
+MEMO_PIECES = 180_000
+#: How the model's special tokens begin; where they occur, the case of letters matters.
+_SPECIAL = b"<|"
 
 
 def masked(data: bytes) -> int:
@@ -77,18 +84,34 @@ def _memo(model: str) -> Memo:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
-    def encode(pieces: list[bytes]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    words = tokenizer.model
 
-    return Memo(encode)
+    def encode(pieces: list[bytes]) -> list[bytes]:
+        found: list[bytes | None] = [None] * len(pieces)
+        others = []
+        for k, piece in enumerate(pieces):
+            word = piece.lstrip(b" ")
+            # Words of a-z pass the model's normaliser and splitter as they are: its merges alone are needed.
+            if word.isalpha() and word.islower():
+                found[k] = array("I", [t.id for t in words.tokenize(word.decode())]).tobytes()
+            else:
+                others.append(k)
+        # The library's results take some KB a piece until they are reduced to ids.
+        for first in range(0, len(others), LIBRARY_PIECES):
+            chosen = others[first : first + LIBRARY_PIECES]
+            results = tokenizer.encode_batch_fast([pieces[k].decode() for k in chosen], add_special_tokens=False)
+            for k, result in zip(chosen, results, strict=True):
+                found[k] = array("I", result.ids).tobytes()
+        return found
+
+    return Memo(encode, MEMO_PIECES)
 
 
 def library_memo(model: str) -> Callable[[], Memo]:
     """What encodes pieces by the tokenizers library with the given model file's content.
 
-    For models that split at white space and drop it: a piece begins with white space and the ids of a
-    text are those of its pieces, one after the other.
+    For byte-level models that lower-case, split at white space, drop it, and split words from marks: a piece begins with
+    white space or a mark, and the ids of a text are those of its pieces, one after the other.
     """
     return lambda: _memo(model)
 
@@ -122,7 +145,7 @@ def write_sequences(
         memo = library_memo(shared.value)()
         for batch in batches:
             keys, done = batch.column("_key").to_pylist(), 0
-            for ids, bounds in encode_slices(batch.column("_text"), memo):
+            for ids, bounds in encode_slices(batch.column("_text"), memo, FOLDED, _SPECIAL):
                 frames = [
                     frame(keys[done + k], np.append(ids[bounds[k] : bounds[k + 1]], tail), width)
                     for k in range(len(bounds) - 1)
