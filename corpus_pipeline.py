@@ -16,7 +16,7 @@ from snapledger.llm.near_dup import drop_near_duplicates
 from snapledger.llm.quality import filter_quality
 from snapledger.session import materialize
 
-#: Documents from which a line that they share is dropped, and percent of similarity from which one document stays.
+#: Distinct texts from which a line that they share is dropped, and percent of similarity from which one document stays.
 MIN_DOCS = 10
 NEAR_PERCENT = 80
 
@@ -27,8 +27,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that many of them share; ``n_chars`` follows the text."""
-    kept = dedup_lines(docs, min_docs=MIN_DOCS).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """All documents, without the lines that many distinct texts share; ``n_chars`` follows the text.
+
+    Copies count once and keep their text: choosing one of them is up to the near-duplicate stage.
+    """
+    kept = dedup_lines(docs, min_docs=MIN_DOCS, copies_once=True)
+    kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(*[f"`{c}`" for c in docs.columns])
 
 

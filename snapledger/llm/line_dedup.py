@@ -45,9 +45,18 @@ def _exploded(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> Da
     return keyed.filter(F.length("_key") >= min_chars).select("_id", "_k1", "_k2", "_at", *_key_hash(F.col("_key")))
 
 
-def frequent_lines(docs: DataFrame, id_col: str, text_col: str, min_docs: int, min_chars: int) -> DataFrame:
-    """Hashes (``_h1``, ``_h2``) of the lines in at least ``min_docs`` documents, with that count ``_n``."""
-    found = _exploded(docs, id_col, text_col, min_chars).select("_h1", "_h2", "_id").distinct()
+def frequent_lines(
+    docs: DataFrame, id_col: str, text_col: str, min_docs: int, min_chars: int, copies_once: bool = False
+) -> DataFrame:
+    """Hashes (``_h1``, ``_h2``) of the lines in at least ``min_docs`` documents, with that count ``_n``.
+
+    With ``copies_once`` distinct whole texts are counted, not ids.
+    """
+    if copies_once:
+        # The row key of a row without its id is a digest of the text.
+        docs = docs.select(F.lit(None).cast("long").alias(id_col), F.col(f"`{text_col}`"))
+    holder = ["_k1", "_k2"] if copies_once else ["_id"]
+    found = _exploded(docs, id_col, text_col, min_chars).select("_h1", "_h2", *holder).distinct()
     counts = found.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
     return counts.filter(F.col("_n") >= min_docs)
 
@@ -58,6 +67,7 @@ def dedup_lines(
     text_col: str = "text",
     min_docs: int = 10,
     min_chars: int = 1,
+    copies_once: bool = False,
 ) -> DataFrame:
     """The documents without the lines whose key occurs in ``min_docs`` or more of them.
 
@@ -66,11 +76,13 @@ def dedup_lines(
 
     * Null or empty text is one empty line. Keys shorter than ``min_chars`` are never dropped.
     * If no line stays, the text is empty.
+    * With ``copies_once`` documents of equal texts count as one, and a text of which nothing but white space would stay is
+      kept whole, so that a group of copies is never lost, whatever other texts share its lines.
     * Documents are told apart by ``id_col``: repeated rows and repeated lines of one document count once;
       rows without an id count as one document.
     * An empty table gives an empty table. Two keys are taken as equal if 128 bits of hash are.
     """
-    frequent = materialize(frequent_lines(docs, id_col, text_col, min_docs, min_chars), "frequent-lines")
+    frequent = materialize(frequent_lines(docs, id_col, text_col, min_docs, min_chars, copies_once), "frequent-lines")
     least = frequent.agg(F.coalesce(F.sum("_n"), F.lit(0)) / HOT_SHARE).scalar()
     # At most HOT_SHARE hashes can each have that share of the sum.
     hot = frequent.filter(F.col("_n") >= least).select("_h1", "_h2", F.lit(True).alias("_hot"))
@@ -94,7 +106,11 @@ def dedup_lines(
     split = joined.withColumn("_lines", F.split("_text", "\n", -1))
     places = F.sequence(F.lit(0), F.size("_lines") - 1)
     stay = F.transform(F.array_except(places, F.col("_dropped")), lambda i: F.get(F.col("_lines"), i))
-    kept = F.when(F.col("_dropped").isNull(), F.col("_text")).otherwise(F.array_join(stay, "\n"))
+    split = split.withColumn("_kept", F.when(F.col("_dropped").isNotNull(), F.array_join(stay, "\n")))
+    if copies_once:
+        whole_stays = F.btrim("_kept", F.lit(SPACES)) == ""
+        split = split.withColumn("_dropped", F.when(~whole_stays, F.col("_dropped")))
+    kept = F.when(F.col("_dropped").isNull(), F.col("_text")).otherwise(F.col("_kept"))
     shaped = split.select(
         *unpacked(split),
         kept.alias(text_col),

@@ -60,3 +60,22 @@ def test_odd_rows_and_empty_tables(spark, odd, empty, tables):
             kept = out.collect()
             assert name == "byte_bpe" or out.columns == rows.columns
             assert len(kept) == (0 if name == "quality_rules" else 7 if name == "near_duplicates" else 9) or rows.isEmpty()
+
+
+def test_groups_of_copies_keep_a_text(spark, tmp_path):
+    """Groups of exact copies leave one document, also beside near copies that share all of their lines; footers go."""
+    word = lambda n: "".join(chr(97 + (n >> 4 * k) % 16) for k in range(3))
+    line = lambda n: " ".join(word(n * 20 + k) for k in range(20)) + "."
+    copied, beside, footer = f"{line(1)}\n{line(2)}", f"{line(3)}\n{line(4)}", "Read more about this on our pages."
+    texts = [copied] * 25 + [beside] * 12
+    texts += [f"{line(3)}\n{line(40 + k)}" for k in range(12)] + [f"{line(4)}\n{line(60 + k)}" for k in range(12)]
+    texts += [f"{line(80 + k)}\n{footer}" for k in range(15)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        docs = _stored(spark, stage(spark, docs, ""), f"{tmp_path}/{name}")
+    found = {r.doc_id: r.text for r in docs.collect()}
+    assert found[0] == copied and found[25] == beside
+    assert list(found.values()).count(copied) == list(found.values()).count(beside) == 1
+    assert all(found.values()) and not any(footer in t for t in found.values())
+    assert len(found) == 2 + 24 + 15
