@@ -1,6 +1,7 @@
 """Licence scan: a trained paragraph classifier with a calibrated unknown class, confirmed by templates.
 
-A paragraph is a line, long ones in overlapping windows. Its features are the distinct word unigrams and bigrams, weighted
+A paragraph is a line, and so are consecutive lines with words together, as notices are often hard-wrapped; long ones are
+taken in overlapping windows. Its features are the distinct word unigrams and bigrams, weighted
 by the square root of their number, so that a stray word in a long paragraph counts little. Multinomial logistic regression
 over the families and "unknown" is fitted on variations of the templates and of sentences that resemble them; a
 temperature fitted on variations held out makes its probabilities honest, and a family is predicted only
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -41,14 +43,15 @@ FAMILIES = (UNKNOWN, *dict.fromkeys(family for family, _, _ in TEMPLATES))
 class Paragraphs:
     """Windows over the lines of a slice of texts, with the hashes of their unigrams and bigrams.
 
-    ``lines`` are the line numbers of the tokens, ``first_line`` those of the texts' beginnings, in the slice.
+    ``lines`` are the line numbers of the tokens, ``first_line`` those of the texts' beginnings, in the slice. ``joined`` are
+    the windows over consecutive lines: a line without words ends a paragraph, marks that stand alone are no words.
     """
 
-    def __init__(self, tokens: Tokens, lines: np.ndarray, first_line: np.ndarray):
-        self.first_line = first_line
+    def __init__(self, tokens: Tokens, lines: np.ndarray, first_line: np.ndarray, across: int = 0):
+        self.first_line, self.lines = first_line, lines
         n = len(tokens.plain)
         new = np.ones(n, bool)
-        new[1:] = (tokens.text[1:] != tokens.text[:-1]) | (lines[1:] != lines[:-1])
+        new[1:] = (tokens.text[1:] != tokens.text[:-1]) | (lines[1:] - lines[:-1] > across)
         starts = np.flatnonzero(new)
         ends = np.append(starts[1:], n)[: len(starts)]
         size = ends - starts
@@ -61,15 +64,27 @@ class Paragraphs:
         self.bigrams = np.zeros(n, np.uint64)
         if n > 1:
             self.bigrams[:-1] = mix(tokens.plain[:-1] + mix(tokens.plain[1:] + np.uint64(3)))
-        # The last word of a line has no bigram.
+        # The last word of a paragraph has no bigram.
         self.paired = np.append(~new[1:], False) if n else np.zeros(0, bool)
+        self._found: tuple[np.ndarray, list] | None = None
+        self.joined = None if across else Paragraphs(tokens, lines, first_line, across=1)
+
+    def _lookup(self, known: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Feature numbers and hits of all unigrams and bigrams; found once for lines and joined lines."""
+        if self._found is None or self._found[0] is not known:
+            found = []
+            for hashes in (self.unigrams, self.bigrams):
+                number = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                found.append((number, known[number] == hashes))
+            self._found = known, found
+            if self.joined is not None:
+                self.joined._found = self._found
+        return self._found[1]
 
     def features(self, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Window and feature number of every distinct feature of the sorted hashes ``known`` that a window has."""
         places, numbers = [], []
-        for hashes, usable, width in ((self.unigrams, None, 1), (self.bigrams, self.paired, 2)):
-            found = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-            hit = known[found] == hashes
+        for (found, hit), usable, width in zip(self._lookup(known), (None, self.paired), (1, 2), strict=True):
             at = np.flatnonzero(hit if usable is None else hit & usable)
             # A token lies in at most two windows: the last that begins before it, and the one before that.
             last = np.searchsorted(self.start, at, side="right") - 1
@@ -199,6 +214,48 @@ class LicenseModel:
         return found
 
 
+    def notices(self, p: Paragraphs) -> list[tuple[int, int, int, str, float, float]]:
+        """Text, line, family, template, probability and cover of all notices, on one line or over several.
+
+        A notice over several lines has the line where its template begins; windows that overlap state the same one. Lines
+        that state the family by themselves do not count for it, unless they are lines of its template that resemble a shorter one.
+        """
+        out = [(int(p.text[w]), int(p.line[w]), family, name, chance, cover) for w, family, chance, name, cover in self.scan(p)]
+        alone: dict[tuple[int, int], set[str]] = {}
+        for _, line, family, name, *_ in out:
+            alone.setdefault((family, line), set()).add(name)
+        templates = {name: bigrams for _, name, bigrams in self.templates}
+        joined, over, parts = p.joined, [], set()
+        before: dict[int, tuple[int, int]] = {}
+        for w, family, chance, name, _ in self.scan(joined):
+            start, end = int(joined.start[w]), int(joined.end[w])
+            lines, own = joined.lines[start:end], joined.bigrams[start:end]
+            if lines[0] == lines[-1]:
+                continue
+            stated = np.isin(own, templates[name]) & joined.paired[start:end]
+            part = set()
+            for line in np.unique(lines).tolist():
+                names = alone.get((family, line))
+                if names:
+                    if name not in names and 2 * stated[lines == line].sum() >= (lines == line).sum():
+                        part.add((family, line))
+                    else:
+                        stated &= lines != line
+            cover = min(1.0, len(np.unique(own[stated])) / min(len(templates[name]), MOST_BIGRAMS))
+            if cover < LEAST_COVER:
+                continue
+            parts |= part
+            reached, line = before.get(family, (-1, 0))
+            if reached <= start:
+                # Two pairs in a row, if there are any: a lone one may be prose before the notice.
+                runs = stated & np.append(stated[1:], False)
+                line = int(lines[(runs if runs.any() else stated).argmax()])
+            before[family] = end, line
+            over.append((int(joined.text[w]), line, family, name, chance, cover))
+        out = [f for f in out if (f[2], f[1]) not in parts] + over
+        return out
+
+
 @lru_cache(maxsize=2)
 def trained_licenses(variations: int = VARIATIONS) -> LicenseModel:
     """The classifier; the same on every run."""
@@ -208,10 +265,11 @@ def trained_licenses(variations: int = VARIATIONS) -> LicenseModel:
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", variations: int = VARIATIONS) -> DataFrame:
     """One row per document and licence family found in it.
 
-    Columns: ``id_col``, ``family``, ``template`` (the best), ``n_paragraphs`` (lines that state it), ``first_line`` (from 0),
+    Columns: ``id_col``, ``family``, ``template`` (the best), ``n_paragraphs`` (lines where a notice begins), ``first_line`` (from 0),
     ``probability`` and ``cover`` (share of the template's bigrams), the largest of the paragraphs.
 
-    * Null texts, and texts without words, have no licence. Lines are split at line feeds.
+    * Null texts, and texts without words, have no licence. Lines are split at line feeds; a notice may
+      go over lines that follow each other, with or without comment marks, but not over a line without words.
     * Equal rows give one result, rows of equal ids but other texts one each; null ids are kept as they are.
     * The model is fitted on ``variations`` variations of each template, no rows of the table. Other columns are not read.
       An empty table gives no rows.
@@ -224,14 +282,14 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         model = shared.value
         for batch in batches:
             for first, p in paragraphs_of(batch.column("_text")):
-                found = model.scan(p)
+                found = model.notices(p)
                 if found:
-                    window = np.array([f[0] for f in found])
-                    taken = pa.array(p.text[window] + first)
+                    text = np.array([f[0] for f in found])
+                    taken = pa.array(text + first)
                     columns = [batch.column(c).take(taken) for c in ("_id", "_k1", "_k2")]
-                    columns += [pa.array([FAMILIES[f[1]] for f in found]), pa.array([f[3] for f in found])]
-                    lines = p.line[window] - p.first_line[p.text[window]]
-                    columns += [pa.array(lines), pa.array([f[2] for f in found]), pa.array([f[4] for f in found])]
+                    columns += [pa.array([FAMILIES[f[2]] for f in found]), pa.array([f[3] for f in found])]
+                    lines = np.array([f[1] for f in found]) - p.first_line[text]
+                    columns += [pa.array(lines), pa.array([f[4] for f in found]), pa.array([f[5] for f in found])]
                     yield pa.RecordBatch.from_arrays(columns, names)
 
     names = ["_id", "_k1", "_k2", "family", "template", "line", "probability", "cover"]

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import textwrap
+
 import pyarrow as pa
 
 from snapledger.llm import license_scan
 from snapledger.llm.decontaminate import drop_leaks, find_leaks
-from snapledger.llm.license_templates import UNRELATED
+from snapledger.llm.license_templates import TEMPLATES, UNRELATED
 from snapledger.llm.queries import QUERIES
 from tests.llm import brute
 
@@ -85,3 +87,20 @@ def test_licenses_edges(spark, odd, empty):
     found = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     got = {(r.doc_id, r.family, r.n_paragraphs, r.first_line) for r in found}
     assert got == {(1, "mit", 1, 2), (1, "proprietary", 1, 0), (None, "mit", 3, 0), (3, "gpl", 1, 0)}
+
+
+def test_wrapped_notices(spark):
+    """Every template wrapped at 72 columns, plain and in comments, is found where it begins."""
+    rows, want = [], set()
+    for family, name, text in TEMPLATES:
+        for mark in ("", "# ", " * ", "// "):
+            lines = ["Some words about the house.", "", *textwrap.wrap(text, 72), "", "And others, of the garden."]
+            rows.append((f"{name}{mark}", "\n".join(mark + x for x in lines)))
+            want.add((f"{name}{mark}", family, 1, 2))
+    # Prose in the same paragraph before it.
+    text = "\n".join([*textwrap.wrap(" ".join(UNRELATED[:6]), 72), *textwrap.wrap(TEMPLATES[2][2], 72)])
+    rows.append(("amid", text))
+    want.add(("amid", "mit", 1, len(textwrap.wrap(" ".join(UNRELATED[:6]), 72))))
+    rows += [("none", "\n".join(textwrap.wrap(" ".join(UNRELATED * 3), 72))), ("parted", "Licensed under\n\nCC BY 4.0.")]
+    found = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert {(r.doc_id, r.family, r.n_paragraphs, r.first_line) for r in found} == want
