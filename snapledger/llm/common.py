@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,3 +46,21 @@ def packed(docs: DataFrame, replaced: Sequence[str]) -> Column:
 
 def unpacked(df: DataFrame) -> list[Column]:
     return [F.col(f"_row.`{f.name}`") for f in df.schema["_row"].dataType.fields if f.name != "_none"]
+
+
+def sent(
+    docs: DataFrame, text_col: str, replaced: Sequence[str] = (), keep: Sequence[str] | None = None
+) -> tuple[DataFrame, Callable[[pa.RecordBatch], pa.Array]]:
+    """What a function over Arrow batches gets of ``docs``, and how it reads the texts from a batch.
+
+    ``_row`` holds the columns that come back: those of ``keep``, or all, but ``replaced``. A text that comes back is read
+    from there, so that it travels once; else it stands beside ``_row`` and does not come back.
+    """
+    gone = {c.lower() for c in replaced}
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in gone]
+    fields = [docs[f"`{c}`"].alias(c) for c in kept] or [F.lit(None).cast("string").alias("_none")]
+    row = F.struct(*fields).alias("_row")
+    place = next((k for k, c in enumerate(kept) if c.lower() == text_col.lower()), None)
+    if place is None:
+        return docs.select(row, F.col(f"`{text_col}`").alias("_text")), lambda batch: batch.column("_text")
+    return docs.select(row), lambda batch: batch.column("_row").field(place)
