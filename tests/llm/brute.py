@@ -92,3 +92,65 @@ def byte_bpe():
     with open(public.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
     return tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def runs(words, min_words=6, min_times=4):
+    """All (start, length, period), by trying every period everywhere."""
+    found = {}
+    for q in range(1, len(words) // min_times + 1):
+        i = 0
+        while i + q < len(words):
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            start = i
+            while i + q < len(words) and words[i] == words[i + q]:
+                i += 1
+            length = i - start + q
+            if length >= max(min_words, min_times * q):
+                found.setdefault((start, length), q)
+    return sorted((s, n, q) for (s, n), q in found.items())
+
+
+def collapsed(words, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def cheapest_edits(turns, insertions=2):
+    """Of all edits of (role initial, fault) turns the least (cost, letters), by trying them all."""
+    best = None
+
+    def go(i, inserted, cost, letters, roles):
+        nonlocal best
+        if not re.match(r"(s?(ua)*u?)\Z", roles) or best and cost > best[0]:
+            return
+        if i == len(turns) and re.match(r"(s?(ua)+)?\Z", roles):
+            best = min(best or (cost, letters), (cost, letters))
+        if inserted < insertions:
+            for role in "ua":
+                go(i, inserted + 1, cost + 5, letters + "I", roles + role)
+        if i < len(turns):
+            role, fault = turns[i]
+            more = 5 if fault == 3 else 0
+            go(i + 1, inserted, cost + 2, letters + "D", roles)
+            if fault not in (1, 2):
+                go(i + 1, inserted, cost + more, letters + "K", roles + role)
+                for other in "ua":
+                    go(i + 1, inserted, cost + 1 + more, letters + "R", roles + other)
+
+    go(0, 0, 0, "", "")
+    return best
+
+
+def repaired(turns, letters):
+    """The lines ``role:text`` that edits leave of (role, text) turns."""
+    lines, roles, turns = [], "", iter(turns)
+    for letter in letters:
+        wanted = "assistant" if roles.endswith("u") else "user"
+        role, text = (wanted, "") if letter == "I" else next(turns)
+        if letter != "D":
+            role = role if letter == "K" else wanted
+            lines.append(f"{role}:{text}")
+            roles += role[:1]
+    return lines
