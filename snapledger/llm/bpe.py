@@ -20,10 +20,14 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from snapledger.llm.common import packed, unpacked
+from snapledger.llm.common import sent, unpacked
 from snapledger.llm.pieces import Memo, encode_slices
 
+#: Bits of an id in the number of a pair of ids.
+ID_BITS = 24
+
 
 class PerfectHash:
     """Maps each of n known keys to a place of its own in n places; unknown keys are recognised.
@@ -94,9 +98,23 @@ class Codec:
         self.hash = PerfectHash(list(tokens))
         self.ids = list(tokens.values())
         size = max(tokens.values(), default=-1) + 1
-        self.by_id: list[bytes | None] = [None] * size
+        lengths = np.zeros(size, np.int64)
+        by_id: list[bytes] = [b""] * size
         for token, k in tokens.items():
-            self.by_id[k] = token
+            by_id[k], lengths[k] = token, len(token)
+        # All tokens one after the other, and where each begins; an id without a token has no length.
+        self.bytes, self.lengths = np.frombuffer(b"".join(by_id), np.uint8), lengths
+        self.begins = np.cumsum(lengths) - lengths
+        #: The id of each byte, and what two neighbouring tokens merge to: keys are their ids in one number.
+        self.of_byte = [tokens.get(bytes([x]), -1) for x in range(256)]
+        self.pairs = {
+            tokens[token[:k]] << ID_BITS | tokens[token[k:]]: rank
+            for token, rank in tokens.items()
+            for k in range(1, len(token))
+            if token[:k] in tokens and token[k:] in tokens
+        }
+        #: The same for two bytes, by their values.
+        self.of_two = [tokens.get(bytes([x >> 8, x & 255]), -1) for x in range(1 << 16)]
 
     @staticmethod
     def from_rank_file(content: bytes, pattern: str) -> Codec:
@@ -129,38 +147,47 @@ class Codec:
 
     def merged(self, word: bytes) -> list[int]:
         """The ids of a word that is no token: always the pair of lowest rank is merged, the leftmost first."""
-        rank, n = self.ranks.get, len(word)
-        # A part lives at its first byte; pair[k] is the rank of the part at k with the next one.
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        pair = [rank(word[k : k + 2], -1) for k in range(n - 1)] + [-1]
+        merge, of_two, n = self.pairs.get, self.of_two, len(word)
+        ids = [*map(self.of_byte.__getitem__, word)]
+        if -1 in ids:
+            raise ValueError("a byte that the vocabulary does not know")
+        # A part lives at its first byte; pair[k] is what the part at k and the next one merge to.
+        pair = [of_two[a << 8 | b] for a, b in zip(word, word[1:])]
         heap = [r << 32 | k for k, r in enumerate(pair) if r >= 0]
         heapq.heapify(heap)
+        pair.append(-1)
+        after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
         while heap:
             entry = heapq.heappop(heap)
-            k = entry & 0xFFFFFFFF
-            if pair[k] != entry >> 32:
+            k, token = entry & 0xFFFFFFFF, entry >> 32
+            if pair[k] != token:
                 continue  # one of its parts has changed since
             gone = after[k]
             stop = after[k] = after[gone]
-            pair[gone] = pair[k] = -1
+            ids[k], ids[gone] = token, -1
+            pair[gone] = -1
             if stop < n:
                 before[stop] = k
-                pair[k] = r = rank(word[k : after[stop]], -1)
+                pair[k] = r = merge(token << ID_BITS | ids[stop], -1)
                 if r >= 0:
                     heapq.heappush(heap, r << 32 | k)
+            else:
+                pair[k] = -1
             left = before[k]
             if left >= 0:
-                pair[left] = r = rank(word[left:stop], -1)
+                pair[left] = r = merge(ids[left] << ID_BITS | token, -1)
                 if r >= 0:
                     heapq.heappush(heap, r << 32 | left)
-        ids, k = [], 0
-        while k < n:
-            ids.append(self.ranks[word[k : after[k]]])
-            k = after[k]
-        return ids
+        return [i for i in ids if i >= 0]
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.by_id.__getitem__, ids.tolist()))
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of several sequences of ids, and where each begins and ends."""
+        counts = self.lengths[ids]
+        if len(ids) and not counts.all():
+            raise ValueError("an id that the vocabulary does not know")
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        place = np.arange(ends[-1]) + np.repeat(self.begins[ids] - ends[:-1], counts)
+        return self.bytes[place], ends[bounds]
 
 
 def load_codec(path: str, pattern: str) -> Codec:
@@ -169,52 +196,85 @@ def load_codec(path: str, pattern: str) -> Codec:
         return Codec.from_rank_file(file.read(), pattern)
 
 
-def encode_texts(docs: DataFrame, codec: Codec, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
-    """Every input row with the ids of its text, as little-endian unsigned 32-bit integers in ``ids_col``.
+def _binary(data: np.ndarray, bounds: np.ndarray, width: int = 1) -> pa.Array:
+    """A column of bytes from one array and where the values begin and end in it."""
+    stops = pa.py_buffer((bounds * width).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, stops, pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def encode_texts(
+    docs: DataFrame,
+    codec: Codec,
+    text_col: str = "text",
+    ids_col: str = "token_ids",
+    decoded_col: str | None = None,
+    keep: Sequence[str] | None = None,
+) -> DataFrame:
+    """Every input row, or its columns ``keep``, with the ids of its text, as little-endian unsigned 32-bit integers in ``ids_col``.
+
+    With ``decoded_col`` the ids are decoded again in the same pass, as in ``decode_ids``.
 
     * Null or empty text has no ids: empty bytes. No special tokens are made; their strings are plain text.
-    * An input column of the name ``ids_col`` is replaced; repeated rows stay; an empty table stays empty.
+    * Input columns of the names ``ids_col`` and ``decoded_col`` are replaced; repeated rows stay; an empty table stays empty.
     * Whole texts are encoded, of any length, in slices of a few MB.
     """
     shared = docs.sparkSession.sparkContext.broadcast(codec)
+    added = [ids_col, *([decoded_col] if decoded_col else [])]
+    rows, texts_of = sent(docs, text_col, added, keep)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = shared.value.memo
+        codec = shared.value
         for batch in batches:
             done = 0
-            for ids, bounds in encode_slices(batch.column("_text"), memo):
+            for ids, bounds in encode_slices(texts_of(batch), codec.memo):
                 n = len(bounds) - 1
-                data = pa.py_buffer(ids)
-                stops = pa.py_buffer((bounds * 4).astype(np.int32))
-                column = pa.Array.from_buffers(pa.binary(), n, [None, stops, data])
-                yield pa.RecordBatch.from_arrays([batch.column("_row").slice(done, n), column], ["_row", "_ids"])
+                columns = [batch.column("_row").slice(done, n), _binary(ids, bounds, 4)]
+                if decoded_col:
+                    columns.append(_binary(*codec.decode(ids, bounds)))
+                yield pa.RecordBatch.from_arrays(columns, names)
                 done += n
 
-    return _through(docs, encoded, text_col, ids_col)
+    schema = T.StructType([rows.schema["_row"], *[T.StructField(f"_out{k}", T.BinaryType()) for k in range(len(added))]])
+    names = schema.names
+    out = rows.mapInArrow(encoded, schema)
+    return out.select(*unpacked(out), *[F.col(f"_out{k}").alias(c) for k, c in enumerate(added)])
+
+
+#: Ids decoded at a time.
+SLICE_IDS = 1 << 20
 
 
-def decode_ids(encoded: DataFrame, codec: Codec, ids_col: str = "token_ids", bytes_col: str = "decoded") -> DataFrame:
-    """Every input row with the bytes that its ids stand for; no ids (null or empty) give empty bytes.
+def decode_ids(
+    encoded: DataFrame,
+    codec: Codec,
+    ids_col: str = "token_ids",
+    bytes_col: str = "decoded",
+    keep: Sequence[str] | None = None,
+) -> DataFrame:
+    """Every input row, or its columns ``keep``, with the bytes that its ids stand for; no ids (null or empty) give empty bytes.
 
     An input column of the name ``bytes_col`` is replaced. Ids outside the vocabulary are an error.
     """
     shared = encoded.sparkSession.sparkContext.broadcast(codec)
+    rows, ids_of = sent(encoded, ids_col, [bytes_col], keep)
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = shared.value
         for batch in batches:
-            values = [codec.decode(np.frombuffer(v.as_py() or b"", "<u4")) for v in batch.column("_text")]
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(values, pa.binary())], ["_row", "_ids"])
-
-    return _through(encoded, decoded, ids_col, bytes_col)
-
-
-def _through(df: DataFrame, function, source: str, target: str) -> DataFrame:
-    """``df`` with ``target`` made from ``source`` by a function over Arrow batches."""
-    rows = df.select(packed(df, [target]), F.col(f"`{source}`").alias("_text"))
-    schema = rows.select("_row", F.lit(None).cast("binary").alias("_ids")).schema
-    out = rows.mapInArrow(function, schema)
-    return out.select(*unpacked(out), F.col("_ids").alias(target))
+            ids = ids_of(batch).fill_null(b"").cast(pa.large_binary())
+            bounds = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset : ids.offset + len(ids) + 1] // 4
+            flat = np.frombuffer(ids.buffers()[2] or b"", "<u4")
+            first = 0
+            while first < len(ids):
+                last = int(np.searchsorted(bounds, bounds[first] + SLICE_IDS, side="right")) - 1
+                last = min(max(last, first + 1), len(ids))
+                own = bounds[first : last + 1]
+                found = _binary(*codec.decode(flat[own[0] : own[-1]], own - own[0]))
+                yield pa.RecordBatch.from_arrays([batch.column("_row").slice(first, last - first), found], ["_row", "_out"])
+                first = last
+
+    out = rows.mapInArrow(decoded, T.StructType([rows.schema["_row"], T.StructField("_out", T.BinaryType())]))
+    return out.select(*unpacked(out), F.col("_out").alias(bytes_col))
 
 
 def default_codec(path: str | None = None, pattern: str | None = None) -> Codec:

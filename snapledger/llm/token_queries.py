@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.llm.bpe import decode_ids, default_codec, encode_texts
+from snapledger.llm.bpe import default_codec, encode_texts
 from snapledger.llm.registry import query, table
 from snapledger.llm.token_files import read_sequences, write_sequences
 from snapledger.session import new_folder
@@ -15,8 +15,7 @@ from snapledger.session import new_folder
 def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """All whole texts as ids of the multilingual vocabulary, and what the ids decode to."""
     codec = default_codec()
-    encoded = encode_texts(table(spark, folder, "documents").select("doc_id", "text"), codec)
-    both = decode_ids(encoded.select("doc_id", "token_ids"), codec)
+    both = encode_texts(table(spark, folder, "documents"), codec, decoded_col="decoded", keep=["doc_id"])
     return both.select(
         "doc_id",
         (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
