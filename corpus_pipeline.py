@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.llm.bpe import decode_ids, default_codec, encode_texts
+from snapledger.llm.bpe import default_codec, encode_texts
 from snapledger.llm.decontaminate import drop_leaks
 from snapledger.llm.line_dedup import dedup_lines
 from snapledger.llm.near_dup import drop_near_duplicates
 from snapledger.llm.quality import filter_quality
-from snapledger.session import materialize
+from snapledger.session import discard, materialize
 
 #: Distinct texts from which a line that they share is dropped, and percent of similarity from which one document stays.
 MIN_DOCS = 10
@@ -48,9 +48,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all texts, their number, and a digest of what they decode to."""
-    codec = default_codec()
-    encoded = encode_texts(docs.select("doc_id", "lang", "source", "text"), codec).drop("text")
-    decoded = decode_ids(encoded, codec)
+    decoded = encode_texts(docs, default_codec(), decoded_col="decoded", keep=["doc_id", "lang", "source"])
     return decoded.select(
         "doc_id",
         "lang",
@@ -74,8 +72,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage keeps is stored once for the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; what a stage keeps is stored for the next, and removed once that has read it."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -82,6 +82,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the files of a table that ``materialize`` stored, once nothing reads it any more."""
+    for file in df.inputFiles()[:1]:
+        path = file.rsplit("/", 1)[0]
+        if "/snapledger/" not in path:
+            raise ValueError(f"{path} was not stored by this package")
+        _remove(df.sparkSession, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 @contextmanager
 def stored(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """``df`` written to the shared folder for the body of a ``with`` block; the files go when it ends."""
@@ -91,8 +105,7 @@ def stored(df: DataFrame, label: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
+        _remove(spark, path)
 
 
 @contextmanager
