@@ -7,7 +7,7 @@ Nothing here raises under ANSI mode: unreadable values become null.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,27 +15,46 @@ from pyspark.sql import functions as F
 from snapledger import presets
 
 
+#: Texts that a cast can read. A cast of anything else raises and catches an error for every row, which costs far more
+#: than looking first. White space and control characters at the ends are ignored, as by the cast.
+_WHOLE = r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"
+_NUMBER = (
+    r"(?i)^[\x00-\x20]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?[df]?[\x00-\x20]*$"
+    r"|^[\x00-\x20]*[+-]?(inf|infinity|nan)[\x00-\x20]*$"
+)
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` uses it and wherever the plan moves it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _as(value: Column, kind: str, pattern: str) -> Column:
+    """A number or text as a number; null where the text does not match."""
+    return F.when(value.cast("string").rlike(pattern), value.try_cast(kind))
+
+
 def text_to_int(value: Column) -> Column:
     """Whole-number text to int; ``'90.0'`` and other texts give null."""
-    return value.cast("string").try_cast("int")
+    return _as(value.cast("string"), "int", _WHOLE)
 
 
 def round_half_even(value: Column) -> Column:
     """Number or number text to the nearest int, halves to the even neighbour."""
-    return F.bround(value.try_cast("double"), 0).try_cast("int")
+    return F.bround(_as(value, "double", _NUMBER), 0).try_cast("int")
 
 
 def leading_number(value: Column) -> Column:
     """``'193 cm'`` or ``'193'`` to 193."""
-    return F.get(F.split(value, " "), F.lit(0)).try_cast("int")
+    return text_to_int(F.get(F.split(value, " "), F.lit(0)))
 
 
 def weight_in_pounds(value: Column, factor: float = presets.KG_TO_LB) -> Column:
     """``'70 kg'`` to rounded pounds; a bare number is in pounds already."""
     parts = F.split(value, " ")
-    kilograms = F.get(parts, F.lit(0)).try_cast("int")
+    kilograms = text_to_int(F.get(parts, F.lit(0)))
     converted = F.bround(kilograms * F.lit(factor), 0).try_cast("int")
-    return F.when(F.size(parts) > 1, converted).otherwise(value.try_cast("int"))
+    return F.when(F.size(parts) > 1, converted).otherwise(text_to_int(value))
 
 
 def level(
@@ -97,36 +116,54 @@ def whole_number(value: Column) -> Column:
 
     Integers are taken as they are; everything else goes through double.
     """
-    return F.coalesce(value.cast("string").try_cast("bigint"), F.bround(value.try_cast("double"), 0).try_cast("bigint"))
+    text = value.cast("string")
+    return F.when(text.rlike(_WHOLE), text.try_cast("bigint")).otherwise(
+        F.bround(_as(value, "double", _NUMBER), 0).try_cast("bigint")
+    )
 
 
-def fixed_decimals(value: Column, digits: int = 2) -> Column:
-    """A number with a fixed count of decimals, rounded as C prints it: by its binary value, ties to even.
+def scaled_units(x: Column, digits: int) -> Column:
+    """A double times a power of ten as a whole number without its sign, ties of the binary value to even; null beyond 2^52.
 
-    Java's formatter rounds the shortest notation, which differs only where that is close to a tie. There the exact
-    remainder decides: the product with a power of ten is split into a rounded product and its error.
+    Close to a tie the exact remainder decides: the product is split into a rounded product and its error.
     """
-    x = value.cast("double")
-    size, power = F.abs(x), float(10**digits)
-    product = size * power
-    below = F.floor(product).cast("double")
-    beyond = product - below - 0.5
-    # Veltkamp's splitting and Dekker's product: size * power = product + error, exactly.
-    spread = size * 134217729.0
-    high = spread - (spread - size)
-    error = (high * power - product) + (size - high) * power
-    rest = beyond + error
-    even = F.pmod(below, F.lit(2.0)) == 0
-    units = (below + F.when((rest < 0) | ((rest == 0) & even), 0.0).otherwise(1.0)).cast("long")
-    sign = F.when(x < 0, "-").otherwise("")
+    power = float(10**digits)
+    product = F.abs(x) * power
+
+    def exact(size: Column) -> Column:
+        # Veltkamp's splitting and Dekker's product: size * power = product + error, exactly.
+        product = size * power
+        high = bound(size * 134217729.0, lambda spread: spread - (spread - size))
+        error = bound(high, lambda h: (h * power - product) + (size - h) * power)
+        below = F.floor(product).cast("double")
+        even = F.pmod(below, F.lit(2.0)) == 0
+        up = bound(product - below - 0.5 + error, lambda r: F.when((r < 0) | ((r == 0) & even), 0).otherwise(1))
+        return below.cast("long") + up
+
+    near = F.abs(product - F.floor(product) - 0.5) <= product * 2.0**-50 + 2.0**-50
+    return F.when(product < float(1 << 52), F.when(near, bound(F.abs(x), exact)).otherwise(F.floor(product + 0.5)))
+
+
+def units_text(x: Column, units: Column, digits: int) -> Column:
+    """The text of a double whose scaled units are known. Numbers beyond them have no fraction left."""
     scale = 10**digits
-    text = F.concat(sign, ((units - F.pmod(units, F.lit(scale))) / scale).cast("long").cast("string"))
+    negative = (x < 0) | ((x == 0) & x.cast("string").startswith("-"))
+    text = F.concat(F.when(negative, "-").otherwise(""), F.floor(units / F.lit(scale)).cast("string"))
     if digits:
-        text = F.concat(text, F.lit("."), F.lpad(F.pmod(units, F.lit(scale)).cast("string"), digits, "0"))
-    near_tie = (F.abs(beyond) <= 1e-6) & (product < float(1 << 52))
+        text = F.concat(text, F.lit("."), F.lpad((units % scale).cast("string"), digits, "0"))
     return (
         F.when(F.isnan(x), "nan")
-        .when(size == float("inf"), F.concat(sign, F.lit("inf")))
-        .when(near_tie, text)
+        .when(units.isNotNull(), text)
+        .when(F.abs(x) == float("inf"), F.when(x < 0, "-inf").otherwise("inf"))
         .when(x.isNotNull(), F.format_string(f"%.{digits}f", x))
     )
+
+
+def fixed_decimals(value: Column, digits: int = 2) -> Column:
+    """A number with a fixed count of decimals, rounded as C prints it: by its binary value, ties to even.
+
+    Java's formatter rounds the shortest notation, which differs close to a tie, and is slow: it only sees numbers
+    beyond 2^52 units.
+    """
+    x = value.cast("double")
+    return units_text(x, scaled_units(x, digits), digits)

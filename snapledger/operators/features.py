@@ -163,7 +163,8 @@ def sample_with_replacement(df: DataFrame, key: str, fraction: float, seed: int)
     The number follows from a hash of the key and the seed through the inverse of the distribution, so the sample is
     the same for any partitioning; rows of equal keys are taken equally often.
     """
+    limits = F.array(*map(F.lit, poisson_limits(fraction)))
+    # Bound, so that the digest is not worked out anew for every limit.
     chance = _hash_part(key, seed) / F.lit(float(1 << 32))
-    times = sum((F.when(chance >= limit, 1).otherwise(0) for limit in poisson_limits(fraction)), F.lit(0))
-    repeated = df.withColumn("_times", F.sequence(F.lit(1), times)).filter(times > 0)
-    return repeated.withColumn("_times", F.explode("_times")).drop("_times")
+    times = clean.bound(chance, lambda c: F.size(F.filter(limits, lambda limit: c >= limit)))
+    return df.withColumn("_times", F.explode(F.array_repeat(F.lit(1), times))).drop("_times")

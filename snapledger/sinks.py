@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapledger.functions.clean import fixed_decimals
+from snapledger.functions.clean import scaled_units, units_text
 from snapledger.operators.ordering import with_position
 from snapledger.sources.delimited import escape_breaks
 
@@ -56,8 +56,13 @@ def fixed_decimal_lines(
     df: DataFrame, columns: Sequence[str], digits: int = 2, separator: str = " "
 ) -> DataFrame:
     """One text line per row, numbers with a fixed count of decimals as C prints them, ``nan`` for null."""
-    texts = [F.coalesce(fixed_decimals(F.col(c), digits), F.lit("nan")) for c in columns]
-    return df.select(F.concat_ws(separator, *texts).alias("value"))
+    # The units are a projection of their own, so that they are worked out once.
+    numbers = [F.col(c).cast("double") for c in columns]
+    scaled = df.select(
+        *[x.alias(f"x{i}") for i, x in enumerate(numbers)], *[scaled_units(x, digits).alias(f"units{i}") for i, x in enumerate(numbers)]
+    )
+    texts = [units_text(F.col(f"x{i}"), F.col(f"units{i}"), digits) for i in range(len(columns))]
+    return scaled.select(F.concat_ws(separator, *[F.coalesce(t, F.lit("nan")) for t in texts]).alias("value"))
 
 
 def write_fixed_decimals(
