@@ -5,9 +5,12 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import sys
+from collections.abc import Iterator
+from contextlib import ExitStack, contextmanager
 from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapledger import presets, sinks
@@ -86,12 +89,21 @@ def run(spark: SparkSession, argv: list[str]) -> None:
     globals()[f"_{args.step}"](spark, args)
 
 
+@contextmanager
+def _taken(spark: SparkSession, rejects: str, **files: str) -> Iterator[list[DataFrame]]:
+    """The rows of each file as texts, parsed once and stored; lines that don't fit are written to ``rejects``, by input."""
+    with ExitStack() as stack:
+        found = {name: stack.enter_context(delimited.checked(spark, path)) for name, path in files.items()}
+        lost = [c.rejected.select(F.lit(name).alias("input"), *delimited.REJECT_COLUMNS) for name, c in found.items()]
+        sinks.write_csv(reduce(DataFrame.unionByName, lost), rejects, escape_line_breaks=True)
+        yield [c.accepted for c in found.values()]
+
+
 def _roster(spark: SparkSession, args: argparse.Namespace) -> None:
-    players = delimited.read_text_columns(spark, args.players, mode="DROPMALFORMED")
-    names = delimited.read_text_columns(spark, args.names, mode="DROPMALFORMED")
-    roster = workload.club_roster(players, names, args.key)
-    sinks.write_key_list(roster, args.key, args.ids_out)
-    sinks.write_csv(roster, args.out)
+    with _taken(spark, f"{args.out}-rejects", players=args.players, names=args.names) as (players, names):
+        roster = workload.club_roster(players, names, args.key)
+        sinks.write_key_list(roster, args.key, args.ids_out)
+        sinks.write_csv(roster, args.out)
 
 
 def _snapshot(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -119,31 +131,32 @@ def _useful(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _attributes(spark: SparkSession, args: argparse.Namespace) -> None:
-    older = workload.cleaned_year(delimited.read_text_columns(spark, args.older, mode="DROPMALFORMED"), args.key)
-    newer = delimited.read_text_columns(spark, args.newer, mode="DROPMALFORMED")
-    newer = workload.cleaned_year(newer.withColumnRenamed(args.newer_key or args.key, args.key), args.key)
-    targets = delimited.read_text_columns(spark, args.targets, mode="DROPMALFORMED").withColumnRenamed(args.targets_key, args.key)
-    targets = workload.whole_numbers(targets.select(args.key, *presets.TARGETS), args.key)
-    with stored(workload.two_year_table(older, newer, targets, args.key), "wide") as table:
-        sinks.write_csv_with_position(table, f"{args.out}/features", [args.key])
-        found = workload.predict_attributes(table, args.key, seed=args.seed, parallelism=args.parallelism)
-        _write_predictions(found, args)
+    files = {"older": args.older, "newer": args.newer, "targets": args.targets}
+    with _taken(spark, f"{args.out}/rejects", **files) as (older, newer, targets):
+        older = workload.cleaned_year(older, args.key)
+        newer = workload.cleaned_year(newer.withColumnRenamed(args.newer_key or args.key, args.key), args.key)
+        targets = targets.withColumnRenamed(args.targets_key, args.key)
+        targets = workload.whole_numbers(targets.select(args.key, *presets.TARGETS), args.key)
+        with stored(workload.two_year_table(older, newer, targets, args.key), "wide") as table:
+            sinks.write_csv_with_position(table, f"{args.out}/features", [args.key])
+            found = workload.predict_attributes(table, args.key, seed=args.seed, parallelism=args.parallelism)
+            _write_predictions(found, args)
 
 
 def _overall(spark: SparkSession, args: argparse.Namespace) -> None:
     columns = [args.key, *[f"{t}_pred" for t in presets.TARGETS]]
     predictions = delimited.read_text_columns(spark, args.predictions).select(*columns)
-    actual = delimited.read_text_columns(spark, args.actual, mode="DROPMALFORMED")
-    found = workload.predict_overall(
-        shaping.cast_all(predictions, [args.key], clean.round_half_even).withColumn(
-            args.key, F.col(args.key).try_cast("bigint")
-        ),
-        workload.whole_numbers(actual.select(args.key, presets.OVERALL, "age", *presets.TARGETS), args.key),
-        args.key,
-        seed=args.seed,
-        parallelism=args.parallelism,
-    )
-    _write_predictions(found, args)
+    with _taken(spark, f"{args.out}/rejects", actual=args.actual) as (actual,):
+        found = workload.predict_overall(
+            shaping.cast_all(predictions, [args.key], clean.round_half_even).withColumn(
+                args.key, F.col(args.key).try_cast("bigint")
+            ),
+            workload.whole_numbers(actual.select(args.key, presets.OVERALL, "age", *presets.TARGETS), args.key),
+            args.key,
+            seed=args.seed,
+            parallelism=args.parallelism,
+        )
+        _write_predictions(found, args)
 
 
 def _shift(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -154,21 +167,21 @@ def _shift(spark: SparkSession, args: argparse.Namespace) -> None:
     predictions = shaping.cast_all(predictions, [args.key], lambda c: c.try_cast("double")).withColumn(
         args.key, F.col(args.key).try_cast("bigint")
     )
-    newest = delimited.read_text_columns(spark, args.newest, mode="DROPMALFORMED")
-    rates = [c for c in newest.columns if c.startswith("work_rate_")]
     candidate = modeling.Candidate(
         "forest", {"maxDepth": args.depth, "numTrees": args.trees, "maxBins": presets.FOREST_BINS}
     )
-    moved = workload.overall_shift(
-        workload.whole_numbers(newest, args.key, rates),
-        predictions,
-        args.key,
-        candidate,
-        scale=args.scale,
-        seed=args.seed,
-    )
-    sinks.write_csv(moved, f"{args.out}/rows")
-    sinks.write_csv(evaluate.mean_abs_shift(moved, "base_pred", "shifted_pred"), f"{args.out}/mean")
+    with _taken(spark, f"{args.out}/rejects", newest=args.newest) as (newest,):
+        rates = [c for c in newest.columns if c.startswith("work_rate_")]
+        moved = workload.overall_shift(
+            workload.whole_numbers(newest, args.key, rates),
+            predictions,
+            args.key,
+            candidate,
+            scale=args.scale,
+            seed=args.seed,
+        )
+        sinks.write_csv(moved, f"{args.out}/rows")
+        sinks.write_csv(evaluate.mean_abs_shift(moved, "base_pred", "shifted_pred"), f"{args.out}/mean")
 
 
 def _ages(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -98,13 +98,15 @@ def prepare(
     """Assemble the features once, store them and return them with the fitted feature stages.
 
     All targets and candidates train on the stored table: nothing upstream runs again, and the
-    rows keep their partitions even when an executor is lost. The rows are dealt evenly to at least
-    as many partitions as there are cores, since tree training passes over them many times.
+    rows keep their partitions even when an executor is lost. The rows are dealt to at least
+    as many partitions as there are cores, since tree training passes over them many times; by a hash of the key,
+    the first of ``keep``, and in its order, so that the random choices of training fall alike however the input was laid out.
     """
     spark = table.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     stages = Pipeline(stages=feature_stages(numeric, categorical, levels, FEATURES)).fit(table)
-    assembled = stages.transform(table.repartition(parts)).select(*keep, FEATURES)
+    dealt = table.repartition(parts, keep[0]).sortWithinPartitions(keep[0])
+    assembled = stages.transform(dealt).select(*keep, FEATURES)
     return materialize(assembled, "features"), stages
 
 

@@ -15,7 +15,7 @@ from snapledger.sources import delimited, literal
 def _append_lines(lines: DataFrame, header: str, path: str) -> None:
     """Add files of ready lines below the given header."""
     raw = {"header": "true", "sep": "\u0001", "quote": ""}
-    lines.select(lines.columns[0]).toDF(header).write.mode("append").options(**raw).csv(path)
+    lines.toDF(header).write.mode("append").options(**raw).csv(path)
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
@@ -30,6 +30,48 @@ def src_csv_dropmalformed(spark: SparkSession, folder: str) -> DataFrame:
     return delimited.read_typed(spark, path, customer.schema, mode="DROPMALFORMED")
 
 
+def _torn_customers(spark: SparkSession, folder: str) -> delimited.Checked:
+    """Every customer once as a good line, and some as lines that are too short, too long, or hold no number where one must be."""
+    customer = table(spark, folder, "customer")
+    path = new_folder(spark, "csv")
+    sinks.write_csv(customer, path)
+    header, rest = ",".join(customer.columns), F.col("c_custkey") % 5
+    _append_lines(customer.filter(rest == 1).select(F.concat_ws(",", "c_custkey", "c_name")), header, path)
+    _append_lines(customer.filter(rest == 2).select(F.concat_ws(",", "c_custkey", F.lit('"a, ""b"" c"'), "c_nationkey", F.lit(""), F.lit(""), F.lit("x"))), header, path)
+    _append_lines(customer.filter(rest == 3).select(F.concat_ws(",", "c_custkey", "c_name", F.lit("none"), F.lit("1.5"), "c_mktsegment")), header, path)
+    _append_lines(customer.filter(rest == 4).select(F.concat_ws(",", "c_name", "c_name", "c_nationkey", F.lit(""), F.lit('"x, y"'))), header, path)
+    return delimited.read_checked(spark, path, customer.schema)
+
+
+@query(
+    """
+    SELECT 'too few fields' AS reason, NULL AS column, 2 AS n_fields, c_custkey || ',' || c_name AS line FROM customer WHERE c_custkey % 5 = 1
+    UNION ALL
+    SELECT 'too many fields', NULL, 6, c_custkey || ',"a, ""b"" c",' || c_nationkey || ',,,x' FROM customer WHERE c_custkey % 5 = 2
+    UNION ALL
+    SELECT 'unreadable value', 'c_nationkey', 5, c_custkey || ',' || c_name || ',none,1.5,' || c_mktsegment FROM customer WHERE c_custkey % 5 = 3
+    UNION ALL
+    SELECT 'unreadable value', 'c_custkey', 5, c_name || ',' || c_name || ',' || c_nationkey || ',,"x, y"' FROM customer WHERE c_custkey % 5 = 4
+    """
+)
+def src_csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line that was not taken, with its reason; the file is left out, as its name is made up anew each time."""
+    return _torn_customers(spark, folder).rejected.drop("file")
+
+
+@query(
+    """
+    SELECT '' AS reason, count(*) AS rows FROM customer
+    UNION ALL SELECT 'too few fields', count(*) FROM customer WHERE c_custkey % 5 = 1
+    UNION ALL SELECT 'too many fields', count(*) FROM customer WHERE c_custkey % 5 = 2
+    UNION ALL SELECT 'unreadable value', count(*) FROM customer WHERE c_custkey % 5 IN (3, 4)
+    """
+)
+def src_csv_checked_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """How many lines were taken, and how many not, by reason."""
+    return _torn_customers(spark, folder).counts()
+
+
 @query(
     """
     SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer

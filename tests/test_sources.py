@@ -181,3 +181,42 @@ def test_materialize_reads_what_it_wrote(spark):
     with persisted(df) as kept:
         assert kept.is_cached and kept.count() == 100
     assert not df.is_cached
+
+
+def test_rejected_lines(spark, tmp_path):
+    """Every line is accepted or rejected with its file and reason, whatever is asked of the two tables."""
+    (tmp_path / "a.csv").write_text('id,n,v\n1,a,2\n2,b\n3,c,4,5\n4,"x, ""y""",\nfive,e,6\n6,"torn,7\n')
+    (tmp_path / "b.csv").write_text("id,n,v\n7,,8\n8,i,nine\n,,\n")
+    found = delimited.read_checked(spark, str(tmp_path), SCHEMA)
+    assert sorted(map(tuple, found.accepted.collect()), key=repr) == [(1, "a", 2), (4, 'x, "y"', None), (7, None, 8), (None, None, None)]
+    rows = sorted((r.file.rsplit("/", 1)[1], r.reason, r.column, r.n_fields, r.line) for r in found.rejected.collect())
+    expected = [
+        ("a.csv", "too few fields", None, 2, "2,b"), ("a.csv", "too many fields", None, 4, "3,c,4,5"),
+        ("a.csv", "too few fields", None, 2, '6,"torn,7'), ("a.csv", "unreadable value", "id", 3, "five,e,6"),
+        ("b.csv", "unreadable value", "v", 3, "8,i,nine"),
+    ]
+    assert rows == sorted(expected)
+    assert found.accepted.count() == 4 and found.rejected.select("line").count() == 5
+    assert {r.reason: r.rows for r in found.counts().collect()} == {
+        "": 4, "too few fields": 2, "too many fields": 1, "unreadable value": 2,
+    }
+    # Without a schema all values are texts, and only the number of fields counts; columns are found by name.
+    with delimited.checked(spark, str(tmp_path)) as texts:
+        assert texts.accepted.columns == ["id", "n", "v"] and texts.accepted.count() == 6 and texts.rejected.count() == 3
+    some = delimited.read_checked(spark, str(tmp_path), T.StructType([SCHEMA["v"], SCHEMA["id"]]))
+    assert some.accepted.columns == ["v", "id"] and some.accepted.count() == 4
+    with pytest.raises(ValueError, match="no column w"):
+        delimited.read_checked(spark, str(tmp_path), T.StructType([T.StructField("w", T.StringType())]))
+
+
+def test_rejects_with_line_breaks(spark, tmp_path):
+    values = ["a\nb", "", None, "50%0A\r\n"]
+    df = spark.createDataFrame(list(enumerate(values)), "id int, t string")
+    sinks.write_csv(df, f"{tmp_path}/q")
+    sinks.write_csv(df, f"{tmp_path}/e", escape_line_breaks=True)
+    for name, how in (("e", "escaped"), ("q", "quoted")):
+        found = delimited.read_checked(spark, f"{tmp_path}/{name}", df.schema, line_breaks=how)
+        assert [r.t for r in found.accepted.orderBy("id").collect()] == values and found.rejected.isEmpty()
+    spark.createDataFrame([], df.schema).write.csv(f"{tmp_path}/none", header=True)
+    empty = delimited.read_checked(spark, f"{tmp_path}/none")
+    assert empty.accepted.isEmpty() and empty.rejected.isEmpty()

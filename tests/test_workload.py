@@ -108,6 +108,9 @@ def test_roster(spark, tmp_path):
     assert rows(delimited.read_text_columns(spark, f"{tmp_path}/out").select("Name", "Club", "Rating", "pid")) == [
         ("A", "Arsenal", "80", "11"), ("C", "Chelsea", "75", "13"),
     ]
+    lost = delimited.read_text_columns(spark, f"{tmp_path}/out-rejects", line_breaks="escaped").collect()
+    assert [(r.input, r.reason, r.n_fields, r.line) for r in lost] == [("players", "too few fields", "2", "broken,Chelsea")]
+    assert lost[0].file.endswith("players.csv")
     (tmp_path / "few.csv").write_text("Name,url\nA,/player/11/a\n")
     with pytest.raises(ValueError):
         workload.club_roster(
@@ -208,7 +211,10 @@ def test_overall_shift(spark, tmp_path):
     assert moved.count() == 30
     # True values as predictions move nothing, values 20 higher raise the score.
     assert moved.filter("ID % 2 = 0").agg(F.max("abs_shift")).first()[0] == 0.0
-    assert moved.filter("ID % 2 = 1").agg(F.min(F.col("shifted_pred") - F.col("base_pred"))).first()[0] > 0
+    # Five trees need not move every single row: some fall into the same leaves with either values.
+    move = F.col("shifted_pred") - F.col("base_pred")
+    least, mean = moved.filter("ID % 2 = 1").agg(F.min(move), F.avg(move)).first()
+    assert least >= 0 and mean > 3
     mean = delimited.read_inferred(spark, f"{tmp_path}/out/mean").first()[0]
     assert mean == pytest.approx(moved.agg(F.avg("abs_shift")).first()[0])
     jobs.run(spark, [*argv, "--trees", "2", "--depth", "2", "--scale", "120", "--out", f"{tmp_path}/scaled"])
