@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapledger.operators import reconcile, shaping, snapshot
+from snapledger.operators.incremental import LatestTable
 from snapledger.plans.registry import query, table
-from snapledger.session import materialize
+from snapledger.session import materialize, new_folder
 
 FIRST, LAST = dt.date(1997, 1, 1), dt.date(1997, 6, 30)
 KEY = "o_custkey"
@@ -48,6 +49,16 @@ def snapshot_latest_in_window(spark: SparkSession, folder: str) -> DataFrame:
     return _snapshot(spark, folder)
 
 
+@query(f"SELECT * FROM orders {_LATEST}")
+def snapshot_latest_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """The latest order of each customer from a stored table that years of orders are merged into, the later ones first."""
+    orders, year = _orders(spark, folder), F.year("o_orderdate")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = LatestTable.create(orders.filter(year < 1997), new_folder(spark, "latest"), KEY, ["o_orderkey"], buckets)
+    stored = stored.merge(orders.filter(year >= 1999))
+    return stored.merged(orders.filter(year.between(1996, 1998)))
+
+
 @query(
     f"""
     WITH s AS ({_SNAPSHOT}), n AS ({_NEWEST}), d AS (SELECT * FROM customer WHERE c_acctbal > 0),
