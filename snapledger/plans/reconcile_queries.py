@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapledger.operators import reconcile, shaping, snapshot
+from snapledger.operators import bloom, reconcile, shaping, skew, snapshot
 from snapledger.operators.incremental import LatestTable
 from snapledger.plans.registry import query, table
 from snapledger.session import materialize, new_folder
@@ -127,6 +127,40 @@ def join_left_semi(spark: SparkSession, folder: str) -> DataFrame:
     return reconcile.present_in(table(spark, folder, "customer"), window, "c_custkey", KEY)
 
 
+_FEW = "SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 400000"
+
+
+def _few_orders(spark: SparkSession, folder: str) -> DataFrame:
+    urgent = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 400_000)
+    return _orders(spark, folder).filter(urgent)
+
+
+@query(f"SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey IN ({_FEW})")
+def join_semi_filtered(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of few orders: a filter of their keys goes ahead of the join."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return bloom.present_filtered(lines, _few_orders(spark, folder), "l_orderkey", "o_orderkey")
+
+
+@query(f"SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey NOT IN ({_FEW})")
+def join_anti_filtered(spark: SparkSession, folder: str) -> DataFrame:
+    """All other lines: only those that the filter cannot tell meet the keys."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return bloom.missing_filtered(lines, _few_orders(spark, folder), "l_orderkey", "o_orderkey")
+
+
+@query(
+    """
+    SELECT l_orderkey % 97 AS bucket, count(*) AS rows FROM lineitem GROUP BY 1
+    HAVING count(*) >= (SELECT 0.005 * count(*) FROM lineitem)
+    """
+)
+def agg_frequent_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys with half a percent of the rows, from a sketch that has room for all of the keys, and so counts exactly."""
+    lines = table(spark, folder, "lineitem").select((F.col("l_orderkey") % 97).alias("bucket"))
+    return skew.frequent_keys(lines, "bucket", 0.005)
+
+
 @query(
     f"""
     WITH s AS ({_SNAPSHOT}), n AS ({_NEWEST})
