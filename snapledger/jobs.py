@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from snapledger import presets, sinks
 from snapledger.functions import clean
-from snapledger.operators import evaluate, modeling, shaping
+from snapledger.operators import evaluate, modeling, reconcile, shaping
 from snapledger.plans import workload
 from snapledger.session import build_session, stored
 from snapledger.sources import delimited, relational
@@ -120,8 +120,11 @@ def _snapshot(spark: SparkSession, args: argparse.Namespace) -> None:
     # The history is read once; what is left of it has one row per entity.
     with stored(tables.snapshot, "snapshot") as latest:
         tables = replace(tables, snapshot=latest)
-        sinks.write_csv(workload.snapshot_audit(tables, args.key), f"{args.out}/audit")
-        sinks.write_csv_with_position(workload.yearly_snapshot(tables, args.key), f"{args.out}/rows", [args.key])
+        # The rows are stored before they are numbered; the audit is counted in passing.
+        rows, seen = workload.counted_snapshot(tables, args.key)
+        with stored(rows, "reconciled") as found:
+            sinks.write_csv(reconcile.audit_of_counts(spark, seen.get), f"{args.out}/audit")
+            sinks.write_csv_with_position(found, f"{args.out}/rows", [args.key])
 
 
 def _useful(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,6 +79,40 @@ def reconcile(
     return union_aligned(found, extra)
 
 
+def counted(df: DataFrame, **steps: Column) -> tuple[DataFrame, Observation]:
+    """``df`` and what counts its rows by conditions while some action takes them, such as a sink.
+
+    No further pass: ``observation.get`` has the counts once the action has run, as a dictionary. A row whose
+    condition is null does not count.
+    """
+    seen = Observation(f"rows-{uuid.uuid4().hex}")
+    return df.observe(seen, *[F.count(F.when(condition, 1)).alias(name) for name, condition in steps.items()]), seen
+
+
+def reconcile_counted(
+    newer: DataFrame, snapshot: DataFrame, dimension: DataFrame, key: str
+) -> tuple[DataFrame, Observation]:
+    """The rows of :func:`reconcile`, and the counts of its steps in passing.
+
+    Keys must be unique in all three tables and present in ``newer``, as ``join_cardinality`` tells; else use :func:`coverage_audit`.
+    """
+    known = dimension.withColumn("_known", F.lit(True))
+    found = with_optional(present_in(snapshot, newer, key), known, key).withColumn("_origin", F.lit("window"))
+    extra = fallback_rows(newer, snapshot, key).withColumns({"_known": F.lit(None).cast("boolean"), "_origin": F.lit("fallback")})
+    window = F.col("_origin") == "window"
+    steps = {"only_newer": ~window, "in_both": window, "missing_dimension": window & F.col("_known").isNull()}
+    rows, seen = counted(union_aligned(found, extra), **steps)
+    return rows.drop("_known", "_origin"), seen
+
+
+def audit_of_counts(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+    """The counts of :func:`reconcile_counted` as the ``(step, rows)`` of :func:`coverage_audit`."""
+    everyone, both = counts["only_newer"] + counts["in_both"], counts["in_both"]
+    steps = {"requested": everyone, "imported": everyone, "only_newer": counts["only_newer"], "in_both": both}
+    steps |= {"with_dimension": both, "missing_dimension": counts["missing_dimension"]}
+    return spark.createDataFrame(list(steps.items()), "step string, rows long")
+
+
 def _occurrences(key: str, **tables: DataFrame) -> DataFrame:
     """Per key the number of rows in each table: one shuffle, summed up before it."""
     tagged = [

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from snapledger.operators import bloom, reconcile, shaping, skew, snapshot
 from snapledger.operators.incremental import LatestTable
-from snapledger.plans.registry import query, table
+from snapledger.plans.registry import ORACLES, query, table
 from snapledger.session import materialize, new_folder
 
 FIRST, LAST = dt.date(1997, 1, 1), dt.date(1997, 6, 30)
@@ -299,6 +299,16 @@ def audit_coverage_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(ORACLES["audit_coverage_counts"])
+def audit_observed_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The same counts, taken from the reconciled rows while they are written."""
+    names, solvent = (customers.select(KEY, "c_name") for customers in (_customers(spark, folder), _solvent(spark, folder)))
+    found = _snapshot(spark, folder, "o_orderkey").select(KEY)
+    rows, seen = reconcile.reconcile_counted(names, found, solvent, KEY)
+    rows.write.parquet(f"{new_folder(spark, 'reconciled')}/rows")
+    return reconcile.audit_of_counts(spark, seen.get)
+
+
 @query("SELECT o_custkey, max(o_orderkey) AS latest FROM orders GROUP BY 1")
 def agg_group_max(spark: SparkSession, folder: str) -> DataFrame:
     return _orders(spark, folder).groupBy(KEY).agg(F.max("o_orderkey").alias("latest"))

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from snapledger import presets
@@ -112,6 +112,11 @@ def yearly_snapshot(tables: SnapshotTables, key: str) -> DataFrame:
     return reconcile.reconcile(tables.newer, tables.snapshot, tables.dimension, key)
 
 
+def counted_snapshot(tables: SnapshotTables, key: str) -> tuple[DataFrame, Observation]:
+    """:func:`yearly_snapshot` with the counts of its audit, which are there once its rows have been written."""
+    return reconcile.reconcile_counted(tables.newer, tables.snapshot, tables.dimension, key)
+
+
 def snapshot_audit(tables: SnapshotTables, key: str) -> DataFrame:
     return reconcile.coverage_audit(tables.newer, tables.snapshot, tables.dimension, key)
 

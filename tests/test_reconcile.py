@@ -165,3 +165,18 @@ def test_shaping(spark):
     assert shaping.strip_suffix(df, "_pred").columns == ["a", "b", "c"]
     assert tuple(shaping.cast_all(df, exclude=["b_pred"]).first()) == (1, "x", None)
     assert shaping.columns_without(["c", "a", "b"], ["a"], ["z"]) == ["c", "b", "z"]
+
+
+def test_counts_in_passing(spark, tmp_path):
+    """The rows are those of the plain operator; the counts equal the audit and cost no pass of their own."""
+    newer = spark.range(1, 60).select(F.col("id").alias("k"), F.lit("n").alias("v"), F.lit("d").alias("w"))
+    old = spark.range(40, 90).select(F.col("id").alias("k"), F.lit("o").alias("v"))
+    dim = spark.range(50, 55).select(F.col("id").alias("k"), F.lit("known").alias("w"))
+    found, seen = reconcile.reconcile_counted(newer, old, dim, "k")
+    found.write.parquet(f"{tmp_path}/rows")
+    assert rows(spark.read.parquet(f"{tmp_path}/rows")) == rows(reconcile.reconcile(newer, old, dim, "k"))
+    assert seen.get == {"only_newer": 39, "in_both": 20, "missing_dimension": 15}
+    assert rows(reconcile.audit_of_counts(spark, seen.get)) == rows(reconcile.coverage_audit(newer, old, dim, "k"))
+    none, empty = reconcile.counted(newer.limit(0), some=F.col("k") > 3)
+    none.collect()
+    assert empty.get == {"some": 0}
