@@ -21,6 +21,7 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _COMMENT_END = re.compile(r"--!?>")
 _NAME_PART = re.compile(r"[a-z]+|[0-9]+")
+_DIGITS = re.compile(r"[0-9]+")
 _SPACE = re.compile(r"[ \t\n\x0b\x0c\r\xa0]+")
 
 #: Kinds of elements in HTML.
@@ -57,6 +58,10 @@ NOISE_NAMES = frozenset(
 )
 MAIN_TAGS = frozenset({"article", "main"})
 MAIN_ROLES = frozenset({"article", "main"})
+#: Noise that only wraps: a main element inside it is main content all the same, unless it is noise by itself.
+WRAPPER_TAGS = frozenset({"form"})
+WRAPPER_ROLES = frozenset({"form"})
+WRAPPER_NAMES = frozenset("widget widgets header social notice notices login signup subscription paywall".split())
 #: Elements of running text: inside a main element they are kept whatever their statistics.
 FLOW = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt figcaption td th article main".split())
 
@@ -86,33 +91,46 @@ class _Element:
 
     __slots__ = ("name", "branch", "noise", "main", "holder", "children")
 
-    def __init__(self, name: str, branch: int, noise: bool, main: bool, holder: _Element | None):
+    def __init__(self, name: str, branch: int, noise: int, main: bool, holder: _Element | None):
         self.name, self.branch, self.noise, self.main = name, branch, noise, main
         self.holder = holder or self
         self.children: list[str] = []
 
 
-def _label(name: str, attrs: str) -> tuple[str, bool, bool]:
-    """An element's label in the style tree, and whether its kind or names make it noise, or main content."""
+#: How far an element is noise: not, as a wrapper, or with everything in it.
+CLEAN, WRAPPER, ALL = range(3)
+
+
+def _label(name: str, attrs: str) -> tuple[str, int, bool]:
+    """An element's label in the style tree, and whether its kind or names make it noise, or main content.
+
+    Numbers in names are alike: a page's own number in an id must not make a branch of its own.
+    """
     # The page itself is no part of a page, whatever it is called.
     if name in {"html", "body"}:
-        return name, False, False
-    noise, main, label = name in NOISE_TAGS, name in MAIN_TAGS, name
+        return name, CLEAN, False
+    noise = WRAPPER if name in WRAPPER_TAGS else ALL if name in NOISE_TAGS else CLEAN
+    main, label = name in MAIN_TAGS, name
     if "=" in attrs:
         for key, *values in _ATTRIBUTE.findall(attrs):
             names = html.unescape("".join(values)).lower().split()
             if key.lower() == "role":
-                noise, main = noise or not NOISE_ROLES.isdisjoint(names), main or not MAIN_ROLES.isdisjoint(names)
+                for role in names:
+                    if role in NOISE_ROLES:
+                        noise = max(noise, WRAPPER if role in WRAPPER_ROLES else ALL)
+                main = main or not MAIN_ROLES.isdisjoint(names)
                 continue
             for parts in map(_NAME_PART.findall, names):
-                noise = noise or not (NOISE_NAMES.isdisjoint(parts) or not LAYOUT_NAMES.isdisjoint(parts))
-            label += ("." if key.lower() == "class" else "#") + " ".join(sorted(names))
+                if LAYOUT_NAMES.isdisjoint(parts):
+                    for part in NOISE_NAMES.intersection(parts):
+                        noise = max(noise, WRAPPER if part in WRAPPER_NAMES else ALL)
+            label += ("." if key.lower() == "class" else "#") + _DIGITS.sub("0", " ".join(sorted(names)))
     return label, noise, main
 
 
 class _Reader:
     def __init__(self) -> None:
-        self.stack = [_Element("", 0, False, False, None)]
+        self.stack = [_Element("", 0, CLEAN, False, None)]
         self.open: Counter[str] = Counter()
         self.text: list[str] = []
         self.blocks: list[Block] = []
@@ -153,13 +171,15 @@ class _Reader:
             return
         label, noise, main = _label(name, attrs)
         top = self.stack[-1]
+        # A main element stands out from what only wraps it.
+        noise = noise if main and not noise and top.noise == WRAPPER else max(noise, top.noise)
         if name in BLOCK:
             top.holder.children.append(label)
             branch = text_hash(label, top.branch + (1 << 63))
-            self.stack.append(_Element(name, branch, top.noise or noise, top.main or main, None))
+            self.stack.append(_Element(name, branch, noise, top.main or main, None))
         else:
             # Inline markup belongs to its block; inline noise has no text.
-            self.stack.append(_Element(name, top.branch, top.noise or noise, top.main, top.holder))
+            self.stack.append(_Element(name, top.branch, noise, top.main, top.holder))
         self.open[name] += 1
 
     def close(self, names: set[str], limits: set[str]) -> None:

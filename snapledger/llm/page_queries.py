@@ -13,4 +13,4 @@ from snapledger.llm.site_tree import extract_text
 def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of all pages."""
     texts = extract_text(table(spark, folder, "pages"))
-    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_judged", "n_site_blocks")

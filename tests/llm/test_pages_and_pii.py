@@ -1,14 +1,15 @@
 from __future__ import annotations
 
 import html
+import math
 import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from snapledger.llm import pii
-from snapledger.llm.markup import MAIN, NOISE, OPEN, read_page
+from snapledger.llm import pii, site_tree
+from snapledger.llm.markup import MAIN, NOISE, OPEN, read_page, text_hash
 from snapledger.llm.pii_training import examples
 from snapledger.llm.queries import QUERIES
 from snapledger.llm.site_tree import extract_text
@@ -16,7 +17,11 @@ from snapledger.llm.site_tree import extract_text
 
 def test_pages_query(spark, tables):
     source = {r.page_id: r.html for r in spark.read.parquet(f"{tables}/pages.parquet").collect()}
-    for r in QUERIES["op8_html_text"](spark, tables).collect():
+    rows = QUERIES["op8_html_text"](spark, tables).collect()
+    judged = sum(r.n_judged for r in rows)
+    print(f"{judged} blocks judged by the tree, {sum(r.n_site_blocks for r in rows)} of them the site's")
+    assert judged > 2 * len(rows)
+    for r in rows:
         article = re.search(r"<article>(.*)</article>", source[r.page_id], re.S)[1]
         plain = re.sub(r"</?b>", "", article).replace("<br>", " ")
         blocks = (" ".join(html.unescape(b).split()) for b in re.split(r"</?(?:h1|p)>", plain))
@@ -45,6 +50,84 @@ def test_markup(source, want):
     assert [(b.text, b.status) for b in read_page(source)[0]] == want
 
 
+@pytest.mark.parametrize(
+    ("source", "want"),
+    [
+        ("<form><p>f</p><main><p>a</main></form>", [("f", NOISE), ("a", MAIN)]),
+        ("<div class='elementor-widget-container'>w<article><p>a", [("w", NOISE), ("a", MAIN)]),
+        ("<form><article class=comment><p>c</article><nav><article><p>n", [("c", NOISE), ("n", NOISE)]),
+        ("<form><article><p>a<form>x</form><aside>y</aside>", [("a", MAIN), ("x", NOISE), ("y", NOISE)]),
+    ],
+)
+def test_main_elements_in_wrappers(source, want):
+    assert [(b.text, b.status) for b in read_page(source)[0]] == want
+
+
+def test_numbers_in_names_are_alike():
+    one, two = (read_page(f"<div id=post-{k} class='p{k} x'><p>t")[0][0].branch for k in (1, 22))
+    assert one == two != read_page("<div id=post class='p x'><p>t")[0][0].branch
+
+
+def _plain_importance(pages):
+    """Content and presentation importance of each branch, and texts on almost all pages, computed page by page."""
+    sites = {}
+    for url, source in pages:
+        blocks, styles = read_page(source)
+        article = "\n".join(b.text for b in blocks if b.status == MAIN)
+        content, style = sites.setdefault(url.split("/")[2], ({}, {}))
+        page = article or (url, source)
+        for b in blocks:
+            if b.status != NOISE:
+                content.setdefault((b.branch, b.parent), {}).setdefault(b.text, set()).add(page)
+        for branch, children in styles:
+            style.setdefault(branch, {}).setdefault(children, set()).add(page)
+    for host, (content, style) in sites.items():
+        for (branch, parent), texts in content.items():
+            m = len(set.union(*texts.values()))
+            n = [len(p) for p in texts.values()]
+            text = 1 - sum(k * math.log(k, m) for k in n) / sum(n) if m > 1 else 1.0
+            styles = [len(p) for p in style.get(parent, {}).values()]
+            shown = len(set.union(*style[parent].values())) if styles else 1
+            looks = -sum(k / sum(styles) * math.log(k / sum(styles), shown) for k in styles) if shown > 1 else 1.0
+            often = {t for t, p in texts.items() if m >= 5 and len(p) >= 5 and 1 - math.log(len(p), m) < 0.05}
+            yield host, branch, m, 0.8 * text + 0.2 * looks, often
+
+
+def test_importance_against_a_plain_computation(spark, tables):
+    """Over the given pages, and over sites with furniture of all kinds."""
+    rows = [(r.url, r.html) for r in spark.read.parquet(f"{tables}/pages.parquet").collect()]
+    r = random.Random(5)
+    for k in range(60):
+        page = f"<div id=a{k}>Hello</div><main><p>{r.choice('xyz')} own {k}</p><p>Subscribe now</p></main><div><p>{r.choice(['l', 'm'])}</div>"
+        rows.append((f"http://s{k % 3}.test/{k}", page))
+    frame = spark.createDataFrame([(i, *x) for i, x in enumerate(rows)], "_k1 long, _url string, _html string").withColumn("_k2", F.lit(0).cast("long"))
+    nodes = site_tree._nodes(frame).cache()
+    found = {(x.host, x.branch): (x.n_pages, x.importance) for x in site_tree.node_importance(nodes).collect()}
+    texts = {(x.host, x.branch, x.feature) for x in site_tree.site_texts(nodes).collect()}
+    nodes.unpersist()
+    expected, often = {}, set()
+    for host, branch, m, importance, repeated in _plain_importance(rows):
+        expected[host, branch] = (m, importance)
+        often |= {(host, branch, text_hash(t)) for t in repeated}
+    assert set(found) == set(expected) and texts == often and len(often) >= 6
+    assert all(found[k][0] == m and found[k][1] == pytest.approx(x, abs=1e-9) for k, (m, x) in expected.items())
+
+
+def test_furniture_inside_main_elements(spark):
+    """A line below every article goes; articles that a site has several times, or almost, stay whole."""
+    article = "<div id=post-{k}><main><h1>Title {k}</h1><p>Text number {k} of its own</p><p>Subscribe to our letter</p></main></div>"
+    rows = [(k, f"http://a.test/{k}", article.format(k=k)) for k in range(12)]
+    rows += [(100 + k, f"http://b.test/{k}", "<main><p>One article</p><p>Many times</p></main>") for k in range(12)]
+    rows += [(200 + k, f"http://c.test/{k}", f"<main><p>One article that is long enough</p><p>Edited {k}</p></main>") for k in range(12)]
+    rows += [(300 + k, f"http://d.test/{k}", article.format(k=k)) for k in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r for r in extract_text(pages).collect()}
+    assert found[3].text == "Title 3\nText number 3 of its own" and (found[3].n_judged, found[3].n_site_blocks) == (3, 1)
+    assert found[105].text == "One article\nMany times" and found[205].text == "One article that is long enough\nEdited 5"
+    # Too few pages tell nothing.
+    assert found[302].text.endswith("Subscribe to our letter")
+
+
 def test_deep_and_long_pages():
     deep = "<div>" * 20_000 + "<b>" * 20_000 + "x" + "</div>" * 20_000
     assert [b.text for b in read_page(deep)[0]] == ["x"]
@@ -61,7 +144,7 @@ def test_furniture_by_statistics(spark):
     rows += [(200 + i, "http://c.example.com/", "<nav>n</nav><article><p>Same</article>") for i in range(20)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("old")).withColumn("_html", F.lit(1))
     found = extract_text(pages)
-    assert found.columns == ["page_id", "url", "_html", "text"] and found.count() == len(rows)
+    assert found.columns == ["page_id", "url", "_html", "text", "n_judged", "n_site_blocks"] and found.count() == len(rows)
     texts = {(r.page_id, r.url): r.text for r in found.collect()}
     assert all(texts[i, f"http://h.example.com/{i}"] == f"Own text {i} here\nMore {i * 7}" for i in range(30))
     assert texts[100, "http://o.example.com"] == "x" and texts[None, None] == "" and texts[5, "::bad"] == ""
