@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from snapledger.llm.common import packed, row_key, unpacked
 from snapledger.llm.graph import components
 from snapledger.llm.wordhash import mix, text_slices, windows
-from snapledger.session import materialize, stored
+from snapledger.session import discard, materialize, stored
 
 #: Positions of a signature, and those that a path of one step agrees on.
 POSITIONS = 64
@@ -46,6 +46,8 @@ TOKENS = 4
 LEAF = 48
 #: Steps of branching after which a node that is still large is compared block by block.
 STEPS = 5
+#: Bits of a position in the short signature that decides which members of a leaf may be similar.
+SHORT_BITS = 4
 #: Standard errors by which an estimated similarity may fall short before a pair is left out.
 MARGIN = 4.0
 
@@ -68,6 +70,12 @@ def signatures(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
+def shortened(signs: np.ndarray) -> np.ndarray:
+    """The low bits of signatures, two positions a byte."""
+    low = (signs & ((1 << SHORT_BITS) - 1)).astype(np.uint8)
+    return low[:, ::2] | low[:, 1::2] << SHORT_BITS
+
+
 def paths_per_step(threshold: float) -> int:
     return math.ceil(round(threshold**-TOKENS, 6))
 
@@ -110,7 +118,7 @@ def _digest(hashes: np.ndarray) -> bytes:
 
 
 def document_sets(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
-    """``_row``, ``n_shingles``, the class (128-bit digest of the set) and the signature; null for empty sets."""
+    """``_row``, ``n_shingles``, the class (128-bit digest of the set) and its signatures, long and short; null for empty sets."""
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -119,24 +127,26 @@ def document_sets(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
                 filled = np.flatnonzero(sizes)
                 classes: list[bytes | None] = [None] * len(sizes)
                 signs: list[bytes | None] = [None] * len(sizes)
+                shorts: list[bytes | None] = [None] * len(sizes)
                 if len(filled):
                     found = signatures(hashes, np.append(bounds[:-1][filled], len(hashes)))
-                    for k, sign in zip(filled.tolist(), found, strict=True):
+                    for k, sign, short in zip(filled.tolist(), found, shortened(found), strict=True):
                         classes[k] = _digest(hashes[bounds[k] : bounds[k + 1]])
-                        signs[k] = sign.tobytes()
+                        signs[k], shorts[k] = sign.tobytes(), short.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("_row").slice(first, len(sizes)),
                         pa.array(sizes, pa.int64()),
                         pa.array(classes, pa.binary()),
                         pa.array(signs, pa.binary()),
+                        pa.array(shorts, pa.binary()),
                     ],
-                    ["_row", "n_shingles", "cls", "sign"],
+                    ["_row", "n_shingles", "cls", "sign", "short"],
                 )
 
     rows = docs.select(F.col("_row"), F.col(text_col).alias("_text"))
     empty = F.lit(None).cast("binary")
-    schema = rows.select("_row", F.lit(0).cast("long").alias("n_shingles"), empty.alias("cls"), empty.alias("sign")).schema
+    schema = rows.select("_row", F.lit(0).cast("long").alias("n_shingles"), empty.alias("cls"), empty.alias("sign"), empty.alias("short")).schema
     return rows.mapInArrow(measured, schema)
 
 
@@ -166,7 +176,7 @@ def _branch(rows: DataFrame, first: int, paths: int, root: bool) -> DataFrame:
                     columns = [pa.array(np.full(len(at), p, np.int64)), pa.array(key.view(np.int64)), taken]
                     yield pa.RecordBatch.from_arrays(columns, ["path", "node", "cls"])
 
-    return rows.mapInArrow(children, "path long, node long, cls binary")
+    return rows.mapInArrow(children, "path long, node long, cls long")
 
 
 def _jaccard(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
@@ -182,16 +192,20 @@ def _is_link(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * union
 
 
-def _estimates(sign: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Matching positions of every signature with every other."""
-    out = np.empty((len(sign), len(other)), np.int16)
+def _estimates(shorts: list[bytes]) -> np.ndarray:
+    """Matching positions of every short signature with every other."""
+    packed = np.frombuffer(b"".join(shorts), np.uint8).reshape(len(shorts), -1)
+    sign = np.concatenate([packed & (1 << SHORT_BITS) - 1, packed >> SHORT_BITS], axis=1)
+    out = np.empty((len(sign), len(sign)), np.int16)
     for k in range(len(sign)):
-        out[k] = (other == sign[k]).sum(axis=1)
+        out[k] = (sign == sign[k]).sum(axis=1)
     return out
 
 
-def _least_matches(percent: int) -> int:
+def _least_matches(percent: int, bits: int = 16) -> int:
+    """Positions that two sets at the threshold share but for MARGIN errors; unlike minima agree in one of ``2 ** bits`` cases."""
     s = percent / 100
+    s += (1 - s) / 2**bits
     return max(1, math.floor(POSITIONS * s - MARGIN * math.sqrt(POSITIONS * s * (1 - s))))
 
 
@@ -219,41 +233,38 @@ def _candidates(leaves: DataFrame, percent: int) -> DataFrame:
 
     ``bunch`` names the members that remain of a node; nodes with the same ones count once.
     """
-    least = _least_matches(percent)
+    least = _least_matches(percent, SHORT_BITS)
 
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bunches: list[int] = []
-        classes: list[bytes] = []
+        classes: list[int] = []
         for group in _groups(batches, "node"):
             if group.num_rows > 1:
-                sign = np.frombuffer(b"".join(group.column("sign").to_pylist()), np.uint16).reshape(-1, POSITIONS)
-                comp = np.unique(group.column("comp").to_pylist(), return_inverse=True)[1]
-                may = (_estimates(sign, sign) >= least) & (comp[:, None] != comp[None, :])
-                keep = np.flatnonzero(may.any(axis=1))
-                members = sorted(group.column("cls").take(pa.array(keep)).to_pylist())
-                bunch = xxhash.xxh3_64_intdigest(b"".join(members)) - (1 << 63)
+                comp = group.column("comp").to_numpy()
+                may = (_estimates(group.column("short").to_pylist()) >= least) & (comp[:, None] != comp[None, :])
+                members = np.sort(group.column("cls").to_numpy()[may.any(axis=1)])
+                bunch = xxhash.xxh3_64_intdigest(members.tobytes()) - (1 << 63)
                 bunches += [bunch] * len(members)
-                classes += members
+                classes += members.tolist()
             if len(bunches) > 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(bunches, pa.int64()), pa.array(classes, pa.binary())], ["bunch", "cls"])
+                yield pa.RecordBatch.from_arrays([pa.array(bunches, pa.int64()), pa.array(classes, pa.int64())], ["bunch", "cls"])
                 bunches, classes = [], []
         if bunches:
-            yield pa.RecordBatch.from_arrays([pa.array(bunches, pa.int64()), pa.array(classes, pa.binary())], ["bunch", "cls"])
+            yield pa.RecordBatch.from_arrays([pa.array(bunches, pa.int64()), pa.array(classes, pa.int64())], ["bunch", "cls"])
 
-    ordered = leaves.select("node", "cls", "sign", "comp").repartition("node").sortWithinPartitions("node")
-    return ordered.mapInArrow(filtered, "bunch long, cls binary").distinct()
+    ordered = leaves.select("node", "cls", "short", "comp").repartition("node").sortWithinPartitions("node")
+    return ordered.mapInArrow(filtered, "bunch long, cls long").distinct()
 
 
 def _confirmed(members: DataFrame, percent: int) -> DataFrame:
-    """Links (``a``, ``b``) of a spanning forest of each bunch of rows (``bunch``, ``cls``, ``sign``, ``comp``, ``hashes``)."""
-    least = _least_matches(percent)
+    """Links (``a``, ``b``) of a spanning forest of each bunch of rows (``bunch``, ``cls``, ``short``, ``comp``, ``hashes``)."""
+    least = _least_matches(percent, SHORT_BITS)
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, "bunch"):
             names = group.column("cls").to_pylist()
-            sign = np.frombuffer(b"".join(group.column("sign").to_pylist()), np.uint16).reshape(-1, POSITIONS)
             sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("hashes")]
-            comps: dict[bytes, int] = {}
+            comps: dict[int, int] = {}
             root = [comps.setdefault(c, k) for k, c in enumerate(group.column("comp").to_pylist())]
 
             def find(k: int, root: list[int] = root) -> int:
@@ -261,7 +272,7 @@ def _confirmed(members: DataFrame, percent: int) -> DataFrame:
                     root[k] = k = root[root[k]]
                 return k
 
-            matches = _estimates(sign, sign)
+            matches = _estimates(group.column("short").to_pylist())
             left, right = np.nonzero(np.triu(matches >= least, 1))
             order = np.argsort(-matches[left, right], kind="stable")
             found = []
@@ -271,10 +282,10 @@ def _confirmed(members: DataFrame, percent: int) -> DataFrame:
                     root[b] = a
                     found.append((names[i], names[j]))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*found, strict=True)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["a", "b"])
 
     ordered = members.repartition("bunch").sortWithinPartitions("bunch")
-    return ordered.mapInArrow(linked, "a binary, b binary")
+    return ordered.mapInArrow(linked, "a long, b long")
 
 
 def _hub_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -290,7 +301,7 @@ def _hub_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     first = pairs.join(sets.select(F.col("cls").alias("a"), F.col("hashes").alias("x")), "a")
     second = first.join(sets.select(F.col("cls").alias("b"), F.col("hashes").alias("y")), "b")
-    return second.select("a", "b", "x", "y").mapInArrow(linked, "a binary, b binary")
+    return second.select("a", "b", "x", "y").mapInArrow(linked, "a long, b long")
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -301,7 +312,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 class _Join:
-    """One run of the join over the classes (``cls``, ``_k1``, ``_k2``, ``sign``)."""
+    """One run of the join over the classes (``cls``, ``_k1``, ``_k2``, ``sign``, ``short``)."""
 
     def __init__(self, classes: DataFrame, docs: DataFrame, shingle: int, percent: int, trees: int):
         self.classes, self.docs, self.shingle, self.percent = classes, docs, shingle, percent
@@ -314,10 +325,13 @@ class _Join:
     def run(self) -> DataFrame:
         """Links (``a``, ``b``) between classes."""
         rows = _branch(self.classes.select("sign", "cls"), self.first, self.paths, root=True)
-        bunches = []
+        bunches, done = [], []
         for step in range(STEPS):
             # The rows of a step are needed until its leaves and large nodes are stored.
             with stored(rows, "nodes") as found:
+                for table in done:
+                    discard(table)
+                done.clear()
                 nodes = self._open_nodes(found)
                 members = found.join(nodes, "node")
                 if step == 0:
@@ -326,7 +340,7 @@ class _Join:
                 bunches.append(self._candidates(members.filter(F.col("n") <= LEAF).select("node", "cls")))
                 if nodes.filter(F.col("n") > LEAF).isEmpty():
                     break
-                large = materialize(self._signed(members.filter(F.col("n") > LEAF).drop("n")), "large-nodes")
+                large = materialize(self._with(members.filter(F.col("n") > LEAF).drop("n"), "sign"), "large-nodes")
             if self.sets is None:
                 self.sets = self._full_sets(bunches[0].select("cls").unionByName(large.select("cls")))
             self._add_hub_links(large)
@@ -334,6 +348,8 @@ class _Join:
                 # Hubs of the first step connect most of what is similar; their components spare the rest work.
                 self.comps = components(self.links[0])
             still = self._open_nodes(self._with_comp(large))
+            # What the next step reads of these goes once it has been stored.
+            done += [nodes, large, still]
             rows = large.join(still.select("node"), "node")
             if step == STEPS - 1:
                 bunches.append(self._candidates(self._blocks(rows, still)))
@@ -342,12 +358,12 @@ class _Join:
         if self.sets is None:
             self.sets = self._full_sets(bunches[0].select("cls"))
         every = _union(bunches).distinct()
-        members = self._with_comp(self._signed(every)).join(self.sets, "cls")
+        members = self._with_comp(self._with(every, "short")).join(self.sets, "cls")
         self.links.append(_confirmed(members, self.percent))
         return _union(self.links)
 
     def _candidates(self, leaves: DataFrame) -> DataFrame:
-        return materialize(_candidates(self._with_comp(self._signed(leaves)), self.percent), "bunches")
+        return materialize(_candidates(self._with_comp(self._with(leaves, "short")), self.percent), "bunches")
 
     def _with_comp(self, rows: DataFrame) -> DataFrame:
         """Add the component known so far."""
@@ -356,8 +372,8 @@ class _Join:
         known = self.comps.select(F.col("node").alias("cls"), F.col("comp").alias("_comp"))
         return rows.join(known, "cls", "left").withColumn("comp", F.coalesce("_comp", "cls")).drop("_comp")
 
-    def _signed(self, rows: DataFrame) -> DataFrame:
-        return rows.join(self.classes.select("cls", "sign"), "cls")
+    def _with(self, rows: DataFrame, signature: str) -> DataFrame:
+        return rows.join(self.classes.select("cls", signature), "cls")
 
     def _open_nodes(self, rows: DataFrame) -> DataFrame:
         """Nodes with classes of more than one component: ``node`` and the number of classes ``n``."""
@@ -383,11 +399,14 @@ class _Join:
 
         texts = self.docs.join(ids, ["_k1", "_k2"]).select("cls", "_text")
         # Only repeated rows of the input give a set twice.
-        return materialize(texts.mapInArrow(recomputed, "cls binary, hashes binary").dropDuplicates(["cls"]), "sets")
+        return materialize(texts.mapInArrow(recomputed, "cls long, hashes binary").dropDuplicates(["cls"]), "sets")
 
     def _add_hub_links(self, large: DataFrame) -> None:
         """Compare the classes of large nodes with a hub of theirs."""
-        hubs = materialize(self._open_hubs(large), "hubs")
+        with stored(self._open_hubs(large), "hubs") as hubs:
+            self.links.append(materialize(self._near_hubs(large, hubs), "hub-links"))
+
+    def _near_hubs(self, large: DataFrame, hubs: DataFrame) -> DataFrame:
         near = large.select("node", "cls", "sign").join(hubs, "node").filter("cls <> hub")
         least = _least_matches(self.percent)
 
@@ -398,8 +417,8 @@ class _Join:
                 kept = batch.filter(pa.array((x == y).sum(axis=1) >= least))
                 yield pa.RecordBatch.from_arrays([kept.column("cls"), kept.column("hub")], ["a", "b"])
 
-        pairs = near.select("cls", "sign", "hub", "hub_sign").mapInArrow(similar, "a binary, b binary").distinct()
-        self.links.append(materialize(_hub_links(pairs, self.sets, self.percent), "hub-links"))
+        pairs = near.select("cls", "sign", "hub", "hub_sign").mapInArrow(similar, "a long, b long").distinct()
+        return _hub_links(pairs, self.sets, self.percent)
 
     def _open_hubs(self, large: DataFrame) -> DataFrame:
         chance = F.struct(F.xxhash64("node", "cls"), "cls", "sign")
@@ -439,18 +458,21 @@ def near_duplicates(
     source = docs.select(ident.alias("_id"), *row_key(ident, text), text.alias("_text"))
     narrow = source.select(F.struct("_id", "_k1", "_k2").alias("_row"), "_text")
     measured = materialize(
-        document_sets(narrow, "_text", shingle).select("_row.*", "n_shingles", "cls", "sign"), "documents"
+        document_sets(narrow, "_text", shingle).select("_row.*", "n_shingles", "cls", "sign", "short"), "documents"
     )
     classes = (
         measured.filter("cls IS NOT NULL")
         .groupBy("cls")
-        .agg(F.min("_id").alias("_id"), F.min(F.struct("_id", "_k1", "_k2")).alias("_first"), F.first("sign").alias("sign"))
+        .agg(F.min("_id").alias("_id"), F.min(F.struct("_id", "_k1", "_k2")).alias("_first"), F.first("sign").alias("sign"), F.first("short").alias("short"))
     )
-    classes = materialize(classes.select("cls", "_id", "_first._k1", "_first._k2", "sign"), "classes")
-    links = _Join(classes, source.select("_k1", "_k2", "_text"), shingle, percent, trees).run()
-    found = components(links).withColumnRenamed("node", "cls")
+    # Numbered once, so that all tables of the join carry eight bytes a class.
+    number = F.monotonically_increasing_id().alias("_number")
+    classes = materialize(classes.select("cls", number, "_id", "_first._k1", "_first._k2", "sign", "short"), "classes")
+    numbered = classes.select(F.col("_number").alias("cls"), "_k1", "_k2", "sign", "short")
+    links = _Join(numbered, source.select("_k1", "_k2", "_text"), shingle, percent, trees).run()
+    found = components(links).withColumnRenamed("node", "_number")
     # Components are named by classes; their least id names the documents'.
-    comps = classes.select("cls", "_id").join(found, "cls")
+    comps = classes.select("cls", "_number", "_id").join(found, "_number")
     least = comps.groupBy("comp").agg(F.min("_id").alias("_least"))
     named = comps.join(least, "comp").select("cls", "_least")
     own = classes.select("cls", F.col("_id").alias("_own")).join(named, "cls", "left")
