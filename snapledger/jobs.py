@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snapledger import presets, sinks
 from snapledger.functions import clean
@@ -58,6 +59,10 @@ def _parser() -> argparse.ArgumentParser:
     overall.add_argument("--predictions", required=True)
     overall.add_argument("--actual", required=True)
 
+    score = steps.add_parser("score", help="predict with the models that the attributes or overall step stored")
+    score.add_argument("--models", required=True, help="the folder models of that step's output")
+    score.add_argument("--features", required=True, help="a table as that step learnt from, such as its features")
+
     shift = steps.add_parser("shift", help="move of the overall score under predicted attributes")
     shift.add_argument("--newest", required=True)
     shift.add_argument("--predictions", required=True)
@@ -75,7 +80,7 @@ def _parser() -> argparse.ArgumentParser:
     ages.add_argument("--now", type=dt.date.fromisoformat, default=dt.date.today())
     ages.add_argument("--out", required=True)
 
-    for step in (roster, snap, useful, attributes, overall, shift):
+    for step in (roster, snap, useful, attributes, overall, score, shift):
         step.add_argument("--key", required=True, help="name of the entity key")
         step.add_argument("--out", required=True)
     for step in (attributes, overall, shift):
@@ -162,6 +167,19 @@ def _overall(spark: SparkSession, args: argparse.Namespace) -> None:
         _write_predictions(found, args)
 
 
+def _score(spark: SparkSession, args: argparse.Namespace) -> None:
+    stored_models = modeling.StoredModels.load(spark, args.models)
+    wanted = T.StructType([T.StructField(args.key, T.LongType()), *[T.StructField(n, _type(t)) for n, t in stored_models.inputs]])
+    with delimited.checked(spark, args.features, wanted) as found:
+        sinks.write_csv(found.rejected, f"{args.out}/rejects", escape_line_breaks=True)
+        scored = stored_models.score(found.accepted, [args.key], rounded=True)
+        sinks.write_csv_with_position(scored, f"{args.out}/predictions", [args.key])
+
+
+def _type(name: str) -> T.DataType:
+    return T.StructType.fromDDL(f"x {name}")["x"].dataType
+
+
 def _shift(spark: SparkSession, args: argparse.Namespace) -> None:
     columns = [args.predictions_key, *[f"{t}_pred" for t in presets.TARGETS]]
     predictions = delimited.read_text_columns(spark, args.predictions).select(*columns)
@@ -198,6 +216,7 @@ def _write_predictions(found: workload.Predictions, args: argparse.Namespace) ->
     sinks.write_csv_with_position(found.rows, f"{args.out}/predictions", [args.key])
     sinks.write_csv(found.candidates, f"{args.out}/candidates")
     sinks.write_csv(found.errors, f"{args.out}/errors")
+    found.models.save(found.rows.sparkSession, f"{args.out}/models")
 
 
 def main() -> None:

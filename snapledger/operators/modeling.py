@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -10,9 +11,9 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapledger import presets
@@ -24,6 +25,7 @@ from snapledger.session import ensure_checkpoint_dir, materialize, persisted
 FEATURES = "feature_cols"
 SCORE_SCHEMA = "label string, candidate string, metric string, score double, selected boolean"
 _FAMILIES = {"forest": RandomForestRegressor, "boosted": GBTRegressor}
+_MODELS = (RandomForestRegressionModel, GBTRegressionModel)
 # Keep the node of each row instead of shipping the trees for every level, and put twice the usual
 # number of nodes into one pass over the data. The memory is per running task.
 _PASSES = {"cacheNodeIds": True, "maxMemoryInMB": 512}
@@ -115,6 +117,77 @@ def fit(train: DataFrame, label: str, candidate: Candidate, seed: int) -> Model:
     return candidate.estimator(label, seed).fit(train)
 
 
+@dataclass(frozen=True)
+class StoredModels:
+    """Fitted models of several labels with the stages that prepare their inputs.
+
+    ``inputs`` are the names and types of the columns that the stages read, in the order of the training table. A feature vector knows no
+    names, so a table is only scored if it has all of them with the same types; their order in the table does not matter.
+    """
+
+    stages: PipelineModel
+    models: Mapping[str, Model]
+    inputs: Sequence[tuple[str, str]]
+
+    @classmethod
+    def of(cls, stages: PipelineModel, models: Mapping[str, Model], table: DataFrame) -> StoredModels:
+        """The models with the inputs that ``stages`` read from their training table."""
+        read = _inputs_of(stages)
+        return cls(stages, dict(models), [(n, t) for n, t in table.dtypes if n in read])
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write everything below ``path``; the description comes last, so that an unfinished folder does not load."""
+        self.stages.write().overwrite().save(f"{path}/stages")
+        for label, model in self.models.items():
+            model.write().overwrite().save(f"{path}/models/{label}")
+        kinds = {label: type(model).__name__ for label, model in self.models.items()}
+        described = json.dumps({"inputs": self.inputs, "models": kinds}, sort_keys=True)
+        spark.createDataFrame([(described,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/description")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> StoredModels:
+        """What :meth:`save` wrote. Stages that read other columns than the description says are an error."""
+        described = json.loads(spark.read.text(f"{path}/description").first()[0])
+        stages = PipelineModel.load(f"{path}/stages")
+        inputs = [tuple(x) for x in described["inputs"]]
+        if _inputs_of(stages) != {n for n, _ in inputs}:
+            raise ValueError(f"the stages in {path} do not read the columns of its description")
+        known = {c.__name__: c for c in _MODELS}
+        models = {label: known[kind].load(f"{path}/models/{label}") for label, kind in described["models"].items()}
+        widths = {model.numFeatures for model in models.values()}
+        if len(widths) > 1:
+            raise ValueError(f"the models in {path} learnt from vectors of different lengths: {sorted(widths)}")
+        return cls(stages, models, inputs)
+
+    def check(self, table: DataFrame) -> None:
+        """Raise unless the table has every input, with the type that it had in training."""
+        kinds = dict(table.dtypes)
+        missing = [n for n, _ in self.inputs if n not in kinds]
+        if missing:
+            raise ValueError(f"no column {', '.join(missing)}")
+        other = [f"{n} is {kinds[n]}, was {t}" for n, t in self.inputs if kinds[n] != t]
+        if other:
+            raise ValueError("; ".join(other))
+
+    def score(self, table: DataFrame, keep: Sequence[str], rounded: bool = False) -> DataFrame:
+        """``keep`` and ``<label>_pred`` of every model for all rows of the table."""
+        self.check(table)
+        prepared = self.stages.transform(table).select(*keep, FEATURES)
+        return score(self.models, prepared, rounded).drop(FEATURES)
+
+
+def _inputs_of(stages: PipelineModel) -> set[str]:
+    """The columns that fitted stages read but do not make themselves."""
+    read: set[str] = set()
+    made: set[str] = set()
+    for stage in stages.stages:
+        for name in ("inputCols", "inputCol", "outputCols", "outputCol"):
+            if stage.hasParam(name) and stage.isSet(name):
+                value = stage.getOrDefault(name)
+                (read if name.startswith("input") else made).update([value] if isinstance(value, str) else value)
+    return read - made
+
+
 @dataclass(frozen=True)
 class Search:
     """The chosen model of one label and the validation score of every candidate.

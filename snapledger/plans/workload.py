@@ -143,11 +143,12 @@ def two_year_table(
 
 @dataclass(frozen=True)
 class Predictions:
-    """Scored held-out rows, the candidate scores and the error on the held-out rows."""
+    """Scored held-out rows, the candidate scores, the error on the held-out rows, and the chosen models."""
 
     rows: DataFrame
     candidates: DataFrame
     errors: DataFrame
+    models: modeling.StoredModels
 
 
 def predict_attributes(
@@ -161,7 +162,7 @@ def predict_attributes(
     """Choose and fit a model per target on the train fold and score the test fold."""
     categorical = [c for c in table.columns if c.endswith("_WR")]
     numeric = shaping.columns_without(table.columns, [key, "fold", *targets, *categorical])
-    prepared, _ = modeling.prepare(table, [key, "fold", *targets], numeric, categorical)
+    prepared, stages = modeling.prepare(table, [key, "fold", *targets], numeric, categorical)
     train, test = (prepared.filter(F.col("fold") == f).drop("fold") for f in ("train", "test"))
     found = modeling.search_targets(train, key, targets, candidates or modeling.full_grid(), seed, **options)
     models = {t: s.model for t, s in found.items()}
@@ -172,6 +173,7 @@ def predict_attributes(
         _rounded(scored, targets),
         modeling.score_table(list(found.values()), table),
         held_out_errors(scored, targets),
+        modeling.StoredModels.of(stages, models, table),
     )
 
 
@@ -219,7 +221,10 @@ def predict_overall(
     found = modeling.search(prepared, key, label, candidates or modeling.full_grid(), seed, **options)
     scored = materialize(found.model.transform(stages.transform(scoring)).drop(modeling.FEATURES), "scored")
     return Predictions(
-        _rounded(scored, [label]), modeling.score_table([found], actual), held_out_errors(scored, [label])
+        _rounded(scored, [label]),
+        modeling.score_table([found], actual),
+        held_out_errors(scored, [label]),
+        modeling.StoredModels.of(stages, {label: found.model}, training),
     )
 
 

@@ -228,6 +228,18 @@ def test_prediction_jobs(spark, league, tmp_path, monkeypatch):
     argv = ["attributes", "--older", f"{tmp_path}/older", "--newer", f"{tmp_path}/newer", "--targets", f"{tmp_path}/targets"]
     jobs.run(spark, [*argv, "--targets-key", KEY, "--key", KEY, "--out", f"{tmp_path}/a"])
     predictions = delimited.read_inferred(spark, f"{tmp_path}/a/predictions")
+    # The stored models give the same scores, to all rows of the features and so to those that were held out.
+    argv = ["score", "--models", f"{tmp_path}/a/models", "--features", f"{tmp_path}/a/features", "--key", KEY]
+    jobs.run(spark, [*argv, "--out", f"{tmp_path}/s"])
+    again = delimited.read_inferred(spark, f"{tmp_path}/s/predictions")
+    names = [KEY, *[f"{t}_pred" for t in presets.TARGETS]]
+    assert set(rows(predictions.select(*names))) < set(rows(again.select(*names))) and again.count() > predictions.count()
+    found = modeling.StoredModels.load(spark, f"{tmp_path}/a/models")
+    table = delimited.read_inferred(spark, f"{tmp_path}/a/features")
+    with pytest.raises(ValueError, match="no column new_Rating"):
+        found.check(table.drop("new_Rating"))
+    with pytest.raises(ValueError, match="new_Rating is string"):
+        found.check(table.withColumns({n: F.col(n).cast(t) for n, t in found.inputs}).withColumn("new_Rating", F.lit("x")))
     assert predictions.columns[:3] == ["position", KEY, "pac_pred"]
     assert [r.position for r in predictions.orderBy(KEY).collect()] == list(range(predictions.count()))
     jobs.run(
