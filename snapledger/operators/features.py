@@ -168,3 +168,20 @@ def sample_with_replacement(df: DataFrame, key: str, fraction: float, seed: int)
     chance = _hash_part(key, seed) / F.lit(float(1 << 32))
     times = clean.bound(chance, lambda c: F.size(F.filter(limits, lambda limit: c >= limit)))
     return df.withColumn("_times", F.explode(F.array_repeat(F.lit(1), times))).drop("_times")
+
+
+def bootstrap(df: DataFrame, key: str, seed: int, rows: int | None = None) -> DataFrame:
+    """Exactly ``rows`` rows, or as many as there are, drawn with replacement, the same ones for any partitioning; an empty table gives none.
+
+    Draw number i takes the row whose place in the order of ``key`` is a hash of i and the seed, modulo the number of rows. Draws are a
+    distributed range and are counted per place before they meet the rows, so that no row travels more than once.
+    """
+    numbered = with_position(df, [key], "_place")
+    total = numbered.agg(F.count(F.lit(1))).first()[0]
+    if not total:
+        return df.limit(0)
+    digits = F.substring(F.md5(F.concat_ws("|", F.col("id").cast("string"), F.lit(str(seed)))), 1, 15)
+    place = F.conv(digits, 16, 10).cast("long") % F.lit(total)
+    draws = df.sparkSession.range(total if rows is None else rows).select(place.alias("_place")).groupBy("_place").agg(F.count(F.lit(1)).alias("_times"))
+    drawn = numbered.join(draws, "_place")
+    return drawn.select(*df.columns, F.explode(F.array_repeat(F.lit(1), F.col("_times").cast("int"))).alias("_one")).drop("_one")

@@ -143,6 +143,21 @@ def sample_with_replacement(spark: SparkSession, folder: str) -> DataFrame:
     return features.sample_with_replacement(orders, "o_orderkey", fraction=2.5, seed=7)
 
 
+@query(
+    """
+    WITH places AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS place FROM orders),
+    draws AS (
+        SELECT CAST('0x' || substr(md5(CAST(i AS VARCHAR) || '|7'), 1, 15) AS BIGINT) % (SELECT count(*) FROM orders) AS place
+        FROM (SELECT unnest(range((SELECT count(*) FROM orders))) AS i))
+    SELECT o_orderkey, o_totalprice FROM places JOIN draws USING (place)
+    """
+)
+def sample_bootstrap(spark: SparkSession, folder: str) -> DataFrame:
+    """As many orders as there are, drawn with replacement."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    return features.bootstrap(orders, "o_orderkey", seed=7)
+
+
 def _predictions(spark: SparkSession, folder: str) -> DataFrame:
     """A closed-form prediction of the line price."""
     return table(spark, folder, "lineitem").select(

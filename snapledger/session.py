@@ -88,14 +88,35 @@ def discard(df: DataFrame) -> None:
         path = file.rsplit("/", 1)[0]
         if "/snapledger/" not in path:
             raise ValueError(f"{path} was not stored by this package")
-        _remove(df.sparkSession, path)
+        remove_folder(df.sparkSession, path)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
+def replace_folder(spark: SparkSession, staged: str, path: str) -> None:
+    """Let a finished folder take the place of ``path``, whose earlier content stays until that has worked.
+
+    Both must be in one file system. Where renaming copies, as in some object stores, a reader may find either content meanwhile.
+    """
+    new, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path))
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.before-{uuid.uuid4().hex}")
+    kept = files.exists(target)
+    if kept and not files.rename(target, old):
+        raise OSError(f"{path} cannot be put aside")
+    files.mkdirs(target.getParent())
+    if not files.rename(new, target):
+        if kept:
+            files.rename(old, target)
+        raise OSError(f"{staged} cannot take the place of {path}")
+    if kept:
+        files.delete(old, True)
+
+
 @contextmanager
 def stored(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """``df`` written to the shared folder for the body of a ``with`` block; the files go when it ends."""
@@ -105,7 +126,7 @@ def stored(df: DataFrame, label: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        _remove(spark, path)
+        remove_folder(spark, path)
 
 
 @contextmanager

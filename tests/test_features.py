@@ -70,4 +70,21 @@ def test_sample_with_replacement(spark):
     assert rows(found) != rows(features.sample_with_replacement(df, "k", 2.5, seed=2))
     counts = [r["count"] for r in found.groupBy("k").count().collect()]
     assert abs(sum(counts) / 2000 - 2.5) < 0.15 and abs((2000 - len(counts)) / 2000 - 0.082) < 0.025
-    assert features.sample_with_replacement(df, "k", 0.0, seed=1).count() == 0
\ No newline at end of file
+    assert features.sample_with_replacement(df, "k", 0.0, seed=1).count() == 0
+
+def test_bootstrap_has_its_size(spark):
+    """Exactly as many rows as asked for, the same however the table is dealt, and spread as draws are."""
+    df = spark.range(1000).select((F.col("id") * 3).alias("k"), F.lit("v").alias("v"))
+    first = [tuple(r) for r in features.bootstrap(df.repartition(7), "k", seed=3, rows=5000).collect()]
+    second = [tuple(r) for r in features.bootstrap(df.repartition(1), "k", seed=3, rows=5000).collect()]
+    assert len(first) == 5000 and sorted(first) == sorted(second)
+    counts = {}
+    for k, _ in first:
+        counts[k] = counts.get(k, 0) + 1
+    # Poisson with mean five: about 0.7 percent are never drawn.
+    assert 980 < len(counts) <= 1000 and max(counts.values()) < 20
+    assert features.bootstrap(df, "k", seed=3).count() == 1000
+    other = sorted(tuple(r) for r in features.bootstrap(df, "k", seed=4, rows=5000).collect())
+    assert other != sorted(first)
+    assert features.bootstrap(df.limit(0), "k", seed=3, rows=5).collect() == []
+    assert features.bootstrap(df, "k", seed=3, rows=0).collect() == []

@@ -220,3 +220,33 @@ def test_rejects_with_line_breaks(spark, tmp_path):
     spark.createDataFrame([], df.schema).write.csv(f"{tmp_path}/none", header=True)
     empty = delimited.read_checked(spark, f"{tmp_path}/none")
     assert empty.accepted.isEmpty() and empty.rejected.isEmpty()
+
+
+def test_a_failed_write_leaves_the_old_files(spark, tmp_path):
+    path = f"{tmp_path}/out"
+    good = spark.createDataFrame([(1, "a"), (2, None), (2, None), (3, "")], "id int, t string")
+    sinks.write_csv(good, path)
+    bad = good.withColumn("t", F.when(F.col("id") == 3, F.raise_error(F.lit("torn"))).otherwise(F.col("t")))
+    with pytest.raises(Exception, match="torn"):
+        sinks.write_csv(bad, path)
+    found = delimited.read_typed(spark, path, good.schema)
+    assert sinks.verified(found, path).count() == 4
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["out"]
+    # Written again, over the first result, and in parts.
+    sinks.write_csv(good.filter("id < 3"), path)
+    assert sinks.read_manifest(spark, path)["rows"] == 3 and delimited.read_typed(spark, path, good.schema).count() == 3
+    sinks.write_csv(good, f"{tmp_path}/deeper/parts", partition_by=["id"])
+    assert delimited.read_text_columns(spark, f"{tmp_path}/deeper/parts/id=1").collect() == [("a",)]
+    sinks.write_csv(good.limit(0), f"{tmp_path}/none")
+    assert sinks.read_manifest(spark, f"{tmp_path}/none") == {"columns": ["id", "t"], "rows": 0, "checksum": 0}
+
+
+def test_lost_and_changed_rows_are_found(spark, tmp_path):
+    path = f"{tmp_path}/out"
+    df = spark.range(100).select(F.col("id").cast("int").alias("id"), (F.col("id") / 7).alias("v"))
+    sinks.write_csv(df, path)
+    read = delimited.read_typed(spark, path, df.schema)
+    assert sinks.verified(read, path).count() == 100
+    for other in (read.filter("id <> 5"), read.withColumn("v", F.when(F.col("id") != 5, F.col("v"))), read.union(read.filter("id = 5"))):
+        with pytest.raises(ValueError, match="written"):
+            sinks.verified(other, path)
