@@ -1,7 +1,8 @@
 """Benchmark decontamination by templates.
 
 Words become tokens: numbers, names and units are replaced by typed placeholders, other words are lower-cased and
-lose the punctuation around them. Windows of ``WINDOW`` tokens of documents and benchmark items are hash-joined, as
+lose the punctuation around them. A capitalised word that opens a sentence may be a name or not, so there are two templates:
+one takes such words as they are, the other as names. Windows of ``WINDOW`` tokens of documents and benchmark items are hash-joined, as
 templates and, to be sure of verbatim copies whatever their capitals, as plain words. Where a document
 holds windows of an item in the same alignment, the fillers of the slots are checked: a name or unit of the
 item must stand for one and the same filler throughout. Numbers may be anything: that is what a re-parameterised
@@ -99,37 +100,56 @@ class Tokens:
         self.kind[(first >= 65) & (first <= 90) & ~spans] = NAME
         self.kind[_among(self.plain, _UNITS)] = UNIT
         self.kind[(digits[ends] > digits[starts]) | _among(self.plain, _NUMBERS)] = NUMBER
-        self.template = np.where(self.kind == LITERAL, self.plain, _PLACEHOLDERS[self.kind])
+        # The second template's types: words that open a sentence are names, too.
+        self.open_kind = np.where((first >= 65) & (first <= 90) & (self.kind == LITERAL), NAME, self.kind).astype(np.int8)
+
+    def kinds(self, level: int) -> np.ndarray:
+        return self.kind if level == 1 else self.open_kind
+
+    def template(self, level: int) -> np.ndarray:
+        kind = self.kinds(level)
+        return np.where(kind == LITERAL, self.plain, _PLACEHOLDERS[kind])
 
 
 def _lowered(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
 
 
+#: Templates by their level: 0 is the plain window, 1 takes words that open a sentence as they are, 2 as names.
+LEVELS = (1, 2)
+#: A window has a template if at least one of so many tokens is literal; fillers decide on the others.
+TOKENS_PER_LITERAL = 4
+
+
 def _keys(tokens: Tokens, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys of all windows of a size, their first token, and whether the key is a template's.
+    """Keys of all windows of a size, their first token, and the level of the key.
 
-    A window with slots has a template key besides its plain one, if at least half of its tokens are literal.
+    A window with slots has a key for each template besides its plain one; the second only where it differs from the first.
     """
     plain, text, first = windows(tokens.plain, tokens.bounds, size)
-    template, _, _ = windows(tokens.template, tokens.bounds, size)
-    literal = np.append(0, np.cumsum(tokens.kind == LITERAL))
     last = np.minimum(first + size, tokens.bounds[1:][text])
-    n = literal[last] - literal[first]
-    slotted = np.flatnonzero((n < last - first) & (2 * n >= last - first))
-    keys = np.concatenate([mix(plain + np.uint64(size)), mix(template[slotted] + np.uint64(size + 1000))])
-    is_template = np.repeat([False, True], [len(plain), len(slotted)])
-    return keys, np.concatenate([first, first[slotted]]), is_template
-
-
-def _slots(tokens: Tokens, first: np.ndarray, size: int, is_template: np.ndarray) -> pa.Array:
+    keys, firsts, levels = [mix(plain + np.uint64(size))], [first], [np.zeros(len(plain), np.int8)]
+    before = np.zeros(len(plain), np.int64)
+    for level in LEVELS:
+        template, _, _ = windows(tokens.template(level), tokens.bounds, size)
+        slots = np.append(0, np.cumsum(tokens.kinds(level) != LITERAL))
+        n = slots[last] - slots[first]
+        slotted = np.flatnonzero((n > before) & (TOKENS_PER_LITERAL * (last - first - n) >= last - first))
+        keys.append(mix(template[slotted] + np.uint64(size + 1000 * level)))
+        firsts.append(first[slotted])
+        levels.append(np.full(len(slotted), level, np.int8))
+        before = n
+    return np.concatenate(keys), np.concatenate(firsts), np.concatenate(levels)
+
+
+def _slots(tokens: Tokens, first: np.ndarray, size: int, level: np.ndarray) -> pa.Array:
     """The fillers of names and units in template windows, in their order, as lists of hashes."""
     stop = tokens.bounds[1:][tokens.text[first]] if len(first) else first
     lengths, parts = np.zeros(len(first) + 1, np.int32), []
     for k in range(size):
         at = np.minimum(first + k, len(tokens.kind) - 1)
-        kind = tokens.kind[at] if len(at) else np.zeros(0, np.int8)
-        use = is_template & (first + k < stop) & ((kind == NAME) | (kind == UNIT))
+        kind = np.where(level == 2, tokens.open_kind[at], tokens.kind[at]) if len(at) else np.zeros(0, np.int8)
+        use = (level > 0) & (first + k < stop) & ((kind == NAME) | (kind == UNIT))
         rows = np.flatnonzero(use)
         parts.append((rows, tokens.plain[at[rows]]))
         lengths[rows + 1] += 1
@@ -138,7 +158,7 @@ def _slots(tokens: Tokens, first: np.ndarray, size: int, is_template: np.ndarray
     return pa.ListArray.from_arrays(pa.array(np.cumsum(lengths, dtype=np.int32)), pa.array(values.view(np.int64)))
 
 
-_ROWS = "key long, owner long, place int, template boolean, slots array<long>"
+_ROWS = "key long, owner long, place int, level byte, slots array<long>"
 
 
 def _windows_of(rows: DataFrame, sizes: tuple[int, ...], bitmap: np.ndarray | None) -> DataFrame:
@@ -155,28 +175,28 @@ def _windows_of(rows: DataFrame, sizes: tuple[int, ...], bitmap: np.ndarray | No
             for begin, _, words in text_slices(batch.column("_text"), lower=False):
                 tokens = Tokens(words)
                 for size in sizes:
-                    keys, first, is_template = _keys(tokens, size)
+                    keys, first, level = _keys(tokens, size)
                     counts = np.diff(tokens.bounds)[tokens.text[first]] if len(first) else first
                     if items:
                         # windows() takes a shorter text as one window of its own size.
                         keep = np.arange(len(keys))
                     else:
                         keep = np.flatnonzero(_has(shared.value, keys) & (counts >= size))
-                    keys, first, is_template = keys[keep], first[keep], is_template[keep]
+                    keys, first, level = keys[keep], first[keep], level[keep]
                     text = tokens.text[first]
                     columns = [
                         pa.array(keys.view(np.int64)),
                         batch.column("_k1").take(pa.array(text + begin)),
                         pa.array((first - tokens.bounds[text]).astype(np.int32)),
-                        pa.array(is_template),
-                        _slots(tokens, first, size, is_template),
+                        pa.array(level, pa.int8()),
+                        _slots(tokens, first, size, level),
                     ]
                     if items:
                         n = counts[keep]
                         columns += [pa.array(np.maximum(n - size + 1, 1)), pa.array(n)]
                     yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["key", "owner", "place", "template", "slots", "n_windows", "n_tokens"][: 7 if items else 5]
+    names = ["key", "owner", "place", "level", "slots", "n_windows", "n_tokens"][: 7 if items else 5]
     schema = _ROWS + ", n_windows long, n_tokens long" if items else _ROWS
     return rows.select("_k1", "_text").mapInArrow(found, schema)
 
@@ -236,21 +256,27 @@ def find_leaks(
     wanted = known.select(
         "key", F.col("owner").alias("_i"), F.col("place").alias("_ip"), F.col("slots").alias("_is"), "n_windows"
     )
+    # Every template is judged by itself: the second one's fillers must not spoil what the first one finds.
+    levels = F.when(F.col("level") == 2, F.array(F.lit(2))).otherwise(F.array(*map(F.lit, LEVELS)))
     joined = hits.join(wanted, "key").select(
         "owner", "_i", "n_windows", "_ip", (F.col("place") - F.col("_ip")).alias("_shift"),
-        F.arrays_zip(F.col("_is").alias("a"), F.col("slots").alias("b")).alias("_pairs"), "template",
+        F.arrays_zip(F.col("_is").alias("a"), F.col("slots").alias("b")).alias("_pairs"), (F.col("level") > 0).alias("template"),
+        F.explode(levels).alias("_by"),
     )
-    aligned = joined.groupBy("owner", "_i", "n_windows", "_shift").agg(
+    aligned = joined.groupBy("owner", "_i", "n_windows", "_by", "_shift").agg(
         F.collect_set("_ip").alias("_places"),
         F.collect_set(F.when(~F.col("template"), F.col("_ip"))).alias("_same"),
         F.array_distinct(F.flatten(F.collect_set("_pairs"))).alias("_pairs"),
     )
     fillers = F.size(F.array_distinct(F.transform("_pairs", lambda p: p["a"])))
     steady = aligned.filter(fillers == F.size("_pairs"))
-    held = steady.groupBy("owner", "_i", "n_windows").agg(
+    held = steady.groupBy("owner", "_i", "n_windows", "_by").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("_places")))).cast("long").alias("n_matched"),
         F.size(F.array_distinct(F.flatten(F.collect_list("_same")))).cast("long").alias("_n_same"),
     )
+    # The template that matches more counts; of equal ones the first.
+    best = F.max(F.struct("n_matched", (-F.col("_by")).alias("_by"), "_n_same")).alias("_best")
+    held = held.groupBy("owner", "_i", "n_windows").agg(best).select("owner", "_i", "n_windows", "_best.n_matched", "_best._n_same")
     leaks = held.filter(100 * F.col("n_matched") >= percent * F.col("n_windows"))
     names = rows.select(F.col("_k1").alias("owner"), "_k2", "_id").distinct()
     item_names = items.select(F.col("_k1").alias("_i"), "_item")

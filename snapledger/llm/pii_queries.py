@@ -23,4 +23,11 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = find_personal_data(table(spark, folder, "documents").select("doc_id", "text"))
     kinds = F.transform("base_spans", lambda s: s["kind"])
     counts = [_count(kinds, kind).alias(f"n_{kind}") for kind in BASE_KINDS]
-    return found.select("doc_id", *counts, F.sha2(_listed("base_spans"), 256).alias("base_sha256"), _listed("all_spans").alias("spans"))
+    added = [
+        _count(F.transform("all_spans", lambda s: s["kind"]), "secret").alias("n_secret"),
+        (F.size("all_spans") - F.size("base_spans")).cast("long").alias("n_added"),
+        F.size("all_spans").cast("long").alias("n_spans"),
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(_listed("base_spans"), 256).alias("base_sha256"), _listed("all_spans").alias("spans"), *added
+    )

@@ -42,6 +42,27 @@ def test_other_names_and_numbers(spark):
     assert sorted(r.doc_id for r in drop_leaks(docs, items).collect()) == [2, 4, 5, 8]
 
 
+STORY = "{n} has {a} apples. {m} has {b} pears. {n} gives {m} {c} apples. How many apples does {n} have now?"
+
+
+def test_names_at_sentence_starts_and_slot_rich_windows(spark):
+    story = lambda n, m, a, b, c: STORY.format(n=n, m=m, a=a, b=b, c=c)
+    sums = "What is {} + {} * {} - {} ?"
+    items = spark.createDataFrame(
+        [(1, story("Tom", "Ann", 5, 3, 2)), (2, sums.format(12, 7, 3, 4)), (3, "He came home at noon. He then ate two old apples slowly.")],
+        "item_id int, text string",
+    )
+    unsteady = story("Zoe", "Bob", 9, 8, 7).replace("Zoe gives", "Max gives").replace("does Zoe", "does Ida")
+    rows = [
+        (1, story("Zoe", "Bob", 9, 8, 7)), (2, "Well. " + sums.format(1, 2, 30, 5) + " Please say."), (3, unsteady),
+        (4, "Tom has apples and pears and gives some of them to Ann. How many does he have now?"), (5, "What is it? 12 7 3 4"),
+        (6, "She came home at noon. She then ate three old apples slowly."), (7, "Mia came home at noon. Lou then ate three old apples slowly."),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.item_id): r.verbatim for r in find_leaks(docs, items).collect()}
+    assert found == {(1, 1): False, (2, 2): False, (6, 3): False}
+
+
 def test_leaks_edges(spark, odd, empty):
     items = spark.createDataFrame([(None, "same text here"), (None, None)], "item_id int, text string")
     found = find_leaks(odd, items).collect()
