@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from snapledger.llm.common import packed, row_key, unpacked
 from snapledger.llm.graph import components
 from snapledger.llm.wordhash import mix, text_slices, windows
+from snapledger.operators.bloom import KeyFilter
 from snapledger.session import discard, materialize, stored
 
 #: Positions of a signature, and those that a path of one step agrees on.
@@ -386,7 +387,10 @@ class _Join:
     def _full_sets(self, wanted: DataFrame) -> DataFrame:
         """The sets of the ``wanted`` classes (``cls``, ``hashes``), made anew from a text of each."""
         shingle = self.shingle
-        ids = self.classes.join(wanted.distinct(), "cls").select("cls", "_k1", "_k2")
+        ids = materialize(self.classes.join(wanted.distinct(), "cls").select("cls", "_k1", "_k2"), "wanted")
+        # Few documents are wanted: the others' texts stay where they are, as far as a filter of bounded size can tell.
+        known = KeyFilter.build(ids, "_k1")
+        docs = self.docs if known is None else self.docs.filter(known.might_contain(F.col("_k1")))
 
         def recomputed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -397,7 +401,7 @@ class _Join:
                     )
                     yield pa.RecordBatch.from_arrays([batch.column("cls").slice(first, n), data], ["cls", "hashes"])
 
-        texts = self.docs.join(ids, ["_k1", "_k2"]).select("cls", "_text")
+        texts = docs.join(ids, ["_k1", "_k2"]).select("cls", "_text")
         # Only repeated rows of the input give a set twice.
         return materialize(texts.mapInArrow(recomputed, "cls long, hashes binary").dropDuplicates(["cls"]), "sets")
 
