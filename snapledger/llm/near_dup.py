@@ -13,9 +13,11 @@ once, and unlike pairs part quickly.
   estimated similarity, confirmed on the full sets, without pairs that are already connected. It hands on
   links of a forest, never all pairs.
 * In a larger node every class is compared with the node's hub only, which connects the bulk of a large group of
-  copies in linear work. Nodes whose classes were all connected by the first step's hubs are done; the others branch again.
-* What is still large after ``STEPS`` steps agrees on nearly the whole signature: such nodes are cut into
-  blocks and every block is compared with every block of its node, a pair of blocks per task. Nothing is dropped.
+  copies in linear work. Nodes whose classes were all connected by the first step's hubs are done.
+* In the others the classes outside the largest component are strays. At most ``LEAF`` strays are compared with every block
+  of their node, and in nodes of at most ``WIDE`` classes every block with every block, by short signatures. Others branch again.
+* What is still large after ``STEPS`` steps agrees on nearly the whole signature: every block is compared with every block.
+  Nothing is dropped.
 
 Links are confirmed on the full sets of 64-bit shingle hashes, so every reported link is real; each tree
 misses a pair at the threshold with a probability that ``recall`` states, and the trees are independent.
@@ -45,6 +47,8 @@ POSITIONS = 64
 TOKENS = 4
 #: Classes up to which a node is compared exhaustively.
 LEAF = 48
+#: Classes up to which a larger node is compared block by block instead of branching again.
+WIDE = 8 * LEAF
 #: Steps of branching after which a node that is still large is compared block by block.
 STEPS = 5
 #: Bits of a position in the short signature that decides which members of a leaf may be similar.
@@ -203,6 +207,13 @@ def _estimates(shorts: list[bytes]) -> np.ndarray:
     return out
 
 
+def _matches(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Matching positions of the short signatures of each row."""
+    x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(len(c), POSITIONS // 2) for c in (left, right))
+    low = (1 << SHORT_BITS) - 1
+    return ((x ^ y) & low == 0).sum(axis=1) + ((x ^ y) >> SHORT_BITS == 0).sum(axis=1)
+
+
 def _least_matches(percent: int, bits: int = 16) -> int:
     """Positions that two sets at the threshold share but for MARGIN errors; unlike minima agree in one of ``2 ** bits`` cases."""
     s = percent / 100
@@ -257,12 +268,39 @@ def _candidates(leaves: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(filtered, "bunch long, cls long").distinct()
 
 
-def _confirmed(members: DataFrame, percent: int) -> DataFrame:
-    """Links (``a``, ``b``) of a spanning forest of each bunch of rows (``bunch``, ``cls``, ``short``, ``comp``, ``hashes``)."""
+def _merged(bunches: DataFrame) -> DataFrame:
+    """Rows (``bunch``, ``cls``) of the same bunches, where those that share classes are one unless that has over 2 * LEAF classes.
+
+    Two classes of a bunch stay together, and the texts of most classes travel once.
+    """
+    least = bunches.groupBy("bunch").agg(F.min("cls").alias("_low"))
+    near = bunches.join(least, "bunch").groupBy("cls").agg(F.min("_low").alias("_low"))
+    named = bunches.join(near, "cls").groupBy("bunch").agg(F.min("_low").alias("_group"))
+    grouped = bunches.join(named, "bunch")
+    sizes = grouped.select("_group", "cls").distinct().groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
+    bunch = F.when(F.col("_n") <= 2 * LEAF, F.xxhash64(F.lit("group"), "_group")).otherwise(F.col("bunch"))
+    return grouped.join(sizes, "_group").select(bunch.alias("bunch"), "cls").distinct()
+
+
+def _with_sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    """The rows, by slices, with the full sets of their texts as ``hashes`` in place of ``_text``."""
+    for batch in batches:
+        others = batch.drop_columns(["_text"])
+        for first, hashes, bounds in _set_rows(batch.column("_text"), shingle):
+            n = len(bounds) - 1
+            data = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(bounds.astype(np.int64) * 8), pa.py_buffer(hashes)])
+            yield others.slice(first, n).append_column("hashes", data)
+
+
+def _confirmed(members: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (``a``, ``b``) of a spanning forest of each bunch of rows (``bunch``, ``cls``, ``short``, ``comp``, ``_text``).
+
+    Texts travel, as they compress well and hashes don't.
+    """
     least = _least_matches(percent, SHORT_BITS)
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, "bunch"):
+        for group in _groups(_with_sets(batches, shingle), "bunch"):
             names = group.column("cls").to_pylist()
             sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("hashes")]
             comps: dict[int, int] = {}
@@ -289,22 +327,6 @@ def _confirmed(members: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(linked, "a long, b long")
 
 
-def _hub_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) that are links, by their full sets."""
-
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("x")]
-            right = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("y")]
-            keep = [_is_link(x, y, percent) for x, y in zip(left, right, strict=True)]
-            kept = batch.filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], ["a", "b"])
-
-    first = pairs.join(sets.select(F.col("cls").alias("a"), F.col("hashes").alias("x")), "a")
-    second = first.join(sets.select(F.col("cls").alias("b"), F.col("hashes").alias("y")), "b")
-    return second.select("a", "b", "x", "y").mapInArrow(linked, "a long, b long")
-
-
 def _union(parts: list[DataFrame]) -> DataFrame:
     every = parts[0]
     for more in parts[1:]:
@@ -319,52 +341,59 @@ class _Join:
         self.classes, self.docs, self.shingle, self.percent = classes, docs, shingle, percent
         self.paths = paths_per_step(percent / 100)
         self.first = trees * self.paths
-        self.sets: DataFrame | None = None
         self.links: list[DataFrame] = []
         self.comps: DataFrame | None = None
 
     def run(self) -> DataFrame:
         """Links (``a``, ``b``) between classes."""
         rows = _branch(self.classes.select("sign", "cls"), self.first, self.paths, root=True)
-        bunches, done = [], []
+        leaves, done = [], []
         for step in range(STEPS):
-            # The rows of a step are needed until its leaves and large nodes are stored.
             with stored(rows, "nodes") as found:
-                for table in done:
-                    discard(table)
-                done.clear()
-                nodes = self._open_nodes(found)
-                members = found.join(nodes, "node")
-                if step == 0:
-                    # Most classes meet no other: what follows needs the signatures of the rest only.
-                    self.classes = materialize(self.classes.join(members.select("cls").distinct(), "cls"), "met-classes")
-                bunches.append(self._candidates(members.filter(F.col("n") <= LEAF).select("node", "cls")))
-                if nodes.filter(F.col("n") > LEAF).isEmpty():
-                    break
-                large = materialize(self._with(members.filter(F.col("n") > LEAF).drop("n"), "sign"), "large-nodes")
-            if self.sets is None:
-                self.sets = self._full_sets(bunches[0].select("cls").unionByName(large.select("cls")))
+                members = materialize(found.join(self._open_nodes(found), "node"), "members")
+            done.append(members)
+            if step == 0:
+                # Most classes meet no other: what follows needs the signatures of the rest only.
+                self.classes = materialize(self.classes.join(members.select("cls").distinct(), "cls"), "met-classes")
+            leaves.append(members.filter(F.col("n") <= LEAF).select("node", "cls"))
+            many = members.filter(F.col("n") > LEAF).drop("n")
+            if many.isEmpty():
+                break
+            large = materialize(self._with(many, "short"), "large-nodes")
             self._add_hub_links(large)
             if step == 0:
                 # Hubs of the first step connect most of what is similar; their components spare the rest work.
                 self.comps = components(self.links[0])
-            still = self._open_nodes(self._with_comp(large))
-            # What the next step reads of these goes once it has been stored.
-            done += [nodes, large, still]
-            rows = large.join(still.select("node"), "node")
-            if step == STEPS - 1:
-                bunches.append(self._candidates(self._blocks(rows, still)))
-            else:
-                rows = _branch(rows.select("path", "node", "cls", "sign"), self.first, self.paths, root=False)
-        if self.sets is None:
-            self.sets = self._full_sets(bunches[0].select("cls"))
-        every = _union(bunches).distinct()
-        members = self._with_comp(self._with(every, "short")).join(self.sets, "cls")
-        self.links.append(_confirmed(members, self.percent))
+            still = materialize(self._open_rows(large.drop("short")), "open-rows")
+            discard(large)
+            done.append(still)
+            few = F.col("m") <= LEAF
+            wide = ~few if step == STEPS - 1 else ~few & (F.col("n") <= WIDE)
+            leaves += [self._stray_blocks(still.filter(few)), self._blocks(still.filter(wide))]
+            rest = still.filter(~(few | wide))
+            if rest.isEmpty():
+                break
+            rows = _branch(self._with(rest.select("path", "node", "cls"), "sign"), self.first, self.paths, root=False)
+        near = self._with_comp(self._with(_union(leaves), "short"))
+        bunches = materialize(_candidates(near, self.percent), "bunches")
+        for table in done:
+            discard(table)
+        with stored(_merged(bunches), "groups") as groups:
+            self.links.append(materialize(self._confirmed(groups), "near-links"))
+        discard(bunches)
         return _union(self.links)
 
-    def _candidates(self, leaves: DataFrame) -> DataFrame:
-        return materialize(_candidates(self._with_comp(self._with(leaves, "short")), self.percent), "bunches")
+    def _confirmed(self, bunches: DataFrame) -> DataFrame:
+        """The links within rows (``bunch``, ``cls``) that are stored, by full sets made anew from a text of each class."""
+        wanted = self.classes.join(bunches.select("cls").distinct(), "cls").select("cls", "_k1", "_k2", "short")
+        wanted = materialize(self._with_comp(wanted), "wanted")
+        # Few documents are wanted: the others' texts stay where they are, as far as a filter of bounded size can tell.
+        known = KeyFilter.build(wanted, "_k1")
+        docs = self.docs if known is None else self.docs.filter(known.might_contain(F.col("_k1")))
+        # Repeated rows of the input give a text once.
+        texts = docs.dropDuplicates(["_k1", "_k2"])
+        members = bunches.join(wanted, "cls").join(texts, ["_k1", "_k2"]).select("bunch", "cls", "short", "comp", "_text")
+        return _confirmed(members, self.shingle, self.percent)
 
     def _with_comp(self, rows: DataFrame) -> DataFrame:
         """Add the component known so far."""
@@ -378,64 +407,65 @@ class _Join:
 
     def _open_nodes(self, rows: DataFrame) -> DataFrame:
         """Nodes with classes of more than one component: ``node`` and the number of classes ``n``."""
-        seen = rows if "comp" in rows.columns else self._with_comp(rows)
         mark = F.xxhash64("comp")
         agg = [F.count(F.lit(1)).alias("n"), F.min(mark).alias("_low"), F.max(mark).alias("_high")]
-        nodes = seen.groupBy("node").agg(*agg).filter("_low <> _high")
-        return materialize(nodes.select("node", "n"), "open-nodes")
+        return self._with_comp(rows).groupBy("node").agg(*agg).filter("_low <> _high").select("node", "n")
 
-    def _full_sets(self, wanted: DataFrame) -> DataFrame:
-        """The sets of the ``wanted`` classes (``cls``, ``hashes``), made anew from a text of each."""
-        shingle = self.shingle
-        ids = materialize(self.classes.join(wanted.distinct(), "cls").select("cls", "_k1", "_k2"), "wanted")
-        # Few documents are wanted: the others' texts stay where they are, as far as a filter of bounded size can tell.
-        known = KeyFilter.build(ids, "_k1")
-        docs = self.docs if known is None else self.docs.filter(known.might_contain(F.col("_k1")))
+    def _open_rows(self, large: DataFrame) -> DataFrame:
+        """The rows of nodes that more than one component is left in.
 
-        def recomputed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for first, hashes, bounds in _set_rows(batch.column("_text"), shingle):
-                    n = len(bounds) - 1
-                    data = pa.Array.from_buffers(
-                        pa.binary(), n, [None, pa.py_buffer((bounds * 8).astype(np.int32)), pa.py_buffer(hashes)]
-                    )
-                    yield pa.RecordBatch.from_arrays([batch.column("cls").slice(first, n), data], ["cls", "hashes"])
-
-        texts = docs.join(ids, ["_k1", "_k2"]).select("cls", "_text")
-        # Only repeated rows of the input give a set twice.
-        return materialize(texts.mapInArrow(recomputed, "cls long, hashes binary").dropDuplicates(["cls"]), "sets")
+        ``n`` classes of the node, ``m`` of them strays outside its largest component, and whether the class is one.
+        """
+        seen = self._with_comp(large)
+        sizes = seen.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("_c"))
+        nodes = sizes.groupBy("node").agg(F.sum("_c").alias("n"), F.max(F.struct("_c", "comp")).alias("_top"))
+        nodes = nodes.select("node", "n", (F.col("n") - F.col("_top._c")).alias("m"), F.col("_top.comp").alias("_most"))
+        rows = seen.join(nodes.filter("m > 0"), "node")
+        return rows.select("path", "node", "cls", "n", "m", (F.col("comp") != F.col("_most")).alias("stray"))
 
     def _add_hub_links(self, large: DataFrame) -> None:
-        """Compare the classes of large nodes with a hub of theirs."""
-        with stored(self._open_hubs(large), "hubs") as hubs:
-            self.links.append(materialize(self._near_hubs(large, hubs), "hub-links"))
-
-    def _near_hubs(self, large: DataFrame, hubs: DataFrame) -> DataFrame:
-        near = large.select("node", "cls", "sign").join(hubs, "node").filter("cls <> hub")
-        least = _least_matches(self.percent)
+        """Compare the classes of large nodes with a hub of theirs that they are not connected with yet."""
+        with stored(self._near_hubs(large), "hub-pairs") as pairs:
+            # The partners of a hub are dealt to bunches of about LEAF, each with the hub.
+            sizes = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("_blocks"))
+            dealt = pairs.join(sizes, "hub").withColumn("bunch", F.xxhash64("hub", F.pmod(F.xxhash64("cls"), "_blocks")))
+            hubs = dealt.select("bunch", F.col("hub").alias("cls")).distinct()
+            with stored(dealt.select("bunch", "cls").unionByName(hubs), "hub-bunches") as bunches:
+                self.links.append(materialize(self._confirmed(bunches), "hub-links"))
+
+    def _near_hubs(self, large: DataFrame) -> DataFrame:
+        """Pairs (``cls``, ``hub``) that may be similar."""
+        chance = F.struct(F.xxhash64("node", "cls"), "cls", "short")
+        hubs = large.groupBy("node").agg(F.min(chance).alias("h"))
+        hubs = hubs.select("node", F.col("h.cls").alias("hub"), F.col("h.short").alias("hub_short"))
+        near = large.select("node", "cls", "short").join(hubs, "node").filter("cls <> hub")
+        least = _least_matches(self.percent, SHORT_BITS)
 
         def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                x = np.frombuffer(b"".join(batch.column("sign").to_pylist()), np.uint16).reshape(-1, POSITIONS)
-                y = np.frombuffer(b"".join(batch.column("hub_sign").to_pylist()), np.uint16).reshape(-1, POSITIONS)
-                kept = batch.filter(pa.array((x == y).sum(axis=1) >= least))
-                yield pa.RecordBatch.from_arrays([kept.column("cls"), kept.column("hub")], ["a", "b"])
-
-        pairs = near.select("cls", "sign", "hub", "hub_sign").mapInArrow(similar, "a long, b long").distinct()
-        return _hub_links(pairs, self.sets, self.percent)
+                kept = batch.filter(pa.array(_matches(batch.column("short"), batch.column("hub_short")) >= least))
+                yield kept.select(["cls", "hub"])
 
-    def _open_hubs(self, large: DataFrame) -> DataFrame:
-        chance = F.struct(F.xxhash64("node", "cls"), "cls", "sign")
-        hubs = large.groupBy("node").agg(F.min(chance).alias("h"))
-        return hubs.select("node", F.col("h.cls").alias("hub"), F.col("h.sign").alias("hub_sign"))
-
-    def _blocks(self, rows: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Large nodes as a node for each pair of their blocks, of at most about LEAF classes together."""
-        sized = rows.select("node", "cls").join(nodes.select("node", F.col("n").alias("_n")), "node")
-        blocks = F.ceil(F.col("_n") / (LEAF // 2)).cast("int")
+        pairs = near.select("cls", "hub", "short", "hub_short").mapInArrow(similar, "cls long, hub long").distinct()
+        if self.comps is None:
+            return pairs
+        ends = self._with_comp(pairs).select(F.col("hub").alias("cls"), F.col("cls").alias("_a"), F.col("comp").alias("_of"))
+        return self._with_comp(ends).filter("comp <> _of").select(F.col("_a").alias("cls"), F.col("cls").alias("hub"))
+
+    def _stray_blocks(self, rows: DataFrame) -> DataFrame:
+        """Nodes as a node for each block of about LEAF classes of their largest component, with all their strays."""
+        blocks = F.ceil((F.col("n") - F.col("m")) / LEAF).cast("int")
+        own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
+        places = F.when(F.col("stray"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))
+        dealt = rows.select("node", "cls", F.explode(places).alias("_block"))
+        return dealt.select(F.xxhash64("node", "_block").alias("node"), "cls")
+
+    def _blocks(self, rows: DataFrame) -> DataFrame:
+        """Nodes as a node for each pair of their blocks, of at most about LEAF classes together."""
+        blocks = F.ceil(F.col("n") / (LEAF // 2)).cast("int")
         own = F.pmod(F.xxhash64("cls"), blocks)
         pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.least(own, k), F.greatest(own, k)))
-        dealt = sized.select("node", "cls", F.explode(pairs).alias("_pair"))
+        dealt = rows.select("node", "cls", F.explode(pairs).alias("_pair"))
         return dealt.select(F.xxhash64("node", "_pair").alias("node"), "cls")
 
 

@@ -54,6 +54,32 @@ def test_a_large_group_of_near_copies(spark, percent):
     assert {r.doc_id: r.component_id for r in found.collect()} == brute.near_components(docs, percent)
 
 
+def test_bunches_that_share_classes_are_merged(spark):
+    small = [(1, 10), (1, 11), (2, 10), (2, 11), (2, 12), (3, 11), (3, 12), (4, 20), (4, 21)]
+    # Together these have more classes than a bunch may: they stay as they are.
+    large = [(5, 100 + k) for k in range(90)] + [(6, 100)] + [(6, 200 + k) for k in range(90)]
+    found = {}
+    for r in near_dup._merged(spark.createDataFrame(small + large, "bunch long, cls long")).collect():
+        found.setdefault(r.bunch, []).append(r.cls)
+    want = [[10, 11, 12], [20, 21], [100 + k for k in range(90)], [100] + [200 + k for k in range(90)]]
+    assert sorted(map(sorted, found.values())) == sorted(want)
+
+
+def test_work_on_families_of_near_copies(spark, monkeypatch):
+    """A few strays don't make a large node branch again and again."""
+    r = random.Random(8)
+    texts = [t for _ in range(20) for t in _copies(r, 6, 80, 6)] + _copies(r, 150, 90, 4)
+    # Strays: close enough to the large family to share nodes, too far for links.
+    texts += [" ".join([*texts[120].split(" ")[:81], *_words(r, 9, f"s{k}-")]) for k in range(5)]
+    labels, materialize = [], near_dup.materialize
+    monkeypatch.setattr(near_dup, "materialize", lambda df, label: (labels.append(label), materialize(df, label))[1])
+    docs = dict(enumerate(texts))
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    found = near_dup.near_duplicates(df, percent=85)
+    assert {r.doc_id: r.component_id for r in found.collect()} == brute.near_components(docs, 85)
+    assert labels.count("large-nodes") == 1
+
+
 def test_near_duplicates_edges(spark, odd, empty):
     found = near_dup.near_duplicates(odd).collect()
     assert len(found) == odd.count()
