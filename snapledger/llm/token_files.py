@@ -20,6 +20,7 @@ number of shuffle partitions bound their size; the offset index serves single fr
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
@@ -45,6 +46,30 @@ LIBRARY_PIECES = 4096
 MEMO_PIECES = 180_000
 #: How the model's special tokens begin; where they occur, the case of letters matters.
 _SPECIAL = b"<|"
+#: Words of letters a-z and of Latin-1, then marks of ASCII, but for those of contractions and special tokens.
+_PLAIN = re.compile(r"([a-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:;=>?@\[-`{}~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Letters of Latin-1 as a byte-level model sees them: lower-cased, a character for each byte of UTF-8."""
+    hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+    names = {b: chr(256 + hidden.index(b)) if b in hidden else chr(b) for b in range(256)}
+    return {c: "".join(names[b] for b in chr(c).lower().encode()) for c in range(0xC0, 0x100) if chr(c).isalpha()}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+def plain_parts(piece: bytes) -> list[str] | None:
+    """What normaliser and splitter make of a plain piece, without them; None for other pieces."""
+    word = piece.lstrip(b" ")
+    # Most words are of a-z, which stay as they are.
+    if word.isalpha() and word.islower():
+        return [word.decode()]
+    found = _PLAIN.fullmatch(word.decode())
+    if not word or found is None:
+        return None
+    return [part.translate(_BYTE_LETTERS) for part in found.groups() if part]
 
 
 def masked(data: bytes) -> int:
@@ -90,12 +115,12 @@ def _memo(model: str) -> Memo:
         found: list[bytes | None] = [None] * len(pieces)
         others = []
         for k, piece in enumerate(pieces):
-            word = piece.lstrip(b" ")
-            # Words of a-z pass the model's normaliser and splitter as they are: its merges alone are needed.
-            if word.isalpha() and word.islower():
-                found[k] = array("I", [t.id for t in words.tokenize(word.decode())]).tobytes()
-            else:
+            parts = plain_parts(piece)
+            if parts is None:
                 others.append(k)
+            else:
+                # The model's merges alone are needed.
+                found[k] = array("I", [t.id for part in parts for t in words.tokenize(part)]).tobytes()
         # The library's results take some KB a piece until they are reduced to ids.
         for first in range(0, len(others), LIBRARY_PIECES):
             chosen = others[first : first + LIBRARY_PIECES]

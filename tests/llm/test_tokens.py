@@ -85,6 +85,25 @@ def test_token_files_query(spark, tables, texts):
     assert len(found) == len(texts)
 
 
+def test_plain_pieces_skip_the_librarys_normaliser():
+    """Accented words and words with marks take the model's merges only, with the library's ids."""
+    model, library = _word_model()
+    assert token_files.plain_parts(b" plain") == ["plain"]
+    assert token_files.plain_parts(" Éçß".encode()) == ["Ã©Ã§ÃŁ"]
+    assert token_files.plain_parts(" pfté$$$".encode()) == ["pftÃ©", "$$$"]
+    for other in (b"", b" ", b"it's", b".5", b" a1", b"a.b", b"<|endoftext|>", " a×".encode(), " e\u0301".encode(), " İ".encode()):
+        assert token_files.plain_parts(other) is None
+    r = random.Random(7)
+    letters, marks = [chr(c) for c in range(0xC0, 0x100) if chr(c).isalpha()], [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    pieces = [f" {x}" for x in [*letters, *marks]]
+    for _ in range(3000):
+        word = r.choices([*letters, *"abcdefghijklmnopqrstuvwxyz"], k=r.randrange(9))
+        pieces.append(" " * r.randrange(3) + "".join([*word, *r.choices(marks, k=r.randrange(4))]))
+    pieces = [p.encode() for p in pieces]
+    for piece, ids in zip(pieces, token_files.library_memo(model)()(pieces), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(piece.decode(), add_special_tokens=False).ids, piece
+
+
 def test_token_files_edges(spark, odd, empty, tmp_path):
     model, library = _word_model()
     noise = [None, "", "<|endoftext|> X<|startoftext|>", "<|ENDOFTEXT|>", *_noise(1500, 2)]
