@@ -12,11 +12,12 @@ once, and unlike pairs part quickly.
 * A node of at most ``LEAF`` classes is compared exhaustively in one task: pairs in descending order of
   estimated similarity, confirmed on the full sets, without pairs that are already connected. It hands on
   links of a forest, never all pairs.
-* In a larger node every class is compared with the node's hub only, which connects the bulk of a large group of
-  copies in linear work. Nodes whose classes were all connected by the first step's hubs are done.
-* In the others the classes outside the largest component are strays. At most ``LEAF`` strays are compared with every block
-  of their node, and in nodes of at most ``WIDE`` classes every block with every block, by short signatures. Others branch again.
-* What is still large after ``STEPS`` steps agrees on nearly the whole signature: every block is compared with every block.
+* In a larger node of the first step every class is compared with the node's hub only, which connects the bulk of a large group of
+  copies in linear work. Nodes whose classes were all connected by these hubs are done.
+* In the others the classes outside the largest component are strays. Nodes of at most ``WIDE`` classes are compared exhaustively
+  by short signatures, and at most ``LEAF`` strays with every block of their node. Others branch again, after their classes were
+  compared with a hub.
+* What is still large after ``STEPS`` steps agrees on nearly the whole signature: every block of strays is compared with every block.
   Nothing is dropped.
 
 Links are confirmed on the full sets of 64-bit shingle hashes, so every reported link is real; each tree
@@ -33,7 +34,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapledger.llm.common import packed, row_key, unpacked
@@ -47,7 +48,7 @@ POSITIONS = 64
 TOKENS = 4
 #: Classes up to which a node is compared exhaustively.
 LEAF = 48
-#: Classes up to which a larger node is compared block by block instead of branching again.
+#: Classes up to which a larger node is compared as a whole by short signatures instead of branching again.
 WIDE = 8 * LEAF
 #: Steps of branching after which a node that is still large is compared block by block.
 STEPS = 5
@@ -81,6 +82,11 @@ def shortened(signs: np.ndarray) -> np.ndarray:
     return low[:, ::2] | low[:, 1::2] << SHORT_BITS
 
 
+def _sizes_fit(left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of these sizes can be linked."""
+    return 100 * np.minimum(left, right) >= percent * np.maximum(left, right)
+
+
 def paths_per_step(threshold: float) -> int:
     return math.ceil(round(threshold**-TOKENS, 6))
 
@@ -240,10 +246,35 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def _parts(near: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix of links the least row that it is connected with."""
+    part = np.arange(len(near))
+    while True:
+        least = np.minimum(part, np.where(near, part, len(part)).min(axis=1))
+        least = least[least]
+        if (least == part).all():
+            return part
+        part = least
+
+
+def _bunches(rows: np.ndarray, near: np.ndarray) -> Iterator[np.ndarray]:
+    """The rows, or if they are over 2 * LEAF, for each pair of their blocks those with a link of the matrix ``near`` into the other one."""
+    if len(rows) <= 2 * LEAF:
+        yield rows
+        return
+    blocks = np.array_split(rows, math.ceil(len(rows) / LEAF))
+    for i, a in enumerate(blocks):
+        for b in blocks[i:]:
+            links = near[np.ix_(a, b)]
+            if links.any():
+                yield np.union1d(a[links.any(axis=1)], b[links.any(axis=0)])
+
+
 def _candidates(leaves: DataFrame, percent: int) -> DataFrame:
     """Rows (``bunch``, ``cls``) of leaf members that some other member may be similar to.
 
-    ``bunch`` names the members that remain of a node; nodes with the same ones count once.
+    ``bunch`` names members of a node that are connected by such pairs; nodes with the same ones count once.
+    Members of one ``side`` are not compared with each other, but for those of side -1.
     """
     least = _least_matches(percent, SHORT_BITS)
 
@@ -252,19 +283,25 @@ def _candidates(leaves: DataFrame, percent: int) -> DataFrame:
         classes: list[int] = []
         for group in _groups(batches, "node"):
             if group.num_rows > 1:
-                comp = group.column("comp").to_numpy()
+                comp, size, cls = (group.column(c).to_numpy() for c in ("comp", "size", "cls"))
+                side = group.column("side").to_numpy()
                 may = (_estimates(group.column("short").to_pylist()) >= least) & (comp[:, None] != comp[None, :])
-                members = np.sort(group.column("cls").to_numpy()[may.any(axis=1)])
-                bunch = xxhash.xxh3_64_intdigest(members.tobytes()) - (1 << 63)
-                bunches += [bunch] * len(members)
-                classes += members.tolist()
+                may &= _sizes_fit(size[:, None], size[None, :], percent) & ((side[:, None] != side[None, :]) | (side[:, None] < 0))
+                part = np.where(may.any(axis=1), _parts(may), -1)
+                for p in np.unique(part[part >= 0]).tolist():
+                    at = np.flatnonzero(part == p)
+                    for held in _bunches(at[np.argsort(cls[at])], may):
+                        members = np.sort(cls[held])
+                        bunch = xxhash.xxh3_64_intdigest(members.tobytes()) - (1 << 63)
+                        bunches += [bunch] * len(members)
+                        classes += members.tolist()
             if len(bunches) > 20_000:
                 yield pa.RecordBatch.from_arrays([pa.array(bunches, pa.int64()), pa.array(classes, pa.int64())], ["bunch", "cls"])
                 bunches, classes = [], []
         if bunches:
             yield pa.RecordBatch.from_arrays([pa.array(bunches, pa.int64()), pa.array(classes, pa.int64())], ["bunch", "cls"])
 
-    ordered = leaves.select("node", "cls", "short", "comp").repartition("node").sortWithinPartitions("node")
+    ordered = leaves.select("node", "cls", "side", "short", "size", "comp").repartition("node").sortWithinPartitions("node")
     return ordered.mapInArrow(filtered, "bunch long, cls long").distinct()
 
 
@@ -312,7 +349,8 @@ def _confirmed(members: DataFrame, shingle: int, percent: int) -> DataFrame:
                 return k
 
             matches = _estimates(group.column("short").to_pylist())
-            left, right = np.nonzero(np.triu(matches >= least, 1))
+            sizes = np.array([len(x) for x in sets])
+            left, right = np.nonzero(np.triu((matches >= least) & _sizes_fit(sizes[:, None], sizes[None, :], percent), 1))
             order = np.argsort(-matches[left, right], kind="stable")
             found = []
             for i, j in zip(left[order].tolist(), right[order].tolist(), strict=True):
@@ -334,8 +372,30 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return every
 
 
+def _starred(links: DataFrame) -> DataFrame:
+    """The same connections as ``links``, batch by batch as links to the least class of each component: short ways take few rounds."""
+
+    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            root: dict[int, int] = {}
+
+            def find(k: int, root: dict[int, int] = root) -> int:
+                root.setdefault(k, k)
+                while root[k] != k:
+                    root[k] = k = root[root[k]]
+                return k
+
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+                a, b = find(a), find(b)
+                root[max(a, b)] = min(a, b)
+            nodes = [k for k in root if root[k] != k]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(map(find, nodes), pa.int64())], ["a", "b"])
+
+    return links.mapInArrow(stars, "a long, b long")
+
+
 class _Join:
-    """One run of the join over the classes (``cls``, ``_k1``, ``_k2``, ``sign``, ``short``)."""
+    """One run of the join over the classes (``cls``, ``_k1``, ``_k2``, ``size``, ``sign``, ``short``)."""
 
     def __init__(self, classes: DataFrame, docs: DataFrame, shingle: int, percent: int, trees: int):
         self.classes, self.docs, self.shingle, self.percent = classes, docs, shingle, percent
@@ -347,34 +407,37 @@ class _Join:
     def run(self) -> DataFrame:
         """Links (``a``, ``b``) between classes."""
         rows = _branch(self.classes.select("sign", "cls"), self.first, self.paths, root=True)
-        leaves, done = [], []
-        for step in range(STEPS):
-            with stored(rows, "nodes") as found:
-                members = materialize(found.join(self._open_nodes(found), "node"), "members")
-            done.append(members)
-            if step == 0:
-                # Most classes meet no other: what follows needs the signatures of the rest only.
-                self.classes = materialize(self.classes.join(members.select("cls").distinct(), "cls"), "met-classes")
-            leaves.append(members.filter(F.col("n") <= LEAF).select("node", "cls"))
-            many = members.filter(F.col("n") > LEAF).drop("n")
-            if many.isEmpty():
-                break
-            large = materialize(self._with(many, "short"), "large-nodes")
+        with stored(rows, "nodes") as found:
+            members = materialize(found.join(self._open_nodes(found), "node"), "members")
+        # Most classes meet no other: what follows needs the signatures of the rest only.
+        self.classes = materialize(self.classes.join(members.select("cls").distinct(), "cls"), "met-classes")
+        leaves, done = [_whole(members.filter(F.col("n") <= LEAF))], [members]
+        many = members.filter(F.col("n") > LEAF).drop("n")
+        if not many.isEmpty():
+            large = materialize(self._with(many, "short", "size"), "large-nodes")
             self._add_hub_links(large)
-            if step == 0:
-                # Hubs of the first step connect most of what is similar; their components spare the rest work.
-                self.comps = components(self.links[0])
-            still = materialize(self._open_rows(large.drop("short")), "open-rows")
-            discard(large)
-            done.append(still)
-            few = F.col("m") <= LEAF
-            wide = ~few if step == STEPS - 1 else ~few & (F.col("n") <= WIDE)
-            leaves += [self._stray_blocks(still.filter(few)), self._blocks(still.filter(wide))]
-            rest = still.filter(~(few | wide))
-            if rest.isEmpty():
-                break
-            rows = _branch(self._with(rest.select("path", "node", "cls"), "sign"), self.first, self.paths, root=False)
-        near = self._with_comp(self._with(_union(leaves), "short"))
+            # These hubs connect most of what is similar; their components spare the rest work.
+            self.comps = components(_starred(self.links[0]))
+            rows = large.drop("short", "size")
+            done.append(large)
+            for step in range(STEPS):
+                still = materialize(self._open_rows(rows), "open-rows")
+                done.append(still)
+                leaves.append(_whole(still.filter(F.col("n") <= WIDE)))
+                still = still.filter(F.col("n") > WIDE)
+                leaves.append(self._stray_blocks(still.filter(F.col("m") <= LEAF)))
+                rest = still.filter(F.col("m") > LEAF)
+                if rest.isEmpty():
+                    break
+                if step == STEPS - 1:
+                    leaves.append(self._blocks(rest))
+                    break
+                if step:
+                    leaves.append(self._hub_blocks(rest))
+                children = _branch(self._with(rest.select("path", "node", "cls"), "sign"), self.first, self.paths, root=False)
+                rows = materialize(children, "nodes")
+                done.append(rows)
+        near = self._with_comp(self._with(_union(leaves), "short", "size"))
         bunches = materialize(_candidates(near, self.percent), "bunches")
         for table in done:
             discard(table)
@@ -402,8 +465,8 @@ class _Join:
         known = self.comps.select(F.col("node").alias("cls"), F.col("comp").alias("_comp"))
         return rows.join(known, "cls", "left").withColumn("comp", F.coalesce("_comp", "cls")).drop("_comp")
 
-    def _with(self, rows: DataFrame, signature: str) -> DataFrame:
-        return rows.join(self.classes.select("cls", signature), "cls")
+    def _with(self, rows: DataFrame, *columns: str) -> DataFrame:
+        return rows.join(self.classes.select("cls", *columns), "cls")
 
     def _open_nodes(self, rows: DataFrame) -> DataFrame:
         """Nodes with classes of more than one component: ``node`` and the number of classes ``n``."""
@@ -414,17 +477,20 @@ class _Join:
     def _open_rows(self, large: DataFrame) -> DataFrame:
         """The rows of nodes that more than one component is left in.
 
-        ``n`` classes of the node, ``m`` of them strays outside its largest component, and whether the class is one.
+        ``n`` classes of the node, ``m`` of them strays outside its largest component, and whether the class is one, or the hub.
         """
         seen = self._with_comp(large)
-        sizes = seen.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("_c"))
-        nodes = sizes.groupBy("node").agg(F.sum("_c").alias("n"), F.max(F.struct("_c", "comp")).alias("_top"))
-        nodes = nodes.select("node", "n", (F.col("n") - F.col("_top._c")).alias("m"), F.col("_top.comp").alias("_most"))
+        least = F.min(F.xxhash64("node", "cls")).alias("_least")
+        sizes = seen.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("_c"), least)
+        top = F.max(F.struct("_c", "comp")).alias("_top")
+        nodes = sizes.groupBy("node").agg(F.sum("_c").alias("n"), top, F.min("_least").alias("_least"))
+        nodes = nodes.select("node", "n", (F.col("n") - F.col("_top._c")).alias("m"), F.col("_top.comp").alias("_most"), "_least")
         rows = seen.join(nodes.filter("m > 0"), "node")
-        return rows.select("path", "node", "cls", "n", "m", (F.col("comp") != F.col("_most")).alias("stray"))
+        hub = (F.xxhash64("node", "cls") == F.col("_least")).alias("hub")
+        return rows.select("path", "node", "cls", "n", "m", (F.col("comp") != F.col("_most")).alias("stray"), hub)
 
     def _add_hub_links(self, large: DataFrame) -> None:
-        """Compare the classes of large nodes with a hub of theirs that they are not connected with yet."""
+        """Compare the classes of large nodes with a hub of theirs."""
         with stored(self._near_hubs(large), "hub-pairs") as pairs:
             # The partners of a hub are dealt to bunches of about LEAF, each with the hub.
             sizes = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / LEAF).alias("_blocks"))
@@ -435,10 +501,11 @@ class _Join:
 
     def _near_hubs(self, large: DataFrame) -> DataFrame:
         """Pairs (``cls``, ``hub``) that may be similar."""
-        chance = F.struct(F.xxhash64("node", "cls"), "cls", "short")
+        chance = F.struct(F.xxhash64("node", "cls"), "cls", "short", "size")
         hubs = large.groupBy("node").agg(F.min(chance).alias("h"))
-        hubs = hubs.select("node", F.col("h.cls").alias("hub"), F.col("h.short").alias("hub_short"))
-        near = large.select("node", "cls", "short").join(hubs, "node").filter("cls <> hub")
+        hubs = hubs.select("node", F.col("h.cls").alias("hub"), F.col("h.short").alias("hub_short"), F.col("h.size").alias("_of"))
+        fit = 100 * F.least("size", "_of") >= self.percent * F.greatest("size", "_of")
+        near = large.select("node", "cls", "short", "size").join(hubs, "node").filter("cls <> hub").filter(fit)
         least = _least_matches(self.percent, SHORT_BITS)
 
         def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -446,27 +513,40 @@ class _Join:
                 kept = batch.filter(pa.array(_matches(batch.column("short"), batch.column("hub_short")) >= least))
                 yield kept.select(["cls", "hub"])
 
-        pairs = near.select("cls", "hub", "short", "hub_short").mapInArrow(similar, "cls long, hub long").distinct()
-        if self.comps is None:
-            return pairs
-        ends = self._with_comp(pairs).select(F.col("hub").alias("cls"), F.col("cls").alias("_a"), F.col("comp").alias("_of"))
-        return self._with_comp(ends).filter("comp <> _of").select(F.col("_a").alias("cls"), F.col("cls").alias("hub"))
+        return near.select("cls", "hub", "short", "hub_short").mapInArrow(similar, "cls long, hub long").distinct()
 
     def _stray_blocks(self, rows: DataFrame) -> DataFrame:
         """Nodes as a node for each block of about LEAF classes of their largest component, with all their strays."""
-        blocks = F.ceil((F.col("n") - F.col("m")) / LEAF).cast("int")
-        own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
-        places = F.when(F.col("stray"), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))
-        dealt = rows.select("node", "cls", F.explode(places).alias("_block"))
-        return dealt.select(F.xxhash64("node", "_block").alias("node"), "cls")
+        return _with_each_block(rows, "stray", F.col("n") - F.col("m"))
+
+    def _hub_blocks(self, rows: DataFrame) -> DataFrame:
+        """Nodes as a node for each block of about LEAF classes, with the hub."""
+        return _with_each_block(rows, "hub", F.col("n"))
 
     def _blocks(self, rows: DataFrame) -> DataFrame:
-        """Nodes as a node for each pair of their blocks, of at most about LEAF classes together."""
-        blocks = F.ceil(F.col("n") / (LEAF // 2)).cast("int")
-        own = F.pmod(F.xxhash64("cls"), blocks)
-        pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.least(own, k), F.greatest(own, k)))
-        dealt = rows.select("node", "cls", F.explode(pairs).alias("_pair"))
-        return dealt.select(F.xxhash64("node", "_pair").alias("node"), "cls")
+        """Nodes as a node for each pair of a block of strays and another, of at most about LEAF classes together."""
+        strays, others = (F.ceil(n / (LEAF // 2)).cast("int") for n in (F.col("m"), F.col("n") - F.col("m")))
+        mark = F.xxhash64("cls")
+        own = F.when(F.col("stray"), F.pmod(mark, strays)).otherwise(strays + F.pmod(mark, others)).cast("int")
+        last = F.when(F.col("stray"), strays + others).otherwise(strays) - 1
+        dealt = rows.select("node", "cls", own.alias("_own"), F.explode(F.sequence(F.lit(0), last)).alias("_other"))
+        # What is in one block is compared once, in the pair of the block with itself.
+        side = F.when(F.col("_own") == F.col("_other"), -1).otherwise((F.col("_own") < F.col("_other")).cast("int"))
+        return dealt.select(F.xxhash64("node", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("node"), "cls", side.alias("side"))
+
+
+def _whole(rows: DataFrame) -> DataFrame:
+    """Nodes whose classes are all compared with each other."""
+    return rows.select("node", "cls", F.lit(-1).alias("side"))
+
+
+def _with_each_block(rows: DataFrame, role: str, others: Column) -> DataFrame:
+    """Nodes as a node for each block of about LEAF of their ``others`` classes, with all classes of the role."""
+    blocks = F.ceil(others / LEAF).cast("int")
+    places = F.when(F.col(role), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(F.pmod(F.xxhash64("cls"), blocks).cast("int")))
+    side = F.when(F.col(role), -1).otherwise(0).alias("side")
+    dealt = rows.select("node", "cls", side, F.explode(places).alias("_block"))
+    return dealt.select(F.xxhash64(F.lit(role), "node", "_block").alias("node"), "cls", "side")
 
 
 def near_duplicates(
@@ -497,14 +577,14 @@ def near_duplicates(
     classes = (
         measured.filter("cls IS NOT NULL")
         .groupBy("cls")
-        .agg(F.min("_id").alias("_id"), F.min(F.struct("_id", "_k1", "_k2")).alias("_first"), F.first("sign").alias("sign"), F.first("short").alias("short"))
+        .agg(F.min("_id").alias("_id"), F.min(F.struct("_id", "_k1", "_k2")).alias("_first"), F.first("n_shingles").alias("size"), F.first("sign").alias("sign"), F.first("short").alias("short"))
     )
     # Numbered once, so that all tables of the join carry eight bytes a class.
     number = F.monotonically_increasing_id().alias("_number")
-    classes = materialize(classes.select("cls", number, "_id", "_first._k1", "_first._k2", "sign", "short"), "classes")
-    numbered = classes.select(F.col("_number").alias("cls"), "_k1", "_k2", "sign", "short")
+    classes = materialize(classes.select("cls", number, "_id", "_first._k1", "_first._k2", "size", "sign", "short"), "classes")
+    numbered = classes.select(F.col("_number").alias("cls"), "_k1", "_k2", "size", "sign", "short")
     links = _Join(numbered, source.select("_k1", "_k2", "_text"), shingle, percent, trees).run()
-    found = components(links).withColumnRenamed("node", "_number")
+    found = components(_starred(links)).withColumnRenamed("node", "_number")
     # Components are named by classes; their least id names the documents'.
     comps = classes.select("cls", "_number", "_id").join(found, "_number")
     least = comps.groupBy("comp").agg(F.min("_id").alias("_least"))

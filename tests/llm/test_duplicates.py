@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from snapledger.llm import near_dup
@@ -80,6 +81,77 @@ def test_work_on_families_of_near_copies(spark, monkeypatch):
     assert labels.count("large-nodes") == 1
 
 
+def test_rows_of_a_node_are_named_by_what_may_be_similar(spark):
+    """Rows don't grow with the square of a node, and members of other sizes or without a partner stay out."""
+    r = np.random.default_rng(5)
+
+    def near(base):
+        sign = base.copy()
+        sign[r.integers(64)] ^= 1
+        return sign
+
+    bases = r.integers(0, 1 << 16, (70, 64), dtype=np.uint16)
+    signs = [x for b in bases[:60] for x in (near(b), near(b), near(b), near(b))] + list(bases[60:]) + [bases[0]]
+    sizes = [100] * (len(signs) - 1) + [50]
+    shorts = near_dup.shortened(np.array(signs))
+    rows = [(1, k, -1, bytearray(x.tobytes()), n, k) for k, (x, n) in enumerate(zip(shorts, sizes, strict=True))]
+    # The same node by another path counts once.
+    rows += [(2, *row[1:]) for row in rows]
+    df = spark.createDataFrame(rows, "node long, cls long, side int, short binary, size long, comp long")
+    found = {}
+    for x in near_dup._candidates(df, 85).collect():
+        found.setdefault(x.bunch, set()).add(x.cls)
+    assert sorted(map(sorted, found.values())) == [[4 * k + j for j in range(4)] for k in range(60)]
+    # All of one family: pairs of blocks hold every pair.
+    one = [(1, k, -1, bytearray(shorts[0].tobytes()), 100, k) for k in range(300)]
+    kept = near_dup._candidates(spark.createDataFrame(one, df.schema), 85).collect()
+    assert len(kept) <= 300 * (1 + 300 / near_dup.LEAF)
+    found = {}
+    for x in kept:
+        found.setdefault(x.bunch, set()).add(x.cls)
+    assert {(a, b) for c in found.values() for a in c for b in c} == {(a, b) for a in range(300) for b in range(300)}
+    assert max(map(len, found.values())) <= 2 * near_dup.LEAF
+
+
+def test_blocks_hold_each_pair_with_a_stray(spark):
+    rows = [(7, k, 400, 150, k < 150, k == 390) for k in range(400)]
+    df = spark.createDataFrame(rows, "node long, cls long, n long, m long, stray boolean, hub boolean")
+    join = near_dup._Join(None, None, 5, 85, 8)
+    for dealt, role in ((join._blocks(df), 150), (join._stray_blocks(df), 150), (join._hub_blocks(df), None)):
+        nodes, pairs = {}, set()
+        for x in dealt.collect():
+            nodes.setdefault(x.node, []).append((x.cls, x.side))
+        for held in nodes.values():
+            pairs |= {(a, b) for a, s in held for b, t in held if a < b and (s != t or s < 0)}
+        want = {(k, j) for k in range(150) for j in range(k + 1, 400)} if role else {(min(k, 390), max(k, 390)) for k in range(400) if k != 390}
+        assert want <= pairs
+        if role is None:
+            assert pairs == want
+
+
+def test_later_steps_of_a_family_with_many_strays(spark, monkeypatch):
+    """Small limits send the nodes through all steps; a step after the first writes its nodes and its open rows only."""
+    monkeypatch.setattr(near_dup, "LEAF", 6)
+    monkeypatch.setattr(near_dup, "WIDE", 12)
+    r = random.Random(11)
+    texts = _copies(r, 60, 120, 3) + _copies(r, 60, 120, 25) + [" ".join(_words(r, 50)) for _ in range(20)]
+    base = texts[0].split(" ")
+    for _ in range(60):
+        words = list(base)
+        for _ in range(r.randrange(2, 7)):
+            words[r.randrange(120)] = f"x{r.randrange(10**6)}"
+        texts.append(" ".join(words))
+    labels, materialize = [], near_dup.materialize
+    monkeypatch.setattr(near_dup, "materialize", lambda df, label: (labels.append(label), materialize(df, label))[1])
+    docs = dict(enumerate(texts))
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    found = {x.doc_id: x.component_id for x in near_dup.near_duplicates(df, percent=85).collect()}
+    want = brute.near_components(docs, 85)
+    # Links are confirmed, so components are parts of the true ones; five steps deep a pair at the threshold may be missed.
+    assert all(want[c] == want[i] for i, c in found.items()) and sum(found[i] != want[i] for i in want) <= 2
+    assert labels.count("open-rows") > 1 and labels.count("hub-links") == labels.count("large-nodes") == 1
+
+
 def test_near_duplicates_edges(spark, odd, empty):
     found = near_dup.near_duplicates(odd).collect()
     assert len(found) == odd.count()
