@@ -50,6 +50,8 @@ TOKENS = 4
 LEAF = 48
 #: Classes up to which a larger node is compared as a whole by short signatures instead of branching again.
 WIDE = 8 * LEAF
+#: Shingles of all sets of a bunch of over 2 * LEAF classes, at most: 16 MB.
+HELD = 2_000_000
 #: Steps of branching after which a node that is still large is compared block by block.
 STEPS = 5
 #: Bits of a position in the short signature that decides which members of a leaf may be similar.
@@ -257,9 +259,9 @@ def _parts(near: np.ndarray) -> np.ndarray:
         part = least
 
 
-def _bunches(rows: np.ndarray, near: np.ndarray) -> Iterator[np.ndarray]:
-    """The rows, or if they are over 2 * LEAF, for each pair of their blocks those with a link of the matrix ``near`` into the other one."""
-    if len(rows) <= 2 * LEAF:
+def _bunches(rows: np.ndarray, near: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
+    """The rows, or if they are too much for a task, for each pair of their blocks those with a link of the matrix ``near`` into the other one."""
+    if len(rows) <= 2 * LEAF or size[rows].sum() <= HELD:
         yield rows
         return
     blocks = np.array_split(rows, math.ceil(len(rows) / LEAF))
@@ -290,7 +292,7 @@ def _candidates(leaves: DataFrame, percent: int) -> DataFrame:
                 part = np.where(may.any(axis=1), _parts(may), -1)
                 for p in np.unique(part[part >= 0]).tolist():
                     at = np.flatnonzero(part == p)
-                    for held in _bunches(at[np.argsort(cls[at])], may):
+                    for held in _bunches(at[np.argsort(cls[at])], may, size):
                         members = np.sort(cls[held])
                         bunch = xxhash.xxh3_64_intdigest(members.tobytes()) - (1 << 63)
                         bunches += [bunch] * len(members)

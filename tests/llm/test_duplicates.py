@@ -102,8 +102,10 @@ def test_rows_of_a_node_are_named_by_what_may_be_similar(spark):
     for x in near_dup._candidates(df, 85).collect():
         found.setdefault(x.bunch, set()).add(x.cls)
     assert sorted(map(sorted, found.values())) == [[4 * k + j for j in range(4)] for k in range(60)]
-    # All of one family: pairs of blocks hold every pair.
+    # All of one family: one bunch, or if the sets are long, pairs of blocks that hold every pair.
     one = [(1, k, -1, bytearray(shorts[0].tobytes()), 100, k) for k in range(300)]
+    assert near_dup._candidates(spark.createDataFrame(one, df.schema), 85).groupBy("bunch").count().collect()[0]["count"] == 300
+    one = [(*row[:4], 10**5, row[5]) for row in one]
     kept = near_dup._candidates(spark.createDataFrame(one, df.schema), 85).collect()
     assert len(kept) <= 300 * (1 + 300 / near_dup.LEAF)
     found = {}
