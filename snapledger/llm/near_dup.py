@@ -34,7 +34,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapledger.llm.common import packed, row_key, unpacked
@@ -52,6 +52,8 @@ LEAF = 48
 WIDE = 8 * LEAF
 #: Shingles of all sets of a bunch of over 2 * LEAF classes, at most: 16 MB.
 HELD = 2_000_000
+#: What the rows of large nodes hold of their classes, so that no step has to look it up.
+CARRIED = ("sign", "short", "size", "comp")
 #: Steps of branching after which a node that is still large is compared block by block.
 STEPS = 5
 #: Bits of a position in the short signature that decides which members of a leaf may be similar.
@@ -164,7 +166,8 @@ def document_sets(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
 
 
 def _branch(rows: DataFrame, first: int, paths: int, root: bool) -> DataFrame:
-    """Children (``path``, ``node``, ``cls``) of rows (``path``, ``node``, ``cls``, ``sign``), or of the root's rows."""
+    """Children (``path``, ``node``, ``cls``) of the root's rows (``cls``, ``sign``), or of a node's, which pass CARRIED on, too."""
+    kept = ["cls"] if root else ["cls", *CARRIED]
 
     def children(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,15 +184,16 @@ def _branch(rows: DataFrame, first: int, paths: int, root: bool) -> DataFrame:
                     at = np.flatnonzero(path == p)
                     groups.append((at, range(first + p * paths, first + (p + 1) * paths), node[at]))
             for at, below, node in groups:
-                taken = batch.column("cls").take(pa.array(at))
+                taken = [batch.column(c).take(pa.array(at)) for c in kept]
                 for p in below:
                     key = mix(node + np.uint64(p + 1))
                     for k in _positions(p, first, paths):
                         key = mix(key + sign[at, k])
-                    columns = [pa.array(np.full(len(at), p, np.int64)), pa.array(key.view(np.int64)), taken]
-                    yield pa.RecordBatch.from_arrays(columns, ["path", "node", "cls"])
+                    columns = [pa.array(np.full(len(at), p, np.int64)), pa.array(key.view(np.int64)), *taken]
+                    yield pa.RecordBatch.from_arrays(columns, ["path", "node", *kept])
 
-    return rows.mapInArrow(children, "path long, node long, cls long")
+    schema = "path long, node long, cls long"
+    return rows.mapInArrow(children, schema if root else schema + ", sign binary, short binary, size long, comp long")
 
 
 def _jaccard(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
@@ -273,7 +277,7 @@ def _bunches(rows: np.ndarray, near: np.ndarray, size: np.ndarray) -> Iterator[n
 
 
 def _candidates(leaves: DataFrame, percent: int) -> DataFrame:
-    """Rows (``bunch``, ``cls``) of leaf members that some other member may be similar to.
+    """Rows (``bunch``, ``cls``, ``size``) of leaf members that some other member may be similar to.
 
     ``bunch`` names members of a node that are connected by such pairs; nodes with the same ones count once.
     Members of one ``side`` are not compared with each other, but for those of side -1.
@@ -283,6 +287,12 @@ def _candidates(leaves: DataFrame, percent: int) -> DataFrame:
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bunches: list[int] = []
         classes: list[int] = []
+        sizes: list[int] = []
+
+        def taken() -> pa.RecordBatch:
+            columns = [pa.array(c, pa.int64()) for c in (bunches, classes, sizes)]
+            return pa.RecordBatch.from_arrays(columns, ["bunch", "cls", "size"])
+
         for group in _groups(batches, "node"):
             if group.num_rows > 1:
                 comp, size, cls = (group.column(c).to_numpy() for c in ("comp", "size", "cls"))
@@ -293,32 +303,44 @@ def _candidates(leaves: DataFrame, percent: int) -> DataFrame:
                 for p in np.unique(part[part >= 0]).tolist():
                     at = np.flatnonzero(part == p)
                     for held in _bunches(at[np.argsort(cls[at])], may, size):
-                        members = np.sort(cls[held])
-                        bunch = xxhash.xxh3_64_intdigest(members.tobytes()) - (1 << 63)
-                        bunches += [bunch] * len(members)
-                        classes += members.tolist()
+                        held = held[np.argsort(cls[held])]
+                        bunch = xxhash.xxh3_64_intdigest(cls[held].tobytes()) - (1 << 63)
+                        bunches += [bunch] * len(held)
+                        classes += cls[held].tolist()
+                        sizes += size[held].tolist()
             if len(bunches) > 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(bunches, pa.int64()), pa.array(classes, pa.int64())], ["bunch", "cls"])
-                bunches, classes = [], []
+                yield taken()
+                bunches, classes, sizes = [], [], []
         if bunches:
-            yield pa.RecordBatch.from_arrays([pa.array(bunches, pa.int64()), pa.array(classes, pa.int64())], ["bunch", "cls"])
+            yield taken()
 
     ordered = leaves.select("node", "cls", "side", "short", "size", "comp").repartition("node").sortWithinPartitions("node")
-    return ordered.mapInArrow(filtered, "bunch long, cls long").distinct()
+    return ordered.mapInArrow(filtered, "bunch long, cls long, size long").distinct()
 
 
 def _merged(bunches: DataFrame) -> DataFrame:
-    """Rows (``bunch``, ``cls``) of the same bunches, where those that share classes are one unless that has over 2 * LEAF classes.
+    """Rows (``bunch``, ``cls``) in which any two classes of a bunch are together, and the texts of most classes travel seldom.
 
-    Two classes of a bunch stay together, and the texts of most classes travel once.
+    Bunches that share classes are a group. One of at most 2 * LEAF classes becomes one bunch. A larger one becomes a bunch for each pair
+    of blocks of about WIDE / 2 classes, fewer where sets are long (``size``, if there), if that takes at most three quarters of its rows; else it stays as it is.
     """
-    least = bunches.groupBy("bunch").agg(F.min("cls").alias("_low"))
-    near = bunches.join(least, "bunch").groupBy("cls").agg(F.min("_low").alias("_low"))
-    named = bunches.join(near, "cls").groupBy("bunch").agg(F.min("_low").alias("_group"))
-    grouped = bunches.join(named, "bunch")
-    sizes = grouped.select("_group", "cls").distinct().groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
-    bunch = F.when(F.col("_n") <= 2 * LEAF, F.xxhash64(F.lit("group"), "_group")).otherwise(F.col("bunch"))
-    return grouped.join(sizes, "_group").select(bunch.alias("bunch"), "cls").distinct()
+    by_bunch, by_cls = Window.partitionBy("bunch"), Window.partitionBy("cls")
+    named = bunches.withColumn("_low", F.min("cls").over(by_bunch)).withColumn("_low", F.min("_low").over(by_cls))
+    grouped = named.withColumn("_group", F.min("_low").over(by_bunch))
+    size = F.first("size") if "size" in bunches.columns else F.lit(0)
+    members = grouped.groupBy("_group", "cls").agg(F.count(F.lit(1)).alias("_rows"), size.alias("_size"))
+    groups = members.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"), F.sum("_rows").alias("_rows"), F.sum("_size").alias("_held"))
+    blocks = F.greatest(F.ceil(F.col("_n") / (WIDE // 2)), F.ceil(2 * F.col("_held") / HELD), F.lit(2)).cast("int")
+    groups = groups.withColumn("_blocks", F.when(F.col("_n") <= 2 * LEAF, 1).otherwise(blocks))
+    dealt_anew = (F.col("_blocks") == 1) | (4 * F.col("_n") * (F.col("_blocks") - 1) <= 3 * F.col("_rows"))
+    kept = grouped.join(groups.filter(~dealt_anew).select("_group"), "_group").select("bunch", "cls")
+    anew = members.select("_group", "cls").join(groups.filter(dealt_anew).select("_group", "_blocks"), "_group")
+    own = F.pmod(F.xxhash64("cls"), "_blocks").cast("int").alias("_own")
+    # A pair of one block meets in every pair of that block with another.
+    others = F.when(F.col("_blocks") == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), F.col("_blocks") - 1), F.col("_own")))
+    dealt = anew.select("_group", "cls", "_blocks", own).select("_group", "cls", "_own", F.explode(others).alias("_other"))
+    bunch = F.xxhash64(F.lit("group"), "_group", F.least("_own", "_other"), F.greatest("_own", "_other"))
+    return kept.unionByName(dealt.select(bunch.alias("bunch"), "cls"))
 
 
 def _with_sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
@@ -413,14 +435,14 @@ class _Join:
             members = materialize(found.join(self._open_nodes(found), "node"), "members")
         # Most classes meet no other: what follows needs the signatures of the rest only.
         self.classes = materialize(self.classes.join(members.select("cls").distinct(), "cls"), "met-classes")
-        leaves, done = [_whole(members.filter(F.col("n") <= LEAF))], [members]
+        leaves, done = [], [members]
         many = members.filter(F.col("n") > LEAF).drop("n")
         if not many.isEmpty():
-            large = materialize(self._with(many, "short", "size"), "large-nodes")
+            large = materialize(self._with(many, "sign", "short", "size"), "large-nodes")
             self._add_hub_links(large)
             # These hubs connect most of what is similar; their components spare the rest work.
             self.comps = components(_starred(self.links[0]))
-            rows = large.drop("short", "size")
+            rows = self._with_comp(large)
             done.append(large)
             for step in range(STEPS):
                 still = materialize(self._open_rows(rows), "open-rows")
@@ -436,11 +458,11 @@ class _Join:
                     break
                 if step:
                     leaves.append(self._hub_blocks(rest))
-                children = _branch(self._with(rest.select("path", "node", "cls"), "sign"), self.first, self.paths, root=False)
-                rows = materialize(children, "nodes")
+                children = rest.select("path", "node", "cls", *CARRIED)
+                rows = materialize(_branch(children, self.first, self.paths, root=False), "nodes")
                 done.append(rows)
-        near = self._with_comp(self._with(_union(leaves), "short", "size"))
-        bunches = materialize(_candidates(near, self.percent), "bunches")
+        leaves.append(self._with_comp(self._with(_whole(members.filter(F.col("n") <= LEAF)), "short", "size")))
+        bunches = materialize(_candidates(_union(leaves), self.percent), "bunches")
         for table in done:
             discard(table)
         with stored(_merged(bunches), "groups") as groups:
@@ -476,12 +498,11 @@ class _Join:
         agg = [F.count(F.lit(1)).alias("n"), F.min(mark).alias("_low"), F.max(mark).alias("_high")]
         return self._with_comp(rows).groupBy("node").agg(*agg).filter("_low <> _high").select("node", "n")
 
-    def _open_rows(self, large: DataFrame) -> DataFrame:
+    def _open_rows(self, seen: DataFrame) -> DataFrame:
         """The rows of nodes that more than one component is left in.
 
         ``n`` classes of the node, ``m`` of them strays outside its largest component, and whether the class is one, or the hub.
         """
-        seen = self._with_comp(large)
         least = F.min(F.xxhash64("node", "cls")).alias("_least")
         sizes = seen.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("_c"), least)
         top = F.max(F.struct("_c", "comp")).alias("_top")
@@ -489,7 +510,7 @@ class _Join:
         nodes = nodes.select("node", "n", (F.col("n") - F.col("_top._c")).alias("m"), F.col("_top.comp").alias("_most"), "_least")
         rows = seen.join(nodes.filter("m > 0"), "node")
         hub = (F.xxhash64("node", "cls") == F.col("_least")).alias("hub")
-        return rows.select("path", "node", "cls", "n", "m", (F.col("comp") != F.col("_most")).alias("stray"), hub)
+        return rows.select("path", "node", "cls", *CARRIED, "n", "m", (F.col("comp") != F.col("_most")).alias("stray"), hub)
 
     def _add_hub_links(self, large: DataFrame) -> None:
         """Compare the classes of large nodes with a hub of theirs."""
@@ -531,15 +552,21 @@ class _Join:
         mark = F.xxhash64("cls")
         own = F.when(F.col("stray"), F.pmod(mark, strays)).otherwise(strays + F.pmod(mark, others)).cast("int")
         last = F.when(F.col("stray"), strays + others).otherwise(strays) - 1
-        dealt = rows.select("node", "cls", own.alias("_own"), F.explode(F.sequence(F.lit(0), last)).alias("_other"))
+        dealt = rows.select("*", own.alias("_own"), F.explode(F.sequence(F.lit(0), last)).alias("_other"))
         # What is in one block is compared once, in the pair of the block with itself.
         side = F.when(F.col("_own") == F.col("_other"), -1).otherwise((F.col("_own") < F.col("_other")).cast("int"))
-        return dealt.select(F.xxhash64("node", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("node"), "cls", side.alias("side"))
+        node = F.xxhash64("node", F.least("_own", "_other"), F.greatest("_own", "_other"))
+        return _leaf(dealt.withColumn("node", node).withColumn("side", side))
+
+
+def _leaf(rows: DataFrame) -> DataFrame:
+    """The rows without what only a node that branches needs."""
+    return rows.drop("path", "sign", "n", "m", "stray", "hub", "_own", "_other", "_block")
 
 
 def _whole(rows: DataFrame) -> DataFrame:
     """Nodes whose classes are all compared with each other."""
-    return rows.select("node", "cls", F.lit(-1).alias("side"))
+    return _leaf(rows.withColumn("side", F.lit(-1)))
 
 
 def _with_each_block(rows: DataFrame, role: str, others: Column) -> DataFrame:
@@ -547,8 +574,8 @@ def _with_each_block(rows: DataFrame, role: str, others: Column) -> DataFrame:
     blocks = F.ceil(others / LEAF).cast("int")
     places = F.when(F.col(role), F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(F.pmod(F.xxhash64("cls"), blocks).cast("int")))
     side = F.when(F.col(role), -1).otherwise(0).alias("side")
-    dealt = rows.select("node", "cls", side, F.explode(places).alias("_block"))
-    return dealt.select(F.xxhash64(F.lit(role), "node", "_block").alias("node"), "cls", "side")
+    dealt = rows.select("*", side, F.explode(places).alias("_block"))
+    return _leaf(dealt.withColumn("node", F.xxhash64(F.lit(role), "node", "_block")))
 
 
 def near_duplicates(

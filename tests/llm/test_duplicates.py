@@ -66,6 +66,47 @@ def test_bunches_that_share_classes_are_merged(spark):
     assert sorted(map(sorted, found.values())) == sorted(want)
 
 
+def test_bunches_of_a_large_group_are_dealt_anew(spark):
+    """Where many bunches share a large group's classes, pairs of blocks hold each pair in fewer rows; long sets take more blocks."""
+    r = random.Random(3)
+    bunches = [r.sample(range(600), 250) for _ in range(40)]
+    rows = [(k, c, 100) for k, bunch in enumerate(bunches) for c in bunch] + [(50, 9000, 100), (50, 9001, 100)]
+    for size, most in ((100, 4 * 600), (10_000, 6 * 600)):
+        df = spark.createDataFrame([(k, c, size) for k, c, _ in rows], "bunch long, cls long, size long")
+        found = {}
+        for x in near_dup._merged(df).collect():
+            found.setdefault(x.bunch, []).append(x.cls)
+        assert all(len(set(c)) == len(c) for c in found.values()) and sum(map(len, found.values())) <= most
+        pairs = {(a, b) for c in found.values() for a in c for b in c}
+        assert all((a, b) in pairs for bunch in bunches for a in bunch for b in bunch) and (9000, 9001) in pairs
+        assert max(map(len, found.values())) * size <= 1.5 * near_dup.HELD and len(found) < 40
+    # Bunches that share little stay as they are.
+    chain = [(k, 100 * k + j, 100) for k in range(20) for j in range(120)]
+    kept = near_dup._merged(spark.createDataFrame(chain, "bunch long, cls long, size long"))
+    assert sorted(map(tuple, kept.collect())) == sorted((k, c) for k, c, _ in chain)
+
+
+def test_steps_do_not_look_classes_up(spark, monkeypatch):
+    """Rows of large nodes carry what a step needs: no step joins all its rows with the classes or with their components."""
+    monkeypatch.setattr(near_dup, "LEAF", 6)
+    monkeypatch.setattr(near_dup, "WIDE", 12)
+    r = random.Random(11)
+    texts = _copies(r, 60, 120, 25) + [" ".join(_words(r, 50)) for _ in range(20)]
+    plans, materialize = [], near_dup.materialize
+
+    def planned(df, label):
+        plans.append((label, df._jdf.queryExecution().optimizedPlan().toString()))
+        return materialize(df, label)
+
+    monkeypatch.setattr(near_dup, "materialize", planned)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    near_dup.near_duplicates(df, percent=85).collect()
+    steps = [plan for label, plan in plans if label == "nodes"]
+    later = [plan for label, plan in plans if label == "open-rows"][1:]
+    assert steps and later and not any("Join" in plan for plan in steps)
+    assert all(plan.count("Join") == 1 for plan in later)
+
+
 def test_work_on_families_of_near_copies(spark, monkeypatch):
     """A few strays don't make a large node branch again and again."""
     r = random.Random(8)
