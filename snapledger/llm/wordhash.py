@@ -8,8 +8,8 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text worked on at a time; a longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+#: Bytes of text worked on at a time; a longer text is a slice of its own. A worker holds some 100 bytes for each of them.
+SLICE_BYTES = 1 << 19
 
 #: An odd base and its inverse modulo 2^64, and the constants of a 64-bit finaliser.
 _BASE = 0x9E3779B97F4A7C15

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import random
 import textwrap
+import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 
-from snapledger.llm import license_scan
+from snapledger.llm import decontaminate, license_scan, wordhash
 from snapledger.llm.decontaminate import drop_leaks, find_leaks
 from snapledger.llm.license_templates import TEMPLATES, UNRELATED
 from snapledger.llm.queries import QUERIES
@@ -125,3 +128,28 @@ def test_wrapped_notices(spark):
     rows += [("none", "\n".join(textwrap.wrap(" ".join(UNRELATED * 3), 72))), ("parted", "Licensed under\n\nCC BY 4.0.")]
     found = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id string, text string")).collect()
     assert {(r.doc_id, r.family, r.n_paragraphs, r.first_line) for r in found} == want
+
+
+def test_a_worker_holds_slices_only():
+    """Memory doesn't follow the batch: over 10 MB of texts give the same windows as text by text, within 80 MB besides."""
+    r = random.Random(9)
+    base = [" ".join(f"Word{r.randrange(5000)} of {r.randrange(90)} kg." for _ in range(12_000)) for _ in range(8)]
+    texts = pa.array([*base, None, "", *6 * base, "a short one"])
+    assert texts.nbytes > 10e6
+
+    def keys(column):
+        out = []
+        for _, _, words in wordhash.text_slices(column, lower=False):
+            found, _, _ = decontaminate._keys(decontaminate.Tokens(words), 8)
+            out.append(int(np.bitwise_xor.reduce(found, initial=0)))
+        return int(np.bitwise_xor.reduce(np.array(out, np.uint64), initial=0))
+
+    singly = 0
+    for k in range(8, len(texts)):
+        singly ^= keys(texts.slice(k, 1))
+    wordhash._powers.cache_clear()
+    tracemalloc.start()
+    together = keys(texts.slice(8))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert together == singly and peak < 80e6
